@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -15,12 +16,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="sentiseries-")
-        spark.conf.set(_SETTING, folder)
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="sentiseries-")
+        folder = _local_folders[context.applicationId]
     return folder
 
 
@@ -44,3 +47,14 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[st
         write_json(df, path)
     else:
         write_parquet(df, path, partition_by)
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For a small table that several tests read, so that what it was made from is
+    read once, and a lost executor costs a re-read instead of a recomputation.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,8 @@ totals are accumulated, and only the rows inside one slice are sorted together.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -49,27 +51,31 @@ def with_positions(
     counts: DataFrame, keys: Sequence[str], slice_values: int = SLICE_VALUES
 ) -> DataFrame:
     """Add ``before`` (values of the key that are smaller) and ``n`` (all of them)."""
+    # A condition on every measure, true for all rows, gives the branches below the
+    # same aggregate to read, so Spark computes and shuffles it once.
+    measures = [c for c in counts.columns if c not in (*keys, "value")]
+    counts = counts.filter(reduce(and_, (F.col(m) >= 0 for m in measures)))
     edges = _edges(counts, keys, slice_values)
     passed = F.size(F.filter(F.col("edges"), lambda edge: edge <= F.col("value")))
     sliced = counts.join(edges, list(keys), "left").withColumn(
-        "slice", F.when(F.col("edges").isNull(), 0).otherwise(passed)
+        "_slice", F.when(F.col("edges").isNull(), 0).otherwise(passed)
     ).drop("edges")
 
-    along = Window.partitionBy(*keys).orderBy("slice")
+    along = Window.partitionBy(*keys).orderBy("_slice")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy(*keys, "slice").agg(F.sum("ties").alias("slice_total"))
+    totals = sliced.groupBy(*keys, "_slice").agg(F.sum("ties").alias("_slice_total"))
     offsets = totals.select(
         *keys,
-        "slice",
-        F.coalesce(F.sum("slice_total").over(earlier), F.lit(0)).alias("offset"),
-        F.sum("slice_total").over(Window.partitionBy(*keys)).alias("n"),
+        "_slice",
+        F.coalesce(F.sum("_slice_total").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_slice_total").over(Window.partitionBy(*keys)).alias("n"),
     )
     inside = (
-        Window.partitionBy(*keys, "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     )
-    smaller = F.col("offset") + F.coalesce(F.sum("ties").over(inside), F.lit(0))
-    placed = sliced.join(offsets, [*keys, "slice"])
-    return placed.withColumn("before", smaller).drop("slice", "offset")
+    smaller = F.col("_offset") + F.coalesce(F.sum("ties").over(inside), F.lit(0))
+    placed = sliced.join(offsets, [*keys, "_slice"])
+    return placed.withColumn("before", smaller).drop("_slice", "_offset")
 
 
 def average_rank() -> Column:
