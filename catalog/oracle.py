@@ -143,8 +143,9 @@ add("period_mean_std", OVERALL_SAMPLES, """
 SELECT variable, period, count(value) AS n, round(avg(value), 12) AS mean, round(stddev_samp(value), 12) AS std
 FROM samples GROUP BY variable, period""")
 add("period_mean_diff", SIGNIFICANT_SAMPLES, """
-SELECT variable, round(b, 4) AS before_mean, round(a, 4) AS after_mean, round(a - b, 4) AS mean_diff FROM (
-  SELECT variable, avg(value) FILTER (WHERE period = 'before') AS b, avg(value) FILTER (WHERE period = 'after') AS a
+SELECT variable, n1, n2, round(b, 4) AS before_mean, round(a, 4) AS after_mean, round(a - b, 4) AS mean_diff FROM (
+  SELECT variable, count(value) FILTER (WHERE period = 'before') AS n1,
+    count(value) FILTER (WHERE period = 'after') AS n2, avg(value) FILTER (WHERE period = 'before') AS b, avg(value) FILTER (WHERE period = 'after') AS a
   FROM samples GROUP BY variable)""")
 
 # Independence.

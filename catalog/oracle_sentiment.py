@@ -107,7 +107,7 @@ SCORED = ",\n".join([
              ELSE {R.QUESTION_MAX} END) AS s
   FROM documents LEFT JOIN totals USING (doc_id))""",
     f"""compound AS (SELECT doc_id, source, CASE WHEN text IS NOT NULL
-      THEN round(s / sqrt(s * s + {R.NORMALIZER}), 4) END AS sentiment_score FROM stressed)""",
+      THEN round(s / sqrt(s * s + {R.NORMALIZER}), 4) + 0.0 END AS sentiment_score FROM stressed)""",
     """scored AS (SELECT *, CASE WHEN sentiment_score >= 0.05 THEN 'Positive'
       WHEN sentiment_score <= -0.05 THEN 'Negative' WHEN sentiment_score IS NOT NULL THEN 'Neutral' END AS sentiment
   FROM compound)""",

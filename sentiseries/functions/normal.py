@@ -1,10 +1,10 @@
-"""Standard normal quantile as a column expression."""
+"""Standard normal quantile in column arithmetic."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Coefficients of the rational approximation AS 241 (Wichura 1988,
 # "The Percentage Points of the Normal Distribution"), lowest power first.
@@ -44,15 +44,24 @@ def polynomial(x: Column, coefficients: tuple[float, ...]) -> Column:
     return reduce(lambda total, c: total * x + F.lit(c), rest, F.lit(highest))
 
 
-def normal_quantile(p: Column) -> Column:
-    """x with P(Z <= x) = p, for p strictly between 0 and 1."""
-    q = p - 0.5
-    centre = F.lit(0.180625) - q * q
-    tail = F.sqrt(-F.log(F.least(p, 1 - p)))
-    size = F.when(
-        tail <= 5.0,
-        polynomial(tail - 1.6, MIDDLE_NUM) / polynomial(tail - 1.6, MIDDLE_DEN),
-    ).otherwise(polynomial(tail - 5.0, TAIL_NUM) / polynomial(tail - 5.0, TAIL_DEN))
-    return F.when(
-        F.abs(q) <= 0.425, q * polynomial(centre, CENTRE_NUM) / polynomial(centre, CENTRE_DEN)
-    ).otherwise(F.signum(q) * size)
+def with_normal_quantile(df: DataFrame, p: Column, out: str) -> DataFrame:
+    """Add x with P(Z <= x) = p, for p strictly between 0 and 1.
+
+    The polynomials' arguments are columns of their own, so each is worked out once.
+    """
+    share, tail = F.col("_share"), F.col("_tail")
+    stepped = df.withColumn("_share", p).withColumns({
+        "_centre": F.lit(0.180625) - (share - 0.5) * (share - 0.5),
+        "_tail": F.sqrt(-F.log(F.least(share, 1 - share))),
+    }).withColumn("_shifted", tail - F.when(tail <= 5.0, 1.6).otherwise(5.0))
+    centre, shifted = F.col("_centre"), F.col("_shifted")
+
+    def ratio(x: Column, top: tuple[float, ...], bottom: tuple[float, ...]) -> Column:
+        return polynomial(x, top) / polynomial(x, bottom)
+
+    value = (
+        F.when(F.abs(share - 0.5) <= 0.425, (share - 0.5) * ratio(centre, CENTRE_NUM, CENTRE_DEN))
+        .when(tail <= 5.0, F.signum(share - 0.5) * ratio(shifted, MIDDLE_NUM, MIDDLE_DEN))
+        .otherwise(F.signum(share - 0.5) * ratio(shifted, TAIL_NUM, TAIL_DEN))
+    )
+    return stepped.withColumn(out, value).drop("_share", "_centre", "_tail", "_shifted")

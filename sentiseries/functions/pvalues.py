@@ -7,11 +7,16 @@ Python on a few numbers behind a pandas UDF.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# Sent to the Python workers by value, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TINY = 1e-300
 _PRECISION = 1e-15
 

@@ -96,6 +96,8 @@ def period_mean_std(samples: DataFrame, keys: Sequence[str] = ("variable",)) ->
 def period_mean_diff(samples: DataFrame, keys: Sequence[str] = ("variable",)) -> DataFrame:
     """Mean after minus mean before."""
     means = samples.groupBy(*keys).agg(
+        F.count(_in("before", "value")).alias("n1"),
+        F.count(_in("after", "value")).alias("n2"),
         F.avg(_in("before", "value")).alias("before_mean"),
         F.avg(_in("after", "value")).alias("after_mean"),
     )

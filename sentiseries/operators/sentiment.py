@@ -2,9 +2,9 @@
 
 Each text is split once; every token row already carries its three predecessors
 and two successors, so no window over token order is needed. Joining the token to
-the lexicon keeps only sentiment words, whose valence is adjusted in place. What
-is shuffled is one small row per sentiment word, grouped by text key, and that
-same partitioning serves the join back to the texts.
+the lexicon keeps only sentiment words, whose valence is adjusted in place. Texts
+are placed by their key before they are split; the sums per word and per text and
+the join back to the rows all reuse that placement.
 
 A word that occurs more than once takes the valence of its first occurrence, as
 the published implementation looks tokens up by value.
@@ -21,7 +21,7 @@ from sentiseries.schemas import LEXICON
 
 _KEY = "_text_key"
 # Rows that share a text are keyed into this many slots, so no text is one task's work.
-TEXT_SLOTS = 64
+TEXT_SLOTS = 512
 # A lexicon of up to this many entries (a few megabytes) is broadcast.
 BROADCAST_ENTRIES = 100_000
 
@@ -128,9 +128,9 @@ def _vocabulary(lexicon: DataFrame, rules: Rules) -> DataFrame:
     )
     valences = lexicon.groupBy(F.col("token").alias("word")).agg(F.max("valence").alias("valence"))
     vocabulary = valences.join(modifiers, "word", "outer")
-    # Marked for broadcast when counted to be small; without the mark Spark joins a
-    # larger vocabulary by shuffling on the word.
-    is_small = vocabulary.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
+    # Marked for broadcast when the lexicon is counted to be small; without the mark
+    # Spark joins a larger vocabulary by shuffling on the word.
+    is_small = lexicon.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
     return F.broadcast(vocabulary) if is_small else vocabulary
 
 
@@ -228,13 +228,18 @@ def _word_valences(rows: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFra
     return hits.select(_KEY, "pos", "token", "weight", flipped.alias("valence"))
 
 
-def _totals(hits: DataFrame) -> DataFrame:
-    """Weighted valence sum per text.
+def _placed(keyed: DataFrame, text: str) -> DataFrame:
+    """Texts placed by key alone.
 
-    Rows are placed by text key alone, which serves both groupings and the join
-    that follows, so they are shuffled once.
+    This one shuffle of key and text serves the removal of copies, both groupings
+    and the join back, and it spreads the splitting of long texts over all tasks.
     """
-    per_word = hits.repartition(_KEY).groupBy(_KEY, "token").agg(
+    return keyed.filter(F.col(text).isNotNull()).select(_KEY, text).repartition(_KEY)
+
+
+def _totals(hits: DataFrame) -> DataFrame:
+    """Weighted valence sum per text; rows already lie by text key, so nothing moves."""
+    per_word = hits.groupBy(_KEY, "token").agg(
         F.min_by("valence", "pos").alias("valence"), F.sum("weight").alias("weight")
     )
     return per_word.groupBy(_KEY).agg(F.sum(F.col("valence") * F.col("weight")).alias("total"))
@@ -272,10 +277,10 @@ def score_sentiment(
         slot = F.pmod(F.xxhash64(*df.columns), F.lit(TEXT_SLOTS)).cast("string")
         content = F.concat(F.coalesce(F.col(text), F.lit("")), F.lit("\0"), slot)
         keyed = df.withColumn(_KEY, F.unhex(F.sha2(content, 256)))
-        texts = keyed.filter(F.col(text).isNotNull()).select(_KEY, text).distinct()
+        texts = _placed(keyed, text).distinct()
     else:
         keyed = df.withColumn(_KEY, F.col(id_column))
-        texts = keyed.filter(F.col(text).isNotNull()).select(_KEY, text)
+        texts = _placed(keyed, text)
     totals = _totals(_word_valences(_token_rows(texts, text, rules), lexicon, rules))
     compound = _compound(F.coalesce(F.col("total"), F.lit(0.0)), F.col(text))
     score = F.when(F.col(text).isNotNull(), compound)

@@ -15,6 +15,7 @@ from sentiseries.functions.bins import with_bins
 from sentiseries.operators.change import (
     before_after, change_table, long_samples, period_mean_diff, split_before_after,
 )
+from sentiseries.sources.storage import stored
 from sentiseries.sources.submissions import union_by_name
 from sentiseries.stats.chi2 import chi2_independence
 from sentiseries.stats.levene import levene
@@ -27,6 +28,7 @@ from sentiseries.stats.shapiro import shapiro_wilk
 
 KEYS = ("variable", "slice")
 BOTH = "before vs after"
+ACROSS = "across communities"
 OVERALL = ("overall_sentiment_score", "overall_top40_sentiment_score")
 AVERAGES = ("pos_avg_score", "neg_avg_score", "total_avg_score")
 COUNTS = ("num_pos_submissions", "num_neg_submissions", "overall_num_submissions")
@@ -53,11 +55,7 @@ def period_samples(table: DataFrame, values: Sequence[str], cut: str) -> DataFra
 
 def mean_difference(samples: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Mean after minus mean before, as results rows."""
-    counts = samples.groupBy(*keys).agg(
-        F.count(F.when(F.col("period") == "before", F.col("value"))).alias("n1"),
-        F.count(F.when(F.col("period") == "after", F.col("value"))).alias("n2"),
-    )
-    both = period_mean_diff(samples, keys).join(counts, list(keys))
+    both = period_mean_diff(samples, keys)
     return results(both, "mean_difference", keys, F.col("mean_diff"), F.col("n1"), F.col("n2"))
 
 
@@ -107,7 +105,7 @@ def paired_columns(change: DataFrame, pairs: dict[str, tuple[str, str]]) -> Data
 
 def change_columns(community: DataFrame, cut: str) -> DataFrame:
     """All before, after and change columns of both change tables, one row per community."""
-    both = before_after(community, cut)
+    both = stored(before_after(community, cut), "before_after")
     median = change_table(both, "median")
     mean = change_table(both, "mean")
     kinds = ("absolute_change", "relative_change")
@@ -120,40 +118,47 @@ def change_columns(community: DataFrame, cut: str) -> DataFrame:
 def community_battery(
     community: DataFrame, cut: str, alpha: float = 0.05, bin_width: float = 0.05
 ) -> DataFrame:
-    """Community-month sentiment: independence, normality, variance, location, change."""
-    mean, top = COMMUNITY
+    """Community-month sentiment: independence, normality, variance, location, change.
+
+    Each kind of test runs once, over all its variables and slices together.
+    """
+    top = COMMUNITY[1]
     dated = split_before_after(community, cut).filter("period IS NOT NULL")
     samples = long_samples(dated, ["period", "subreddit"], COMMUNITY)
-    everything, both = _whole(samples), _whole(samples, BOTH)
-    across = _whole(samples, "across communities")
-
-    def against_community(table: DataFrame, column: str, variable: str) -> DataFrame:
-        rows = _whole(table, "across communities").withColumn("variable", F.lit(variable))
-        return chi2_independence(rows, "subreddit", column, KEYS, alpha)
+    across = _whole(samples, ACROSS)
+    slices = union_by_name([
+        _whole(samples), _sliced(samples, "period"), _sliced(samples, "subreddit")
+    ])
 
+    def categories(table: DataFrame, column: str, variable: str) -> DataFrame:
+        return table.select(
+            "subreddit", F.col(column).cast("string").alias("category"),
+            F.lit(variable).alias("variable"), F.lit(ACROSS).alias("slice"),
+        )
+
+    binned = {v: with_bins(community, v, "bin", bin_width) for v in COMMUNITY}
+    tables = union_by_name([
+        categories(community, "sentiment_most", "sentiment_most"),
+        categories(community, "top40_sentiment_most", "top40_sentiment_most"),
+        *(categories(table, "bin", f"{v}_bin") for v, table in binned.items()),
+    ])
     change = change_columns(community, cut)
     change_values = [c for c in change.columns if c != "subreddit"]
-    pairs = paired_columns(change, {
+    relative = ("mean_relative_change", "median_relative_change")
+    pairs = _whole(paired_columns(change, {
         "absolute_change": ("median_absolute_change", "mean_absolute_change"),
-        "relative_change": ("mean_relative_change", "median_relative_change"),
+        "relative_change": relative,
         "mean": ("before_mean", "after_mean"),
         "median": ("before_median", "after_median"),
-    }).withColumn("slice", F.lit("across communities"))
-    relative = ("mean_relative_change", "median_relative_change")
+    }), ACROSS)
     relative_pair = _only(pairs, "relative_change")
     return union_by_name([
-        against_community(community, "sentiment_most", "sentiment_most"),
-        against_community(community, "top40_sentiment_most", "top40_sentiment_most"),
-        dagostino_k2(everything, KEYS, alpha),
-        dagostino_k2(_sliced(samples, "period"), KEYS, alpha),
-        levene(both, KEYS, alpha=alpha),
+        chi2_independence(tables, "subreddit", "category", KEYS, alpha),
+        dagostino_k2(slices, KEYS, alpha),
+        levene(union_by_name([_whole(samples.drop("subreddit"), BOTH), pairs]), KEYS, alpha=alpha),
         anova_oneway(across, KEYS, alpha=alpha),
-        dagostino_k2(_sliced(samples, "subreddit"), KEYS, alpha),
         kruskal_wallis(_only(across, top), KEYS, alpha=alpha),
-        against_community(with_bins(community, mean, "bin", bin_width), "bin", f"{mean}_bin"),
-        against_community(with_bins(community, top, "bin", bin_width), "bin", f"{top}_bin"),
-        shapiro_wilk(_whole(long_samples(change, [], change_values), "across communities"), KEYS, alpha),
-        levene(pairs, KEYS, alpha=alpha),
+        shapiro_wilk(_whole(long_samples(change, [], change_values), ACROSS), KEYS, alpha),
         ttest_student(relative_pair, KEYS, pair=relative, alpha=alpha),
         mann_whitney(relative_pair, KEYS, pair=relative, alpha=alpha),
     ])

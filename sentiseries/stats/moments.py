@@ -135,25 +135,30 @@ def anova_oneway(
     return anova_results(samples, "anova_oneway", keys, group, alpha)
 
 
-def _skewness_z(n: Column, skew: Column) -> Column:
-    """Transformed skewness (D'Agostino)."""
-    y = skew * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
+def _with_skewness_z(m: DataFrame) -> DataFrame:
+    """Add ``zs``, the transformed skewness (D'Agostino)."""
+    n, w2 = F.col("size"), F.col("w2")
     beta = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
-    w2 = F.sqrt(2 * (beta - 1)) - 1
-    return F.asinh(y / F.sqrt(2 / (w2 - 1))) / F.sqrt(0.5 * F.log(w2))
+    m = m.withColumns({
+        "y": F.col("skew") * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2))),
+        "w2": F.sqrt(2 * (beta - 1)) - 1,
+    })
+    return m.withColumn("zs", F.asinh(F.col("y") / F.sqrt(2 / (w2 - 1))) / F.sqrt(0.5 * F.log(w2)))
 
 
-def _kurtosis_z(n: Column, kurt: Column) -> Column:
-    """Transformed kurtosis (Anscombe and Glynn)."""
-    expected = 3 * (n - 1) / (n + 1)
+def _with_kurtosis_z(m: DataFrame) -> DataFrame:
+    """Add ``zk``, the transformed kurtosis (Anscombe and Glynn)."""
+    n, s, a, d = F.col("size"), F.col("s"), F.col("a"), F.col("d")
     variance = 24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))
-    x = (kurt - expected) / F.sqrt(variance)
     spread = F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
-    s = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * spread
-    a = 6 + 8 / s * (2 / s + F.sqrt(1 + 4 / (s * s)))
-    d = 1 + x * F.sqrt(2 / (a - 4))
+    m = m.withColumns({
+        "x": (F.col("kurt") - 3 * (n - 1) / (n + 1)) / F.sqrt(variance),
+        "s": 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * spread,
+    })
+    m = m.withColumn("a", 6 + 8 / s * (2 / s + F.sqrt(1 + 4 / (s * s))))
+    m = m.withColumn("d", 1 + F.col("x") * F.sqrt(2 / (a - 4)))
     root = F.signum(d) * F.cbrt(F.try_divide(1 - 2 / a, F.abs(d)))
-    return (1 - 2 / (9 * a) - root) / F.sqrt(2 / (9 * a))
+    return m.withColumn("zk", (1 - 2 / (9 * a) - root) / F.sqrt(2 / (9 * a)))
 
 
 def dagostino_k2(
@@ -169,9 +174,10 @@ def dagostino_k2(
     # A sample too small or constant is tested at n = 8 and blanked afterwards, so
     # no formula meets a zero divisor.
     usable = (F.col("n") >= 8) & (F.col("variance") > 0)
-    n = F.when(usable, F.col("n")).otherwise(8).cast("double")
-    zs, zk = _skewness_z(n, F.col("skew")), _kurtosis_z(n, F.col("kurt"))
-    m = m.withColumn("k2", F.when(usable, zs * zs + zk * zk))
+    m = m.withColumn("size", F.when(usable, F.col("n")).otherwise(8).cast("double"))
+    m = _with_kurtosis_z(_with_skewness_z(m))
+    k2 = F.col("zs") * F.col("zs") + F.col("zk") * F.col("zk")
+    m = m.withColumn("k2", F.when(usable, k2))
     return results(
         m, "dagostino_k2", keys, F.col("k2"), F.col("n"), df1=F.lit(2.0),
         p_value=F.exp(-F.col("k2") / 2), alpha=alpha,

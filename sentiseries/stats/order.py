@@ -9,11 +9,10 @@ totals are accumulated, and only the rows inside one slice are sorted together.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sentiseries.sources.storage import stored
 from sentiseries.stats.results import observed
 
 # About how many distinct values share a slice, and the most edges a key may have.
@@ -26,10 +25,12 @@ def value_counts(
 ) -> DataFrame:
     """``ties``: how often each value occurs per key, plus any further aggregates.
 
-    A negative zero counts as zero; grouping already treats the two alike.
+    Rows without a key belong to no test. A negative zero counts as zero; grouping
+    already treats the two alike.
     """
     more = [column.alias(name) for name, column in (extra or {}).items()]
-    typed = observed(samples).withColumn("value", F.col("value").cast("double"))
+    keyed = observed(samples).dropna(subset=list(keys))
+    typed = keyed.withColumn("value", F.col("value").cast("double"))
     return typed.groupBy(*keys, "value").agg(F.count("value").alias("ties"), *more)
 
 
@@ -50,15 +51,16 @@ def _edges(counts: DataFrame, keys: Sequence[str], slice_values: int) -> DataFra
 def with_positions(
     counts: DataFrame, keys: Sequence[str], slice_values: int = SLICE_VALUES
 ) -> DataFrame:
-    """Add ``before`` (values of the key that are smaller) and ``n`` (all of them)."""
-    # A condition on every measure, true for all rows, gives the branches below the
-    # same aggregate to read, so Spark computes and shuffles it once.
-    measures = [c for c in counts.columns if c not in (*keys, "value")]
-    counts = counts.filter(reduce(and_, (F.col(m) >= 0 for m in measures)))
+    """Add ``before`` (values of the key that are smaller) and ``n`` (all of them).
+
+    The counts are written to the shared folder first: three branches read them, and
+    what they were counted from is then read only once.
+    """
+    counts = stored(counts, "value_counts")
     edges = _edges(counts, keys, slice_values)
     passed = F.size(F.filter(F.col("edges"), lambda edge: edge <= F.col("value")))
     sliced = counts.join(edges, list(keys), "left").withColumn(
-        "_slice", F.when(F.col("edges").isNull(), 0).otherwise(passed)
+        "_slice", F.coalesce(passed, F.lit(0))
     ).drop("edges")
 
     along = Window.partitionBy(*keys).orderBy("_slice")

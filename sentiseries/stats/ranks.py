@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sentiseries.functions.pvalues import chi2_p, exact_rank_sum_p, two_sided_normal_p
+from sentiseries.sources.storage import stored
 from sentiseries.stats.moments import PERIODS
 from sentiseries.stats.order import average_rank, value_counts, with_positions
 from sentiseries.stats.results import DEFAULT_ALPHA, observed, results
@@ -30,7 +31,7 @@ def mann_whitney(
     first, second = (F.col(sample) == name for name in pair)
     counts = value_counts(
         samples.filter(first | second), keys,
-        {"in1": F.count_if(first), "in2": F.count_if(second)},
+        {"in1": F.count(F.when(first, 1)), "in2": F.count(F.when(second, 1))},
     )
     ranked = with_positions(counts, keys).withColumn("rank", average_rank())
     t = F.col("ties").cast("double")
@@ -68,7 +69,8 @@ def kruskal_wallis(
 ) -> DataFrame:
     """Kruskal-Wallis H with tie correction; ``n1`` rows in ``n2`` groups."""
     rows = observed(samples).filter(F.col(group).isNotNull())
-    per_group = value_counts(rows, [*keys, group]).withColumnRenamed("ties", "in_group")
+    per_group = stored(value_counts(rows, [*keys, group]), "group_counts")
+    per_group = per_group.withColumnRenamed("ties", "in_group")
     counts = per_group.groupBy(*keys, "value").agg(F.sum("in_group").alias("ties"))
     ranked = with_positions(counts, keys).select(
         *keys, "value", "ties", average_rank().alias("rank")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sentiseries.functions.normal import normal_quantile, polynomial
+from sentiseries.functions.normal import polynomial, with_normal_quantile
 from sentiseries.functions.pvalues import upper_normal_p
 from sentiseries.stats.order import value_counts, with_positions
 from sentiseries.stats.results import DEFAULT_ALPHA, results
@@ -36,46 +37,67 @@ def _expanded(placed: DataFrame) -> DataFrame:
     return chunks.withColumn("i", F.explode(F.sequence("start", end))).drop("start")
 
 
-def _weighted_sum() -> Column:
-    """Sum of the weights times the ordered values.
+def _with_statistic(sums: DataFrame) -> DataFrame:
+    """Add ``w``, the squared weighted sum of the ordered values over their squares.
 
     All weights but the outermost are the normal scores over a common scale; the
     scores are antisymmetric, so each outer pair enters as a difference.
     """
-    n, ssm = F.col("n").cast("double"), F.col("score_squares")
-    u = 1 / F.sqrt(n)
+    n, ssm = F.col("n"), F.col("score_squares")
     last, following = F.col("last_score"), F.col("next_score")
-    outer, inner = F.col("x_last") - F.col("x_first"), F.col("x_next") - F.col("x_second")
-    last_weight = polynomial(u, LAST_WEIGHT) + last / F.sqrt(ssm)
-    next_weight = polynomial(u, NEXT_WEIGHT) + following / F.sqrt(ssm)
-    one_scale = (ssm - 2 * last * last) / (1 - 2 * last_weight * last_weight)
-    two_scale = (ssm - 2 * last * last - 2 * following * following) / (
-        1 - 2 * last_weight * last_weight - 2 * next_weight * next_weight
-    )
-    without_outer = F.col("score_sum") - last * outer
-    return (
+    outer, inner = F.col("outer"), F.col("inner")
+    last_weight, next_weight = F.col("last_weight"), F.col("next_weight")
+    usable = (n >= 3) & (F.col("squares") > 0)
+    root = F.when(usable, 1 / F.sqrt(n))
+    sums = sums.withColumns({
+        "usable": usable,
+        "root": root,
+        "outer": F.col("x_last") - F.col("x_first"),
+        "inner": F.col("x_next") - F.col("x_second"),
+    }).withColumns({
+        "last_weight": polynomial(F.col("root"), LAST_WEIGHT) + F.try_divide(last, F.sqrt(ssm)),
+        "next_weight": polynomial(F.col("root"), NEXT_WEIGHT) + F.try_divide(following, F.sqrt(ssm)),
+    }).withColumns({
+        "one_scale": F.try_divide(ssm - 2 * last * last, 1 - 2 * last_weight * last_weight),
+        "two_scale": F.try_divide(
+            ssm - 2 * last * last - 2 * following * following,
+            1 - 2 * last_weight * last_weight - 2 * next_weight * next_weight,
+        ),
+    })
+    middle = F.col("score_sum") - last * outer
+    weighted = (
         F.when(n == 3, outer * F.sqrt(F.lit(0.5)))
-        .when(n <= 5, without_outer / F.sqrt(one_scale) + last_weight * outer)
+        .when(n <= 5, F.try_divide(middle, F.sqrt("one_scale")) + last_weight * outer)
         .otherwise(
-            (without_outer - following * inner) / F.sqrt(two_scale)
+            F.try_divide(middle - following * inner, F.sqrt("two_scale"))
             + last_weight * outer + next_weight * inner
         )
     )
+    w = F.try_divide(F.col("weighted") * F.col("weighted"), F.col("squares"))
+    return sums.withColumn("weighted", weighted).withColumn(
+        "w", F.when(F.col("usable"), F.least(w, F.lit(1.0)))
+    )
 
 
-def _p_value() -> Column:
-    n, w = F.col("n").cast("double"), F.col("w")
-    distance, log_n = F.log(F.greatest(1 - w, F.lit(1e-19))), F.log(n)
-    bound = polynomial(n, SMALL_BOUND)
-    small = (-F.log(bound - distance) - polynomial(n, SMALL_MEAN)) / F.exp(polynomial(n, SMALL_LOG_SD))
+def _with_p_value(sums: DataFrame) -> DataFrame:
+    """Add ``p``: exact for three values, else from the transformed statistic."""
+    n, distance, bound = F.col("n"), F.col("distance"), F.col("bound")
+    size, log_n = F.col("size"), F.col("log_n")
+    sums = sums.withColumns({
+        "size": n.cast("double"),
+        "log_n": F.log(n.cast("double")),
+        "distance": F.log(F.greatest(1 - F.col("w"), F.lit(1e-19))),
+    }).withColumn("bound", polynomial(size, SMALL_BOUND))
+    small = (-F.log(bound - distance) - polynomial(size, SMALL_MEAN)) / F.exp(polynomial(size, SMALL_LOG_SD))
     large = (distance - polynomial(log_n, LARGE_MEAN)) / F.exp(polynomial(log_n, LARGE_LOG_SD))
-    z = F.when(n <= 11, F.when(distance < bound, small)).otherwise(large)
-    three = F.lit(6 / 3.141592653589793) * (F.asin(F.sqrt(w)) - F.asin(F.sqrt(F.lit(0.75))))
-    return (
+    sums = sums.withColumn("z", F.when(n <= 11, F.when(distance < bound, small)).otherwise(large))
+    three = F.lit(6 / math.pi) * (F.asin(F.sqrt("w")) - F.asin(F.sqrt(F.lit(0.75))))
+    p = (
         F.when(n == 3, F.greatest(three, F.lit(0.0)))
         .when((n <= 11) & (distance >= bound), F.lit(0.0))
-        .otherwise(upper_normal_p(z))
+        .otherwise(upper_normal_p(F.col("z")))
     )
+    return sums.withColumn("p", F.when(F.col("usable"), p))
 
 
 def shapiro_wilk(
@@ -88,8 +110,7 @@ def shapiro_wilk(
     """
     placed = with_positions(value_counts(samples, keys), keys)
     i, n, x = F.col("i"), F.col("n"), F.col("value")
-    score = normal_quantile((i - 0.375) / (n + 0.25))
-    ordered = _expanded(placed).withColumn("score", score)
+    ordered = with_normal_quantile(_expanded(placed), (i - 0.375) / (n + 0.25), "score")
 
     def at(position: Column) -> Column:
         return F.max(F.when(i == position, x))
@@ -106,10 +127,7 @@ def shapiro_wilk(
         at(n).alias("x_last"),
         (F.var_pop("value") * F.count("value")).alias("squares"),
     )
-    usable = (F.col("n") >= 3) & (F.col("squares") > 0)
-    weighted = _weighted_sum()
-    w = F.when(usable, F.least(weighted * weighted / F.col("squares"), F.lit(1.0)))
+    tested = _with_p_value(_with_statistic(sums))
     return results(
-        sums.withColumn("w", w), "shapiro_wilk", keys, F.col("w"), F.col("n"),
-        p_value=F.when(usable, _p_value()), alpha=alpha,
+        tested, "shapiro_wilk", keys, F.col("w"), F.col("n"), p_value=F.col("p"), alpha=alpha
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -24,31 +23,28 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def _plain(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
-        return None
-    return value
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+    "DATE": "date", "BOOLEAN": "boolean",
+}
 
 
-def sorted_rows(columns: list[str], rows) -> list[tuple]:
+def sorted_rows(columns: list[str], rows) -> list[tuple[str, ...]]:
+    """Rows as text, columns and rows in a fixed order; text tells -0.0 from 0.0."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
-    return sorted(plain, key=lambda row: tuple((v is None, str(v)) for v in row))
+    return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
 def difference(df, connection, sql: str) -> str | None:
-    """What differs between a query and its SQL, or None."""
+    """What differs between a query and its SQL in schema or rows, or None."""
     expected = connection.execute(sql)
-    names = [d[0] for d in expected.description]
-    right = sorted_rows(names, expected.fetchall())
+    wanted = sorted((d[0], SPARK_TYPES.get(str(d[1]), str(d[1]))) for d in expected.description)
+    if sorted(df.dtypes) != wanted:
+        return f"columns {sorted(set(df.dtypes) ^ set(wanted))}"
+    right = sorted_rows([d[0] for d in expected.description], expected.fetchall())
     left = sorted_rows(df.columns, df.collect())
-    if sorted(df.columns) != sorted(names):
-        return f"columns {sorted(df.columns)} != {sorted(names)}"
     if len(left) != len(right):
         return f"{len(left)} rows != {len(right)}"
-    kinds = [(type(a), type(b)) for a, b in zip(left, right) for a, b in zip(a, b) if a is not None and b is not None]
-    if any(a is not b for a, b in kinds):
-        return f"types {next((a, b) for a, b in kinds if a is not b)}"
     wrong = [(a, b) for a, b in zip(left, right) if a != b]
     return f"{len(wrong)} of {len(left)} rows, first {wrong[0]}" if wrong else None
 
