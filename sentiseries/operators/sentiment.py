@@ -40,8 +40,10 @@ def lexicon_frame(spark: SparkSession, lexicon: dict[str, float] | None = None)
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """A tab-separated lexicon whose first two columns are token and mean valence."""
-    return spark.read.csv(path, sep="\t", schema=LEXICON, quote="", mode="DROPMALFORMED")
+    """A tab-separated lexicon: token and mean valence, then any two further columns."""
+    columns = "token string, valence double, deviation string, ratings string"
+    lines = spark.read.csv(path, sep="\t", schema=columns, quote="")
+    return lines.select("token", "valence").dropna()
 
 
 def tokens(text: Column) -> Column:

@@ -16,7 +16,7 @@ from sentiseries.plans.settings import Settings
 from sentiseries.sources import submissions
 from sentiseries.sources.storage import write
 
-CLEANED, SCORED, QUARANTINE = "cleaned", "scored", "quarantine"
+CLEANED, SCORED = "cleaned", "scored"
 COMMUNITY, OVERALL = "community_month", "overall_month"
 SIGNIFICANT, SIGNIFICANT_BY_GROUP = "significant_overall", "significant_by_group"
 # Cleaned posts carry no key; after score, the title settles the order, and rows
@@ -39,20 +39,29 @@ def _write(settings: Settings, df: DataFrame, name: str, partition_by: tuple[str
 
 
 def clean(spark: SparkSession, settings: Settings) -> None:
-    """Project the submissions; rows without a usable key go to a table of their own."""
+    """Project the submissions, in global order of community and month.
+
+    Rows without usable keys are set apart under ``has_keys=false`` by the same write.
+    """
     posts = submissions.clean(submissions.scan_multi_dir(spark, settings.input_dir))
-    _write(settings, submissions.sorted_for_write(submissions.valid_keys(posts)), CLEANED)
-    _write(settings, submissions.quarantine(posts), QUARANTINE)
+    marked = posts.withColumn("has_keys", submissions.has_keys())
+    ordered = submissions.sorted_for_write(marked, ("has_keys", "subreddit", "year", "month"))
+    _write(settings, ordered, CLEANED, ("has_keys",))
+
+
+def quarantined(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The rows ``clean`` set apart."""
+    return _read(spark, settings, CLEANED, schemas.CLEANED_MARKED).filter("NOT has_keys")
 
 
 def score(spark: SparkSession, settings: Settings) -> None:
     """Score and label every cleaned post; the scored table is laid out by month."""
-    cleaned = _read(spark, settings, CLEANED, schemas.CLEANED)
+    marked = _read(spark, settings, CLEANED, schemas.CLEANED_MARKED)
+    cleaned = marked.filter("has_keys").drop("has_keys")
     path = settings.lexicon_path
     lexicon = read_lexicon(spark, path) if path else lexicon_frame(spark)
     scored = score_sentiment(cleaned, lexicon, labels=settings.labels)
-    by_month = submissions.sorted_for_write(scored, ("year", "month", "subreddit"))
-    _write(settings, by_month, SCORED, ("year", "month"))
+    _write(settings, submissions.spread_for_write(scored), SCORED, ("year", "month"))
 
 
 def build_series(spark: SparkSession, settings: Settings) -> None:

@@ -27,6 +27,9 @@ SUBMISSIONS = _schema(
 
 CLEANED = _schema(subreddit=_STR, year=_INT, month=_INT, title=_STR, score=_LONG)
 
+# As written: ``has_keys`` tells the usable rows from the quarantined ones.
+CLEANED_MARKED = T.StructType([*CLEANED.fields, T.StructField("has_keys", _BOOL)])
+
 SCORED = _schema(
     subreddit=_STR, year=_INT, month=_INT, title=_STR, score=_LONG,
     sentiment=_STR, sentiment_score=_DOUBLE,

@@ -32,21 +32,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write_json(df: DataFrame, path: str) -> None:
+def write_json(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Gzip JSON lines, replacing what was there."""
-    df.write.mode("overwrite").option("compression", "gzip").json(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).option("compression", "gzip").json(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Parquet, replacing what was there."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
-    """Write as ``parquet`` (partitioned if asked) or gzip ``json``."""
-    if fmt == "json":
-        write_json(df, path)
-    else:
-        write_parquet(df, path, partition_by)
+    """Write as ``parquet`` or gzip ``json``."""
+    {"parquet": write_parquet, "json": write_json}[fmt](df, path, partition_by)
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:

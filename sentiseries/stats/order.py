@@ -18,6 +18,8 @@ from sentiseries.stats.results import observed
 # About how many distinct values share a slice, and the most edges a key may have.
 SLICE_VALUES = 100_000
 MAX_EDGES = 1_000
+# Edges are broadcast when the number of values promises no more than this many.
+BROADCAST_EDGES = 100_000
 
 
 def value_counts(
@@ -53,31 +55,39 @@ def with_positions(
 ) -> DataFrame:
     """Add ``before`` (values of the key that are smaller) and ``n`` (all of them).
 
-    The counts are written to the shared folder first: three branches read them, and
-    what they were counted from is then read only once.
+    The counts are written to the shared folder first, so what they were counted from
+    is read only once and their number is known. When one slice holds them all, a
+    window per key is enough.
     """
     counts = stored(counts, "value_counts")
+    size = counts.count()
+    if size <= slice_values:
+        return _accumulated(counts, keys).withColumn("n", F.sum("ties").over(Window.partitionBy(*keys)))
+
     edges = _edges(counts, keys, slice_values)
+    if size <= slice_values * BROADCAST_EDGES:
+        edges = F.broadcast(edges)
     passed = F.size(F.filter(F.col("edges"), lambda edge: edge <= F.col("value")))
     sliced = counts.join(edges, list(keys), "left").withColumn(
         "_slice", F.coalesce(passed, F.lit(0))
     ).drop("edges")
 
-    along = Window.partitionBy(*keys).orderBy("_slice")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     totals = sliced.groupBy(*keys, "_slice").agg(F.sum("ties").alias("_slice_total"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys,
         "_slice",
         F.coalesce(F.sum("_slice_total").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_slice_total").over(Window.partitionBy(*keys)).alias("n"),
     )
-    inside = (
-        Window.partitionBy(*keys, "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    smaller = F.col("_offset") + F.coalesce(F.sum("ties").over(inside), F.lit(0))
-    placed = sliced.join(offsets, [*keys, "_slice"])
-    return placed.withColumn("before", smaller).drop("_slice", "_offset")
+    placed = _accumulated(sliced, [*keys, "_slice"]).join(offsets, [*keys, "_slice"])
+    return placed.withColumn("before", F.col("before") + F.col("_offset")).drop("_slice", "_offset")
+
+
+def _accumulated(counts: DataFrame, within: Sequence[str]) -> DataFrame:
+    """Add ``before``: the ties of the smaller values in the same partition."""
+    smaller = Window.partitionBy(*within).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("before", F.coalesce(F.sum("ties").over(smaller), F.lit(0)))
 
 
 def average_rank() -> Column:
