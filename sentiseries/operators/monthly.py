@@ -24,9 +24,14 @@ def community_month_avg(scored: DataFrame) -> DataFrame:
     )
 
 
-def top_posts(scored: DataFrame, k: int = 40, tie_columns: Sequence[str] = ("id",)) -> DataFrame:
+def top_posts(
+    scored: DataFrame,
+    k: int = 40,
+    tie_columns: Sequence[str] = ("id",),
+    salts: int | None = None,
+) -> DataFrame:
     """The k highest-scored posts of each community and month."""
-    return top_k_per_group(titled(scored), MONTH_KEYS, by_score(tie_columns), k)
+    return top_k_per_group(titled(scored), MONTH_KEYS, by_score(tie_columns), k, salts=salts)
 
 
 def top_posts_avg(scored: DataFrame, k: int = 40, tie_columns: Sequence[str] = ("id",)) -> DataFrame:
@@ -57,7 +62,10 @@ def with_month_date(df: DataFrame) -> DataFrame:
 
 
 def community_month(
-    scored: DataFrame, k: int = 40, tie_columns: Sequence[str] = ("id",)
+    scored: DataFrame,
+    k: int = 40,
+    tie_columns: Sequence[str] = ("id",),
+    salts: int | None = None,
 ) -> DataFrame:
     """Mean and modal label of all posts and of the top k, per community and month.
 
@@ -67,7 +75,7 @@ def community_month(
     """
     everyone = _mean_and_mode(titled(scored), "avg_sentiment_score", "sentiment_most")
     top = _mean_and_mode(
-        top_posts(scored, k, tie_columns), "top40_avg_sentiment_score", "top40_sentiment_most"
+        top_posts(scored, k, tie_columns, salts), "top40_avg_sentiment_score", "top40_sentiment_most"
     )
     return with_month_date(everyone.join(top, list(MONTH_KEYS), "left"))
 

@@ -55,7 +55,7 @@ def tokens(text: Column) -> Column:
     runs = "|".join(
         "".join("\\" + mark for mark in run) for run in sorted(R.STRIPPED_RUNS, key=len, reverse=True)
     )
-    word = rf"[^\p{{Punct}}{R.SPACE}]{{2,}}"
+    word = rf"[^\p{{Punct}}{R.SPACE}]{{2,}}+"
     bare = F.regexp_replace(
         text,
         rf"(?<![^{R.SPACE}])(?:(?:{runs})({word})|({word})(?:{runs}))(?![^{R.SPACE}])",
@@ -249,8 +249,11 @@ def _totals(hits: DataFrame) -> DataFrame:
 
 def _compound(total: Column, text: Column) -> Column:
     """Total plus punctuation emphasis, squeezed into [-1, 1] and rounded to 4 places."""
-    exclamations = F.least(F.regexp_count(text, F.lit("!")), F.lit(R.EXCLAMATION_MAX))
-    questions = F.regexp_count(text, F.lit(r"\?"))
+
+    def marks(mark: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+    exclamations, questions = F.least(marks("!"), F.lit(R.EXCLAMATION_MAX)), marks("?")
     emphasis = exclamations * R.EXCLAMATION_STEP + (
         F.when(questions <= 1, 0.0)
         .when(questions <= R.QUESTION_STEPS, questions * R.QUESTION_STEP)

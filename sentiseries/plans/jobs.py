@@ -6,7 +6,7 @@ so no step repeats the work of an earlier one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sentiseries import schemas
 from sentiseries.operators import change, monthly, series, significant
@@ -19,9 +19,9 @@ from sentiseries.sources.storage import write
 CLEANED, SCORED = "cleaned", "scored"
 COMMUNITY, OVERALL = "community_month", "overall_month"
 SIGNIFICANT, SIGNIFICANT_BY_GROUP = "significant_overall", "significant_by_group"
-# Cleaned posts carry no key; after score, the title settles the order, and rows
-# equal in both have equal sentiment.
-TIE_COLUMNS = ("title",)
+# Cleaned posts carry no key. A hash of the title settles equal scores: rows equal in
+# both have the same title and so the same sentiment, and the sort stays narrow.
+TITLE_KEY = "title_key"
 
 
 def extract(spark: SparkSession, settings: Settings, target: str) -> None:
@@ -67,7 +67,8 @@ def score(spark: SparkSession, settings: Settings) -> None:
 def build_series(spark: SparkSession, settings: Settings) -> None:
     """The community and overall monthly series and both significance tables."""
     scored = _read(spark, settings, SCORED, schemas.SCORED)
-    community = monthly.community_month(scored, settings.top_k, TIE_COLUMNS)
+    ordered = scored.withColumn(TITLE_KEY, F.xxhash64("title"))
+    community = monthly.community_month(ordered, settings.top_k, (TITLE_KEY,), settings.top_k_salts)
     _write(settings, community.orderBy("subreddit", "date"), COMMUNITY)
     community = _read(spark, settings, COMMUNITY, schemas.COMMUNITY_MONTH)
     _write(settings, monthly.overall_month(community).orderBy("date"), OVERALL)

@@ -22,6 +22,8 @@ class Settings:
     years: tuple[int, ...] = YEARS
     cut_date: str = CUT_DATE
     top_k: int = 40
+    # Parts a community-month is ranked in first; None lets the size of top_k decide.
+    top_k_salts: int | None = None
     labels: Labels = field(default_factory=Labels)
     significant_cut: float = 0.5
     bin_width: float = 0.05
