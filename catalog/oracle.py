@@ -23,11 +23,11 @@ def add(name: str, parts: list[str], body: str) -> None:
 # Sources and sinks.
 add("scan_submissions", WIDE, "SELECT * FROM wide")
 add("scan_multi_dir", WIDE, f"""
-SELECT {NARROW.replace('title', "CASE WHEN CAST(substr(name, 4) AS BIGINT) % 2 = 0 THEN title END AS title")} FROM wide""")
+SELECT {NARROW.replace('title', "CASE WHEN CAST(substr(name, 4) + 0.0 AS BIGINT) % 2 = 0 THEN title END AS title")} FROM wide""")
 add("json_roundtrip", WIDE, f"SELECT * FROM wide WHERE {SUBSET}")
 COMMUNITY_ROWS = """
-SELECT date, format_month, month, sentiment_most, subreddit, round(avg_sentiment_score, 9) AS avg_sentiment_score,
-  round(top40_avg_sentiment_score, 9) AS top40_avg_sentiment_score, top40_sentiment_most, year FROM community"""
+SELECT date, format_month, month, sentiment_most, subreddit, round(avg_sentiment_score, 10) + 0.0 AS avg_sentiment_score,
+  round(top40_avg_sentiment_score, 10) + 0.0 AS top40_avg_sentiment_score, top40_sentiment_most, year FROM community"""
 add("scan_gz_json", SERIES, COMMUNITY_ROWS)
 add("clean_submissions", [P.POSTS], "SELECT subreddit, year, month, title, score FROM posts")
 add("extract_subset", [P.POSTS], f"SELECT id, subreddit, year, month, title, score FROM posts WHERE {SUBSET}")
@@ -58,14 +58,14 @@ binned AS (SELECT t.*, CASE WHEN {value} > (SELECT low FROM ends) AND {value} <=
 add("bin_scores", [P.POSTS, binned("posts", "sentiment_score")], "SELECT id, sentiment_score, bin FROM binned")
 
 # Monthly series.
-add("community_month_avg", SERIES, f"SELECT {KEYS}, round(avg_sentiment_score, 9) AS avg_sentiment_score FROM community")
+add("community_month_avg", SERIES, f"SELECT {KEYS}, round(avg_sentiment_score, 10) + 0.0 AS avg_sentiment_score FROM community")
 add("topk_per_group", SERIES, "SELECT id, year, month, subreddit, score, upvote_rank FROM top")
 add("topk_per_group_salted", SERIES, """
 SELECT * FROM (SELECT id, subreddit, score,
   CAST(row_number() OVER (PARTITION BY subreddit ORDER BY score DESC NULLS LAST, id) AS INT) AS upvote_rank FROM titled)
 WHERE upvote_rank <= 1500""")
 add("topk_avg", SERIES, f"""
-SELECT {KEYS}, round(avg(sentiment_score), 9) AS top40_avg_sentiment_score FROM top GROUP BY {KEYS}""")
+SELECT {KEYS}, round(avg(sentiment_score), 10) + 0.0 AS top40_avg_sentiment_score FROM top GROUP BY {KEYS}""")
 add("label_frequency", SERIES, f"SELECT {KEYS}, sentiment, count(sentiment) AS frequency FROM titled GROUP BY ALL")
 add("topk_label_frequency", SERIES, f"SELECT {KEYS}, sentiment, count(sentiment) AS frequency_40 FROM top GROUP BY ALL")
 add("modal_label", SERIES, P.mode_per("titled", KEYS, "sentiment", "sentiment_most"))
@@ -85,7 +85,7 @@ AVERAGES = ["pos_avg_score", "neg_avg_score", "total_avg_score"]
 COUNTS = ["num_pos_submissions", "num_neg_submissions", "overall_num_submissions"]
 OVERALL_VALUES = ["overall_sentiment_score", "overall_top40_sentiment_score"]
 COMMUNITY_VALUES = ["avg_sentiment_score", "top40_avg_sentiment_score"]
-REPLACED = ", ".join(f"round({a}, 4) AS {a}" for a in AVERAGES)
+REPLACED = ", ".join(f"round({a}, 4) + 0.0 AS {a}" for a in AVERAGES)
 for names, part, source in (
     (("significant_overall", "outer_join_chain"), P.SIGNIFICANT, "significant"),
     (("significant_by_group", "outer_join_chain_by_group"), P.SIGNIFICANT_GROUP, "significant_group"),
@@ -95,28 +95,28 @@ for names, part, source in (
 
 # Before and after.
 add("group_median_mean", SERIES, """
-SELECT subreddit, round(median(avg_sentiment_score), 12) AS median_sentiment,
-  round(avg(top40_avg_sentiment_score), 12) AS mean_top40_sentiment FROM community GROUP BY subreddit""")
+SELECT subreddit, round(median(avg_sentiment_score), 12) + 0.0 AS median_sentiment,
+  round(avg(top40_avg_sentiment_score), 12) + 0.0 AS mean_top40_sentiment FROM community GROUP BY subreddit""")
 add("group_rank_median", SERIES, """
-SELECT subreddit, round(median(avg_sentiment_score), 12) AS median_sentiment FROM community GROUP BY subreddit
+SELECT subreddit, round(median(avg_sentiment_score), 12) + 0.0 AS median_sentiment FROM community GROUP BY subreddit
 ORDER BY 2 DESC, 1""")
 add("group_rank_topk_mean", SERIES, """
-SELECT subreddit, round(avg(top40_avg_sentiment_score), 12) AS mean_top40_sentiment FROM community GROUP BY subreddit
+SELECT subreddit, round(avg(top40_avg_sentiment_score), 12) + 0.0 AS mean_top40_sentiment FROM community GROUP BY subreddit
 ORDER BY 2 DESC, 1""")
 SIDES = ", ".join(
-    f"round({s}, 12) AS {s}" for s in ("before_median", "before_mean", "after_median", "after_mean")
+    f"round({s}, 12) + 0.0 AS {s}" for s in ("before_median", "before_mean", "after_median", "after_mean")
 )
 CHANGES = [*SERIES, P.CHANGE]
 for name in ("before_after_table", "before_after_outer"):
     add(name, CHANGES, f"SELECT subreddit, {SIDES} FROM sides")
 for statistic in ("median", "mean"):
     add(f"change_{statistic}", CHANGES, f"""
-SELECT subreddit, round(before_{statistic}, 12) AS before_{statistic}, round(after_{statistic}, 12) AS after_{statistic},
-  round({statistic}_absolute_change, 12) AS absolute_change, round({statistic}_relative_change, 6) AS relative_change
+SELECT subreddit, round(before_{statistic}, 12) + 0.0 AS before_{statistic}, round(after_{statistic}, 12) + 0.0 AS after_{statistic},
+  round({statistic}_absolute_change, 12) + 0.0 AS absolute_change, round({statistic}_relative_change, 6) + 0.0 AS relative_change
 FROM change""")
     pieces = [f"before_{statistic}", f"after_{statistic}", f"{statistic}_absolute_change"]
     add(f"unpivot_change_{statistic}", CHANGES, f"""
-SELECT subreddit, replace(variable, '{statistic}_absolute', 'absolute') AS time, round(value, 12) AS average
+SELECT subreddit, replace(variable, '{statistic}_absolute', 'absolute') AS time, round(value, 12) + 0.0 AS average
 FROM ({P.melted('change', ['subreddit'], pieces)})""")
 
 # Samples.
@@ -140,10 +140,10 @@ def event_samples(slice_: str = "'all'") -> list[str]:
 
 
 add("period_mean_std", OVERALL_SAMPLES, """
-SELECT variable, period, count(value) AS n, round(avg(value), 12) AS mean, round(stddev_samp(value), 12) AS std
+SELECT variable, period, count(value) AS n, round(avg(value), 12) + 0.0 AS mean, round(stddev_samp(value), 12) + 0.0 AS std
 FROM samples GROUP BY variable, period""")
 add("period_mean_diff", SIGNIFICANT_SAMPLES, """
-SELECT variable, n1, n2, round(b, 4) AS before_mean, round(a, 4) AS after_mean, round(a - b, 4) AS mean_diff FROM (
+SELECT variable, n1, n2, round(b, 4) + 0.0 AS before_mean, round(a, 4) + 0.0 AS after_mean, round(a - b, 4) + 0.0 AS mean_diff FROM (
   SELECT variable, count(value) FILTER (WHERE period = 'before') AS n1,
     count(value) FILTER (WHERE period = 'after') AS n2, avg(value) FILTER (WHERE period = 'before') AS b, avg(value) FILTER (WHERE period = 'after') AS a
   FROM samples GROUP BY variable)""")
@@ -271,15 +271,15 @@ add("results_groups", [
 
 # Chart tables.
 add("distribution_by_group", SERIES, f"""
-SELECT subreddit, variable, count(value) AS n, round(min(value), 12) AS low,
-  round(quantile_cont(value, 0.25), 12) AS lower_quartile, round(median(value), 12) AS median,
-  round(quantile_cont(value, 0.75), 12) AS upper_quartile, round(max(value), 12) AS high
+SELECT subreddit, variable, count(value) AS n, round(min(value), 12) + 0.0 AS low,
+  round(quantile_cont(value, 0.25), 12) + 0.0 AS lower_quartile, round(median(value), 12) + 0.0 AS median,
+  round(quantile_cont(value, 0.75), 12) + 0.0 AS upper_quartile, round(max(value), 12) + 0.0 AS high
 FROM ({P.melted('community', ['subreddit'], COMMUNITY_VALUES)}) WHERE value IS NOT NULL GROUP BY subreddit, variable""")
 add("histogram_by_group", [*SERIES, binned("community", "avg_sentiment_score")], """
 SELECT subreddit, bin, count(*) AS months FROM (
   SELECT subreddit, CASE WHEN avg_sentiment_score = (SELECT low FROM ends) THEN 0 ELSE bin END AS bin FROM binned)
 WHERE bin IS NOT NULL GROUP BY subreddit, bin""")
-LINES = "SELECT date, period, variable, round(value, {digits}) AS value FROM ({rows})"
+LINES = "SELECT date, period, variable, round(value, {digits}) + 0.0 AS value FROM ({rows})"
 DATED = ["date", f"{P.PERIOD} AS period"]
 add("series_overall", OVERALL_PARTS, LINES.format(digits=12, rows=P.melted("overall", DATED, OVERALL_VALUES)))
 add("series_counts", SIGNIFICANT_PARTS, LINES.format(digits=4, rows=P.melted("significant", DATED, COUNTS)))

@@ -57,9 +57,9 @@ COMMUNITY = f"""
 community AS (
   SELECT a.*, m.sentiment_most, t.top40_avg_sentiment_score, tm.top40_sentiment_most,
     lpad(CAST(a.month AS VARCHAR), 2, '0') AS format_month, make_date(a.year, a.month, 1) AS date
-  FROM (SELECT {MONTH_KEYS}, round(avg(sentiment_score), 9) AS avg_sentiment_score FROM titled GROUP BY ALL) a
+  FROM (SELECT {MONTH_KEYS}, round(avg(sentiment_score), 10) + 0.0 AS avg_sentiment_score FROM titled GROUP BY ALL) a
   LEFT JOIN ({mode_per('titled', MONTH_KEYS, 'sentiment', 'sentiment_most')}) m USING ({MONTH_KEYS})
-  LEFT JOIN (SELECT {MONTH_KEYS}, round(avg(sentiment_score), 9) AS top40_avg_sentiment_score FROM top GROUP BY ALL) t
+  LEFT JOIN (SELECT {MONTH_KEYS}, round(avg(sentiment_score), 10) + 0.0 AS top40_avg_sentiment_score FROM top GROUP BY ALL) t
     USING ({MONTH_KEYS})
   LEFT JOIN ({mode_per('top', MONTH_KEYS, 'sentiment', 'top40_sentiment_most')}) tm USING ({MONTH_KEYS})
 )"""
@@ -67,8 +67,8 @@ community AS (
 OVERALL = f"""
 overall AS (
   SELECT a.*, m.overall_sentiment, t.top40_sentiment
-  FROM (SELECT date, year, month, format_month, round(avg(avg_sentiment_score), 12) AS overall_sentiment_score,
-          round(avg(top40_avg_sentiment_score), 12) AS overall_top40_sentiment_score
+  FROM (SELECT date, year, month, format_month, round(avg(avg_sentiment_score), 12) + 0.0 AS overall_sentiment_score,
+          round(avg(top40_avg_sentiment_score), 12) + 0.0 AS overall_top40_sentiment_score
         FROM community GROUP BY ALL) a
   LEFT JOIN ({mode_per('community', 'date', 'sentiment_most', 'overall_sentiment')}) m USING (date)
   LEFT JOIN ({mode_per('community', 'date', 'top40_sentiment_most', 'top40_sentiment')}) t USING (date)
@@ -175,8 +175,8 @@ NOTHING = "CAST(NULL AS DOUBLE)"
 def result_rows(source: str, test: str, statistic: str, n1: str, n2: str = "NULL",
                 df1: str = NOTHING, df2: str = NOTHING, p: str = NOTHING) -> str:
     return f"""
-SELECT test, variable, slice, n1, n2, round(statistic, 6) AS statistic, round(df1, 6) AS df1,
-  round(df2, 6) AS df2, round(p, 6) AS p_value, p >= 0.05 AS keep_null
+SELECT test, variable, slice, n1, n2, round(statistic, 6) + 0.0 AS statistic, round(df1, 6) + 0.0 AS df1,
+  round(df2, 6) + 0.0 AS df2, round(p, 6) + 0.0 AS p_value, p >= 0.05 AS keep_null
 FROM (SELECT '{test}' AS test, variable, slice, CAST({n1} AS BIGINT) AS n1, CAST({n2} AS BIGINT) AS n2,
         CAST({statistic} AS DOUBLE) AS statistic, CAST({df1} AS DOUBLE) AS df1, CAST({df2} AS DOUBLE) AS df2,
         CAST({p} AS DOUBLE) AS p FROM ({source}) source_rows)"""

@@ -115,5 +115,5 @@ SCORED = ",\n".join([
 
 PER_DOCUMENT = f"WITH {SCORED}\nSELECT doc_id, sentiment_score, sentiment FROM scored"
 PER_LABEL = f"""WITH {SCORED}
-SELECT source, sentiment, count(*) AS posts, round(avg(sentiment_score), 9) AS avg_sentiment_score
+SELECT source, sentiment, count(*) AS posts, round(avg(sentiment_score), 10) + 0.0 AS avg_sentiment_score
 FROM scored GROUP BY source, sentiment"""

@@ -30,8 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEYS = batteries.KEYS
 QUERIES: dict[str, Query] = {}
 
-SENTIMENT_DIGITS = 9
-# Statistics of means that already have nine places: more places, so none lies half way.
+SENTIMENT_DIGITS = 10
+# Statistics of means that already have ten places: more places, so none lies half way.
 SERIES_DIGITS = 12
 SCORE_DIGITS = 4
 TEST_DIGITS = 6
@@ -51,7 +51,7 @@ def rounded_results(df: DataFrame) -> DataFrame:
 
 
 # Monthly tables the test queries start from, written once per query. Means are kept
-# to nine places, so that equal ones tie whatever order they were summed in.
+# to ten places, so that equal ones tie whatever order they were summed in.
 
 def community(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = monthly.community_month(posts(spark, sf_dir), TOP_K)
