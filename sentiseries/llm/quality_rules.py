@@ -14,6 +14,7 @@ Repeated rows are measured and returned as often as they occur, a null id like a
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,11 @@ from sentiseries.sources.storage import stored
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+_MARKED = re.compile(r"(?:(?<=\s)|^)[^\s#*$%&|<>]*[#*$%&|<>]")
 GOOD, BAD, ABSTAIN = 1, 0, 2
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_text_lines", "n_letters", "n_capitals", "n_exclaimed",
+    "n_text_lines", "n_letters", "n_capitals", "n_exclaimed", "n_marked",
 )
 
 
@@ -69,6 +71,7 @@ def measure(text: str | None) -> tuple[int, ...]:
         capitals + int(np.count_nonzero(((codes >= 97) & (codes <= 122)) | (codes >= 0xC2))),
         capitals,
         text.count("!"),
+        len(_MARKED.findall(text)),
     )
 
 
@@ -82,27 +85,32 @@ def share(part: str, whole: str) -> Column:
     return F.col(part) / F.when(F.col(whole) > 0, F.col(whole))
 
 
-def rule(bad: Column, good: Column | None = None) -> Column:
-    vote = F.when(bad, BAD)
-    return (vote if good is None else vote.when(good, GOOD)).otherwise(ABSTAIN)
+def rule(bad: Column, good: Column) -> Column:
+    return F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
+
+
+def fault(value: Column, bad: float, good: float) -> Column:
+    """Bad above one bound, good below the other, else (or without a measure) no vote."""
+    return rule(value > bad, value < good)
 
 
 def rules() -> dict[str, Column]:
-    """Each rule's vote; without a measure it abstains.
+    """Each rule's vote.
 
-    A rule that looks for one fault abstains where it finds none: that says little
-    about other faults.
+    The fit learns from rules that agree, so every fault is measured in more than one way.
     """
     n = F.col("n_words")
     length = share("word_chars", "n_words")
     return {
         "length": rule(n < 10, n >= 30),
         "word_length": rule((length < 2) | (length > 14), (length >= 3) & (length <= 10)),
-        "symbols": rule(share("n_symbols", "n_words") > 0.15),
-        "repeated_lines": rule(share("n_dup_lines", "n_text_lines") > 0.3),
-        "repeated_windows": rule(share("n_repeat_words", "n_words") > 0.2),
-        "capitals": rule(share("n_capitals", "n_letters") > 0.5),
-        "exclamations": rule(share("n_exclaimed", "n_words") > 0.3),
+        "symbols_by_word": fault(share("n_symbols", "n_words"), 0.15, 0.03),
+        "symbols_by_character": fault(share("n_symbols", "word_chars"), 0.03, 0.006),
+        "words_with_symbols": fault(share("n_marked", "n_words"), 0.1, 0.03),
+        "repeated_lines": fault(share("n_dup_lines", "n_text_lines"), 0.3, 0.01),
+        "repeated_windows": fault(share("n_repeat_words", "n_words"), 0.2, 0.05),
+        "capitals": fault(share("n_capitals", "n_letters"), 0.5, 0.2),
+        "exclamations": fault(share("n_exclaimed", "n_words"), 0.3, 0.05),
     }
 
 
@@ -110,7 +118,8 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 1000, toleran
     """Log odds of good before any vote, and for each rule and vote what the vote adds.
 
     ``patterns`` are (votes, number of documents). Starts from all-must-pass: bad where a
-    rule says so. An abstention adds nothing.
+    rule says so. From the majority instead, a fault that few rules see would end in the
+    good class.
     """
     if not patterns:
         return 0.0, np.zeros((0, 3))
@@ -124,7 +133,6 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 1000, toleran
             sides.append(((weight @ cast.reshape(len(votes), -1)).reshape(-1, 3) + 1) / (weight.sum() + 3))
         prior = (counts @ posterior + 1) / (counts.sum() + 2)
         odds, adds = math.log(prior / (1 - prior)), np.log(sides[0]) - np.log(sides[1])
-        adds[:, ABSTAIN] = 0
         before = posterior
         posterior = 1 / (1 + np.exp(-np.clip(odds + np.einsum("prv,rv->p", cast, adds), -700, 700)))
         if np.abs(posterior - before).max() < tolerance:

@@ -4,8 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sentiseries.llm import quality_rules, secret_scan
-from sentiseries.llm.common import small_batches, table
+from sentiseries.llm import line_quality, quality_rules, secret_scan, toxicity
+from sentiseries.llm.common import remainder, small_batches, table
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(documents, labels, remainder(F.col("k"), 3) != 1)
+    scored = documents.select("doc_id", toxicity.score("text", model).alias("score"))
+    return scored.select(
+        "doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = line_quality.train(documents, labels, remainder(F.col("k"), 5) != 0)
+    scored = documents.select("doc_id", line_quality.score("text", model).alias("score"))
+    return scored.select(
+        "doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +53,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op5_line_quality": op5_line_quality,
     "op6_secret_scan": op6_secret_scan,
     "op9_quality_rules": op9_quality_rules,
 }
