@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sentiseries.llm import line_quality, quality_rules, secret_scan, toxicity
+from sentiseries.llm import decontaminate, line_quality, mixing, near_duplicates, quality_rules, secret_scan, toxicity
 from sentiseries.llm.common import remainder, small_batches, table
 
 
@@ -42,6 +42,15 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     weighed = quality_rules.weigh(table(spark, sf_dir, "documents"))
@@ -52,10 +61,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return near_duplicates.group(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op5_line_quality": op5_line_quality,
     "op6_secret_scan": op6_secret_scan,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLE: dict[str, str] = {}

@@ -24,10 +24,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from sentiseries.llm.common import labelled_sample, mixed, utf8
 from sentiseries.sources.storage import stored
 
-SIZES = (4, 5, 6)
+SIZES = (4, 5, 6, 7)
 BUCKETS = 1 << 20
 PER_CLASS = 4000
-LEAST_Z = 5.0
+LEAST_Z = 6.0
 PENALTY, ROUNDS, STEP = 0.1, 1500, 0.05
 #: Bytes that are hashed at once, to bound memory; a longer text is taken in overlapping pieces.
 PIECE = 1 << 20
