@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sentiseries.llm import decontaminate, line_quality, mixing, near_duplicates, quality_rules, secret_scan, toxicity
+from sentiseries.llm import (
+    decontaminate, html_text, line_quality, mixing, near_duplicates, quality_rules, secret_scan, toxicity, url_filter,
+)
 from sentiseries.llm.common import remainder, small_batches, table
 
 
@@ -19,6 +21,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    texts = table(spark, sf_dir, "pages").select("page_id", "url", html_text.extract("html").alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -68,6 +80,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_url_filter": op3_url_filter,
+    "op4_html_text": op4_html_text,
     "op5_line_quality": op5_line_quality,
     "op6_secret_scan": op6_secret_scan,
     "op7_decontaminate": op7_decontaminate,
@@ -75,4 +89,23 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
 }
-ORACLE: dict[str, str] = {}
+
+_HOST = "translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract(url, '^.*?://[^/?#]*(/[^?#]*)', 1, 's')"
+ORACLE: dict[str, str] = {
+    "op3_url_filter": f"""
+WITH sites AS (SELECT page_id, coalesce({_HOST}, '') AS host, coalesce({_PATH}, '') AS path FROM pages),
+listed AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM sites)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN regexp_matches(host, '(^|[^A-Za-z0-9])(spam[-_.]farm|cheap[-_.]pills|casino|free[-_.]bets|adult|ads[-_.]track|porn|xxx|viagra|payday[-_.]loans|link[-_.]farm)([^A-Za-z0-9]|$)')
+  THEN 'block' ELSE 'allow' END AS verdict
+FROM listed""",
+}
