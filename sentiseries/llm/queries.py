@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sentiseries.llm import (
-    decontaminate, html_text, line_quality, mixing, near_duplicates, quality_rules, secret_scan, toxicity, url_filter,
+    decontaminate, html_text, line_quality, mixing, near_duplicates, quality_rules, repeated_bytes, secret_scan, toxicity, url_filter,
 )
 from sentiseries.llm.common import remainder, small_batches, table
 
 
+def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return repeated_bytes.remove(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -79,6 +84,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_repeated_bytes": op1_repeated_bytes,
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
     "op4_html_text": op4_html_text,
