@@ -10,6 +10,8 @@ ORACLE: dict[str, str] = {}
 
 WIDE = [P.POSTS, P.WIDE_POSTS]
 SERIES = [P.POSTS, P.TITLED, P.TOP, P.COMMUNITY]
+EXACT = [P.POSTS, P.TITLED, P.TOP, P.COMMUNITY_EXACT]
+EXACT_OVERALL = [*EXACT, P.OVERALL_EXACT]
 SUBSET = f"""subreddit IN ({', '.join(f"'{c}'" for c in SUBSET_COMMUNITIES)})
   AND year IN ({', '.join(map(str, SUBSET_YEARS))})"""
 NARROW = "archived, author, gilded, num_comments, score, selftext, subreddit, title, year, month"
@@ -24,7 +26,7 @@ def add(name: str, parts: list[str], body: str) -> None:
 add("scan_submissions", WIDE, "SELECT * FROM wide")
 add("scan_multi_dir", WIDE, f"""
 SELECT {NARROW.replace('title', "CASE WHEN CAST(substr(name, 4) AS BIGINT) % 2 = 0 THEN title END AS title")} FROM wide""")
-add("json_roundtrip", WIDE, f"SELECT * FROM wide WHERE {SUBSET}")
+add("json_roundtrip", WIDE, "SELECT * FROM wide")
 COMMUNITY_ROWS = """
 SELECT date, format_month, month, sentiment_most, subreddit, round(avg_sentiment_score, 10) + 0.0 AS avg_sentiment_score,
   round(top40_avg_sentiment_score, 10) + 0.0 AS top40_avg_sentiment_score, top40_sentiment_most, year FROM community"""
@@ -71,8 +73,9 @@ add("topk_label_frequency", SERIES, f"SELECT {KEYS}, sentiment, count(sentiment)
 add("modal_label", SERIES, P.mode_per("titled", KEYS, "sentiment", "sentiment_most"))
 add("topk_modal_label", SERIES, P.mode_per("top", KEYS, "sentiment", "top40_sentiment_most"))
 add("community_month", SERIES, COMMUNITY_ROWS)
-add("overall_month", [*SERIES, P.OVERALL], """
-SELECT date, year, month, format_month, overall_sentiment_score, overall_top40_sentiment_score, overall_sentiment, top40_sentiment
+add("overall_month", EXACT_OVERALL, """
+SELECT date, year, month, format_month, round(overall_sentiment_score, 12) + 0.0 AS overall_sentiment_score,
+  round(overall_top40_sentiment_score, 12) + 0.0 AS overall_top40_sentiment_score, overall_sentiment, top40_sentiment
 FROM overall""")
 add("overall_modal_label", SERIES, """
 SELECT date, year, month, sentiment_most AS overall_sentiment, sentiment_sum FROM (
@@ -94,28 +97,29 @@ for names, part, source in (
         add(name, [P.POSTS, part], f"SELECT * REPLACE ({REPLACED}) FROM {source}")
 
 # Before and after.
-add("group_median_mean", SERIES, """
+add("group_median_mean", EXACT, """
 SELECT subreddit, round(median(avg_sentiment_score), 12) + 0.0 AS median_sentiment,
   round(avg(top40_avg_sentiment_score), 12) + 0.0 AS mean_top40_sentiment FROM community GROUP BY subreddit""")
-add("group_rank_median", SERIES, """
+add("group_rank_median", EXACT, """
 SELECT subreddit, round(median(avg_sentiment_score), 12) + 0.0 AS median_sentiment FROM community GROUP BY subreddit
 ORDER BY 2 DESC, 1""")
-add("group_rank_topk_mean", SERIES, """
+add("group_rank_topk_mean", EXACT, """
 SELECT subreddit, round(avg(top40_avg_sentiment_score), 12) + 0.0 AS mean_top40_sentiment FROM community GROUP BY subreddit
 ORDER BY 2 DESC, 1""")
 SIDES = ", ".join(
     f"round({s}, 12) + 0.0 AS {s}" for s in ("before_median", "before_mean", "after_median", "after_mean")
 )
 CHANGES = [*SERIES, P.CHANGE]
+EXACT_CHANGES = [*EXACT, P.CHANGE]
 for name in ("before_after_table", "before_after_outer"):
-    add(name, CHANGES, f"SELECT subreddit, {SIDES} FROM sides")
+    add(name, EXACT_CHANGES, f"SELECT subreddit, {SIDES} FROM sides")
 for statistic in ("median", "mean"):
-    add(f"change_{statistic}", CHANGES, f"""
+    add(f"change_{statistic}", EXACT_CHANGES, f"""
 SELECT subreddit, round(before_{statistic}, 12) + 0.0 AS before_{statistic}, round(after_{statistic}, 12) + 0.0 AS after_{statistic},
   round({statistic}_absolute_change, 12) + 0.0 AS absolute_change, round({statistic}_relative_change, 6) + 0.0 AS relative_change
 FROM change""")
     pieces = [f"before_{statistic}", f"after_{statistic}", f"{statistic}_absolute_change"]
-    add(f"unpivot_change_{statistic}", CHANGES, f"""
+    add(f"unpivot_change_{statistic}", EXACT_CHANGES, f"""
 SELECT subreddit, replace(variable, '{statistic}_absolute', 'absolute') AS time, round(value, 12) + 0.0 AS average
 FROM ({P.melted('change', ['subreddit'], pieces)})""")
 
@@ -139,7 +143,7 @@ def event_samples(slice_: str = "'all'") -> list[str]:
     return [P.EVENTS.replace("SELECT event_type", f"SELECT {slice_} AS slice, event_type")]
 
 
-add("period_mean_std", OVERALL_SAMPLES, """
+add("period_mean_std", [*EXACT_OVERALL, samples("overall", OVERALL_VALUES)], """
 SELECT variable, period, count(value) AS n, round(avg(value), 12) + 0.0 AS mean, round(stddev_samp(value), 12) + 0.0 AS std
 FROM samples GROUP BY variable, period""")
 add("period_mean_diff", SIGNIFICANT_SAMPLES, """
@@ -270,7 +274,7 @@ add("results_groups", [
 ))
 
 # Chart tables.
-add("distribution_by_group", SERIES, f"""
+add("distribution_by_group", EXACT, f"""
 SELECT subreddit, variable, count(value) AS n, round(min(value), 12) + 0.0 AS low,
   round(quantile_cont(value, 0.25), 12) + 0.0 AS lower_quartile, round(median(value), 12) + 0.0 AS median,
   round(quantile_cont(value, 0.75), 12) + 0.0 AS upper_quartile, round(max(value), 12) + 0.0 AS high
@@ -281,7 +285,7 @@ SELECT subreddit, bin, count(*) AS months FROM (
 WHERE bin IS NOT NULL GROUP BY subreddit, bin""")
 LINES = "SELECT date, period, variable, round(value, {digits}) + 0.0 AS value FROM ({rows})"
 DATED = ["date", f"{P.PERIOD} AS period"]
-add("series_overall", OVERALL_PARTS, LINES.format(digits=12, rows=P.melted("overall", DATED, OVERALL_VALUES)))
+add("series_overall", EXACT_OVERALL, LINES.format(digits=12, rows=P.melted("overall", DATED, OVERALL_VALUES)))
 add("series_counts", SIGNIFICANT_PARTS, LINES.format(digits=4, rows=P.melted("significant", DATED, COUNTS)))
 add("series_scores", SIGNIFICANT_PARTS, LINES.format(digits=4, rows=P.melted("significant", DATED, AVERAGES)))
 

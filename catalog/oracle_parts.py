@@ -64,6 +64,10 @@ community AS (
   LEFT JOIN ({mode_per('top', MONTH_KEYS, 'sentiment', 'top40_sentiment_most')}) tm USING ({MONTH_KEYS})
 )"""
 
+# What is published as a mean of means is averaged from unrounded means: a mean of values
+# kept to some places may lie exactly half way between two last places.
+COMMUNITY_EXACT = COMMUNITY.replace("round(avg(sentiment_score), 10) + 0.0", "avg(sentiment_score)")
+
 OVERALL = f"""
 overall AS (
   SELECT a.*, m.overall_sentiment, t.top40_sentiment
@@ -74,6 +78,10 @@ overall AS (
   LEFT JOIN ({mode_per('community', 'date', 'top40_sentiment_most', 'top40_sentiment')}) t USING (date)
 )"""
 
+OVERALL_EXACT = OVERALL.replace("round(avg(avg_sentiment_score), 12) + 0.0", "avg(avg_sentiment_score)").replace(
+    "round(avg(top40_avg_sentiment_score), 12) + 0.0", "avg(top40_avg_sentiment_score)"
+)
+
 
 def significant_table(name: str, keys: str, totals: tuple[str, str, str]) -> str:
     def side(rows: str, n: str, s: str, a: str) -> str:

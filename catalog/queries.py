@@ -31,7 +31,7 @@ KEYS = batteries.KEYS
 QUERIES: dict[str, Query] = {}
 
 SENTIMENT_DIGITS = 10
-# Statistics of means that already have ten places: more places, so none lies half way.
+# Statistics of means, taken from means that were not rounded before.
 SERIES_DIGITS = 12
 SCORE_DIGITS = 4
 TEST_DIGITS = 6
@@ -50,12 +50,20 @@ def rounded_results(df: DataFrame) -> DataFrame:
     return rounded(df, TEST_DIGITS, "statistic", "df1", "df2", "p_value")
 
 
-# Monthly tables the test queries start from, written once per query. Means are kept
-# to ten places, so that equal ones tie whatever order they were summed in.
+# Monthly tables. What is published as a mean of means starts from the exact ones; the
+# tests start from means kept to ten places, so that equal ones tie whatever order they
+# were summed in, written once per query.
+
+def exact_community(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly.community_month(posts(spark, sf_dir), TOP_K)
+
+
+def exact_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly.overall_month(exact_community(spark, sf_dir))
+
 
 def community(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exact = monthly.community_month(posts(spark, sf_dir), TOP_K)
-    return rounded(exact, SENTIMENT_DIGITS, *batteries.COMMUNITY)
+    return rounded(exact_community(spark, sf_dir), SENTIMENT_DIGITS, *batteries.COMMUNITY)
 
 
 def overall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,9 +114,8 @@ def scan_gz_json(spark, sf_dir):
 
 @query
 def json_roundtrip(spark, sf_dir):
-    path = fresh_path(spark, "subset")
-    subset = submissions.extract_subset(wide_posts(spark, sf_dir), SUBSET_COMMUNITIES, SUBSET_YEARS)
-    write_json(subset, path)
+    path = fresh_path(spark, "round_trip")
+    write_json(wide_posts(spark, sf_dir), path)
     return submissions.scan_submissions(spark, path)
 
 
@@ -239,7 +246,7 @@ def community_month(spark, sf_dir):
 
 @query
 def overall_month(spark, sf_dir):
-    return overall(spark, sf_dir).orderBy("date")
+    return rounded(exact_overall(spark, sf_dir), SERIES_DIGITS, *batteries.OVERALL).orderBy("date")
 
 
 @query
@@ -280,12 +287,12 @@ def outer_join_chain_by_group(spark, sf_dir):
 
 @query
 def group_median_mean(spark, sf_dir):
-    statistics = change.group_median_mean(community(spark, sf_dir))
+    statistics = change.group_median_mean(exact_community(spark, sf_dir))
     return rounded(statistics, SERIES_DIGITS, "median_sentiment", "mean_top40_sentiment")
 
 
 def _ranked(spark, sf_dir, by):
-    statistics = change.group_median_mean(community(spark, sf_dir))
+    statistics = change.group_median_mean(exact_community(spark, sf_dir))
     return rounded(series.ranked_groups(statistics, by), SERIES_DIGITS, by)
 
 
@@ -306,16 +313,16 @@ def _both_sides(df: DataFrame) -> DataFrame:
 
 @query
 def before_after_table(spark, sf_dir):
-    return _both_sides(change.before_after(community(spark, sf_dir), CUT))
+    return _both_sides(change.before_after(exact_community(spark, sf_dir), CUT))
 
 
 @query
 def before_after_outer(spark, sf_dir):
-    return _both_sides(change.before_after_outer(stored_community(spark, sf_dir), CUT))
+    return _both_sides(change.before_after_outer(stored(exact_community(spark, sf_dir), "community_month"), CUT))
 
 
 def _change(spark, sf_dir, statistic):
-    return change.change_table(change.before_after(community(spark, sf_dir), CUT), statistic)
+    return change.change_table(change.before_after(exact_community(spark, sf_dir), CUT), statistic)
 
 
 def _change_rounded(spark, sf_dir, statistic):
@@ -381,7 +388,7 @@ def sliced(samples: DataFrame, by: str | Column) -> DataFrame:
 
 @query
 def period_mean_std(spark, sf_dir):
-    return rounded(change.period_mean_std(overall_samples(spark, sf_dir)), SERIES_DIGITS, "mean", "std")
+    return rounded(change.period_mean_std(batteries.period_samples(stored(exact_overall(spark, sf_dir), "overall_month"), batteries.OVERALL, CUT)), SERIES_DIGITS, "mean", "std")
 
 
 @query
@@ -512,7 +519,7 @@ def results_groups(spark, sf_dir):
 @query
 def distribution_by_group(spark, sf_dir):
     numbers = ("low", "lower_quartile", "median", "upper_quartile", "high")
-    return rounded(series.distribution_by_group(community(spark, sf_dir)), SERIES_DIGITS, *numbers)
+    return rounded(series.distribution_by_group(exact_community(spark, sf_dir)), SERIES_DIGITS, *numbers)
 
 
 @query
@@ -522,7 +529,7 @@ def histogram_by_group(spark, sf_dir):
 
 @query
 def series_overall(spark, sf_dir):
-    return series.monthly_lines(overall(spark, sf_dir), batteries.OVERALL, CUT)
+    return rounded(series.monthly_lines(exact_overall(spark, sf_dir), batteries.OVERALL, CUT), SERIES_DIGITS, "value")
 
 
 @query
