@@ -32,9 +32,13 @@ def fixed_width_bin(value: Column, low: Column, high: Column, width: float) -> C
 def with_bins(
     df: DataFrame, value: str, out: str = "bin", width: float = 0.05, include_lowest: bool = False
 ) -> DataFrame:
-    """Add the bin index of ``value``; ``include_lowest`` puts the minimum in bin 0."""
-    ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    """Add the bin index of ``value``; ``include_lowest`` puts the minimum in bin 0.
+
+    NaN is in no bin and does not move the others.
+    """
     v = F.col(value).cast("double")
+    number = F.when(~F.isnan(v), v)
+    ends = df.agg(F.struct(F.min(number).alias("low"), F.max(number).alias("high"))).scalar()
     low, high = ends["low"].cast("double"), ends["high"].cast("double")
     index = fixed_width_bin(v, low, high, width)
     if include_lowest:

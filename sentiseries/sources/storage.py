@@ -8,23 +8,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+_folders: dict[tuple[str, str | None], str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor reaches, from ``spark.checkpoint.dir``.
+    """This application's folder inside the one every executor reaches.
 
-    Only a local session without the setting gets a folder of its own.
+    That is ``spark.checkpoint.dir``; only a local session without the setting gets a
+    temporary folder. The application's folder is removed when the driver's JVM ends.
     """
     context = spark.sparkContext
-    folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder all executors share")
-        if context.applicationId not in _local_folders:
-            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="sentiseries-")
-        folder = _local_folders[context.applicationId]
-    return folder
+    setting = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
+    known = (context.applicationId, setting)
+    if known not in _folders:
+        base = setting
+        if base is None:
+            if context.master != "local" and not context.master.startswith("local["):
+                raise ValueError(f"set {_SETTING} to a folder all executors share")
+            base = tempfile.mkdtemp(prefix="sentiseries-")
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{context.applicationId}-{uuid.uuid4().hex[:8]}")
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _folders[known] = path.toString()
+    return _folders[known]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

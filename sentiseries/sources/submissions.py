@@ -12,10 +12,40 @@ from sentiseries.functions.scalars import month_date
 from sentiseries.schemas import CLEANED, SUBMISSIONS, SUBMISSIONS_WIDE
 
 
+def _roots(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Folders under ``path`` that hold files, and those that hold ``column=value`` folders."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(top) or not files.getFileStatus(top).isDirectory():
+        return [path], []
+    plain, partitioned, folders = [], [], [top]
+    while folders:
+        folder = folders.pop()
+        inside = [s for s in files.listStatus(folder) if s.getPath().getName()[0] not in "_."]
+        below = [s.getPath() for s in inside if s.isDirectory()]
+        if any("=" in p.getName() for p in below):
+            partitioned.append(folder.toString())
+        elif len(below) < len(inside):
+            plain.append(folder.toString())
+        folders += [p for p in below if "=" not in p.getName()]
+    return (sorted(plain), sorted(partitioned)) if plain or partitioned else ([path], [])
+
+
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: StructType) -> DataFrame:
-    """JSON lines (plain or gzip) under one or more paths, at any depth."""
-    paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).option("recursiveFileLookup", True).json(paths)
+    """JSON lines (plain or gzip) under one or more paths, at any depth.
+
+    Columns may also come from ``column=value`` folders; filters on them skip folders.
+    """
+    reader = spark.read.schema(schema)
+    plain: list[str] = []
+    partitioned: list[str] = []
+    for one in [path] if isinstance(path, str) else path:
+        found = _roots(spark, one)
+        plain += found[0]
+        partitioned += found[1]
+    frames = [reader.json(plain)] if plain else []
+    frames += [reader.json(root) for root in partitioned]
+    return reduce(DataFrame.union, [f.select(*schema.fieldNames()) for f in frames])
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
@@ -60,17 +90,14 @@ def sorted_for_write(df: DataFrame, by: Sequence[str] = ("subreddit", "year", "m
     return ranged.sortWithinPartitions(*by).drop("_spread")
 
 
-def spread_for_write(
-    df: DataFrame, by: Sequence[str] = ("year", "month"), files: int = 64
-) -> DataFrame:
-    """Rows of each ``by`` value together, in up to ``files`` tasks.
+def spread_for_write(df: DataFrame, by: Sequence[str] = ("year", "month")) -> DataFrame:
+    """Rows of each ``by`` value together, in files of the size the session asks for.
 
-    Unlike a range sort this needs no sampling pass, which would run what comes
-    before it twice.
+    A rebalance joins small partitions and splits large ones at run time, by
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. Unlike a range sort it needs no
+    sampling pass, which would run what comes before it twice.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
-    placed = df.withColumn("_spread", spread).repartition(*by, "_spread")
-    return placed.sortWithinPartitions(*by).drop("_spread")
+    return df.hint("rebalance", *(F.col(c) for c in by)).sortWithinPartitions(*by)
 
 
 def has_keys() -> Column:

@@ -31,8 +31,8 @@ def chi2_independence(
 ) -> DataFrame:
     """Pearson's chi-squared over the categories present; ``n1`` rows, no ``n2``.
 
-    The sum of squared deviations over expectations equals N * (sum of
-    o^2 / (row total * column total) - 1), so empty cells need no rows. A
+    Observed cells add (o - e)^2 / e. An empty cell adds its e, and all cells' e sum to
+    N, so the empty ones add what the observed cells' e leave of N and need no rows. A
     two-by-two table gets the continuity correction: its four deviations are equal
     in size, so that size follows from the uncorrected sum and the expectations.
     """
@@ -40,10 +40,14 @@ def chi2_independence(
     rows = cells.groupBy(*keys, row).agg(F.sum("observed").alias("row_total"))
     columns = cells.groupBy(*keys, column).agg(F.sum("observed").alias("column_total"))
     o = F.col("observed").cast("double")
-    shares = cells.join(rows, [*keys, row]).join(columns, [*keys, column])
+    totals = rows.groupBy(*keys).agg(F.sum("row_total").alias("n"))
+    shares = cells.join(rows, [*keys, row]).join(columns, [*keys, column]).join(totals, list(keys))
+    shares = shares.withColumn("e", F.col("row_total") / F.col("n") * F.col("column_total"))
     sums = shares.groupBy(*keys).agg(
         F.sum("observed").alias("n"),
-        F.sum(o * o / F.col("row_total") / F.col("column_total")).alias("share"),
+        F.count(F.lit(1)).alias("n_cells"),
+        F.sum((o - F.col("e")) * (o - F.col("e")) / F.col("e")).alias("observed_part"),
+        F.sum("e").alias("expected"),
     )
     margins = (
         rows.groupBy(*keys).agg(
@@ -57,7 +61,9 @@ def chi2_independence(
         )
     )
     n = F.col("n").cast("double")
-    plain = F.greatest(n * (F.col("share") - 1), F.lit(0.0))
+    full = F.col("n_cells") == F.col("n_rows") * F.col("n_columns")
+    empty_part = F.when(full, 0.0).otherwise(F.greatest(n - F.col("expected"), F.lit(0.0)))
+    plain = F.col("observed_part") + empty_part
     dof = ((F.col("n_rows") - 1) * (F.col("n_columns") - 1)).cast("double")
     inverse_expected = n * F.col("row_inverse") * F.col("column_inverse")
     deviation = F.sqrt(plain / inverse_expected)

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from sentiseries.stats.moments import anova_results
-from sentiseries.stats.order import exact_median
+from sentiseries.stats.moments import anova_of_groups
+from sentiseries.stats.order import median_of_placed, value_counts, with_positions
 from sentiseries.stats.results import DEFAULT_ALPHA, observed
 
 
@@ -19,10 +19,34 @@ def levene(
 ) -> DataFrame:
     """Median-centred Levene test: an analysis of variance of the distances to the
     group medians. ``n1`` is the row count and ``n2`` the group count.
+
+    Everything comes from the placed value counts; the samples are read once. Medians,
+    and then mean distances, are one row per group and slice, so that a large group's
+    counts meet them in as many tasks as they were placed in.
     """
+    by = [*keys, group]
     rows = observed(samples).filter(F.col(group).isNotNull())
-    medians = exact_median(rows, [*keys, group])
-    distances = rows.join(medians, [*keys, group]).withColumn(
-        "value", F.abs(F.col("value") - F.col("median"))
+    placed = with_positions(value_counts(rows, by), by)
+    spread = placed.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(_parts(samples))))
+    parts = F.explode(F.sequence(*(F.lit(i).cast("long") for i in (0, _parts(samples) - 1)))).alias("_part")
+    medians = median_of_placed(placed, by).select(*by, "median", parts)
+    distances = spread.join(medians, [*by, "_part"]).select(
+        *by, "ties", F.abs(F.col("value") - F.col("median")).alias("distance")
+    )
+    # the distances of a group: size, mean and squares about the mean, merged from values
+    # of equal distance, each as one row with its ties
+    merged = distances.groupBy(*by, "distance").agg(F.sum("ties").alias("ties"))
+    sums = merged.groupBy(*by).agg(F.sum("ties").alias("n"), F.sum(F.col("ties") * F.col("distance")).alias("total"))
+    means = sums.select(*by, "n", (F.col("total") / F.col("n")).alias("mean"))
+    around = merged.withColumn("_part", F.pmod(F.xxhash64("distance"), F.lit(_parts(samples)))).join(
+        means.select(*by, "n", "mean", parts), [*by, "_part"]
+    )
+    gap = F.col("distance") - F.col("mean")
+    groups = around.groupBy(*by).agg(
+        F.max("n").alias("n"), F.max("mean").alias("mean"), F.sum(F.col("ties") * gap * gap).alias("squares")
     )
-    return anova_results(distances, "levene", keys, group, alpha)
+    return anova_of_groups(groups, "levene", keys, alpha)
+
+
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

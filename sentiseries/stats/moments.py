@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sentiseries.functions.pvalues import f_p, t_p
 from sentiseries.stats.results import DEFAULT_ALPHA, observed, results
@@ -90,34 +90,34 @@ def cohens_d(
     return results(m, "cohens_d", keys, d, F.col("n1"), F.col("n2"))
 
 
-def _anova(samples: DataFrame, keys: Sequence[str], group: str) -> DataFrame:
-    """F ratio per key: one pass gives both the per-group and the whole sums of squares."""
-    rows = observed(samples).filter(F.col(group).isNotNull())
-    moments = rows.groupingSets([[*keys, group], list(keys)], *keys, group).agg(
-        F.grouping(group).alias("whole"),
-        F.count("value").alias("n"),
-        (F.var_pop("value") * F.count("value")).alias("squares"),
-    )
-    is_whole = F.col("whole") == 1
-    per_key = moments.groupBy(*keys).agg(
-        F.count_if(~is_whole).alias("groups"),
-        F.max(F.when(is_whole, F.col("n"))).alias("n"),
-        F.max(F.when(is_whole, F.col("squares"))).alias("total"),
-        F.sum(F.when(~is_whole, F.col("squares"))).alias("within"),
+def _anova(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """F ratio per key from each group's size, mean and squares about its mean.
+
+    The squares between groups are summed from the distances of the group means, not
+    taken as a difference of two large sums.
+    """
+    of_key = Window.partitionBy(*keys)
+    n, mean = F.col("n").cast("double"), F.col("mean")
+    # means are centred on one of them first, so that a common offset costs no digits
+    centred = groups.withColumn("_shift", mean - F.min(mean).over(of_key))
+    about = centred.withColumn("_gap", F.col("_shift") - F.sum(n * F.col("_shift")).over(of_key) / F.sum(n).over(of_key))
+    per_key = about.groupBy(*keys).agg(
+        F.count("n").alias("groups"),
+        F.sum("n").alias("n"),
+        F.sum(n * F.col("_gap") * F.col("_gap")).alias("between"),
+        F.sum("squares").alias("within"),
     )
     dof1, dof2 = F.col("groups") - 1, F.col("n") - F.col("groups")
-    between = F.greatest(F.col("total") - F.col("within"), F.lit(0.0))
     return per_key.withColumns({
         "dof1": dof1.cast("double"),
         "dof2": dof2.cast("double"),
-        "f": F.try_divide(F.try_divide(between, dof1), F.try_divide(F.col("within"), dof2)),
+        "f": F.try_divide(F.try_divide(F.col("between"), dof1), F.try_divide(F.col("within"), dof2)),
     })
 
 
-def anova_results(
-    samples: DataFrame, test: str, keys: Sequence[str], group: str, alpha: float
-) -> DataFrame:
-    a = _anova(samples, keys, group)
+def anova_of_groups(groups: DataFrame, test: str, keys: Sequence[str], alpha: float) -> DataFrame:
+    """Analysis of variance of finished groups; a key's groups are few rows."""
+    a = _anova(groups, keys)
     p = f_p(F.col("f"), F.col("dof1"), F.col("dof2"))
     return results(
         a, test, keys, F.col("f"), F.col("n"), F.col("groups"),
@@ -132,7 +132,13 @@ def anova_oneway(
     alpha: float = DEFAULT_ALPHA,
 ) -> DataFrame:
     """One-way analysis of variance; ``n1`` is the row count and ``n2`` the group count."""
-    return anova_results(samples, "anova_oneway", keys, group, alpha)
+    rows = observed(samples).filter(F.col(group).isNotNull())
+    groups = rows.groupBy(*keys, group).agg(
+        F.count("value").alias("n"),
+        F.avg("value").alias("mean"),
+        (F.var_pop("value") * F.count("value")).alias("squares"),
+    )
+    return anova_of_groups(groups, "anova_oneway", keys, alpha)
 
 
 def _with_skewness_z(m: DataFrame) -> DataFrame:

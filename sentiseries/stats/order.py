@@ -1,9 +1,10 @@
 """Positions of values in sorted order, without sorting a whole group in one task.
 
-A window over a test's key would send all of its values to one task. Here equal
-values are counted first (so one frequent value is one row), each key's distinct
-values are cut into slices by edges taken from the values themselves, the slices'
-totals are accumulated, and only the rows inside one slice are sorted together.
+A window over a test's key would send all of its values to one task. Here equal values
+are counted first (so one frequent value is one row), the counts are range-partitioned
+by key and value and stored with the number of their partition, the partitions' totals
+are accumulated, and only rows of one key in one partition are sorted together. The
+number of partitions is the session's; a key may lie in many of them.
 """
 
 from __future__ import annotations
@@ -15,12 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sentiseries.sources.storage import stored
 from sentiseries.stats.results import observed
 
-# About how many distinct values share a slice, and the most edges a key may have.
-SLICE_VALUES = 100_000
-MAX_EDGES = 1_000
-# Edges are broadcast when the number of values promises no more than this many.
-BROADCAST_EDGES = 100_000
-
 
 def value_counts(
     samples: DataFrame, keys: Sequence[str], extra: dict[str, Column] | None = None
@@ -36,58 +31,27 @@ def value_counts(
     return typed.groupBy(*keys, "value").agg(F.count("value").alias("ties"), *more)
 
 
-def _edges(counts: DataFrame, keys: Sequence[str], slice_values: int) -> DataFrame:
-    """Sorted edges per key: the values whose hash falls in one of ``slice_values`` classes.
-
-    The choice depends on the values alone, so a recomputed task finds the same
-    edges. Keys that would get more than ``MAX_EDGES`` keep every n-th.
-    """
-    chosen = F.pmod(F.xxhash64("value", *keys), F.lit(slice_values)) == 0
-    found = counts.filter(chosen).groupBy(*keys).agg(F.array_sort(F.collect_list("value")).alias("all"))
-    every = F.ceil(F.size("all") / F.lit(MAX_EDGES)).cast("int")
-    return found.withColumn("every", every).select(
-        *keys, F.filter("all", lambda _, i: i % F.col("every") == 0).alias("edges")
-    )
-
-
-def with_positions(
-    counts: DataFrame, keys: Sequence[str], slice_values: int = SLICE_VALUES
-) -> DataFrame:
+def with_positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``before`` (values of the key that are smaller) and ``n`` (all of them).
 
-    The counts are written to the shared folder first, so what they were counted from
-    is read only once and their number is known. When one slice holds them all, a
-    window per key is enough.
+    The counts are placed and written once, when this is called: what they were
+    counted from is read once, and the boundaries between partitions stay the same
+    whatever is computed again.
     """
-    counts = stored(counts, "value_counts")
-    size = counts.count()
-    if size <= slice_values:
-        return _accumulated(counts, keys).withColumn("n", F.sum("ties").over(Window.partitionBy(*keys)))
-
-    edges = _edges(counts, keys, slice_values)
-    if size <= slice_values * BROADCAST_EDGES:
-        edges = F.broadcast(edges)
-    passed = F.size(F.filter(F.col("edges"), lambda edge: edge <= F.col("value")))
-    sliced = counts.join(edges, list(keys), "left").withColumn(
-        "_slice", F.coalesce(passed, F.lit(0))
-    ).drop("edges")
-
-    totals = sliced.groupBy(*keys, "_slice").agg(F.sum("ties").alias("_slice_total"))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = counts.repartitionByRange(*keys, "value").withColumn("_slice", F.spark_partition_id())
+    placed = stored(ranged, "value_counts")
+    totals = placed.groupBy(*keys, "_slice").agg(F.sum("ties").alias("_total"))
+    of_key = Window.partitionBy(*keys)
     offsets = totals.select(
         *keys,
         "_slice",
-        F.coalesce(F.sum("_slice_total").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_slice_total").over(Window.partitionBy(*keys)).alias("n"),
+        (F.sum("_total").over(of_key.orderBy("_slice")) - F.col("_total")).alias("_offset"),
+        F.sum("_total").over(of_key).alias("n"),
     )
-    placed = _accumulated(sliced, [*keys, "_slice"]).join(offsets, [*keys, "_slice"])
-    return placed.withColumn("before", F.col("before") + F.col("_offset")).drop("_slice", "_offset")
-
-
-def _accumulated(counts: DataFrame, within: Sequence[str]) -> DataFrame:
-    """Add ``before``: the ties of the smaller values in the same partition."""
-    smaller = Window.partitionBy(*within).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("ties").over(smaller), F.lit(0)))
+    within = Window.partitionBy(*keys, "_slice").orderBy("value")
+    ordered = placed.withColumn("before", F.sum("ties").over(within) - F.col("ties"))
+    joined = ordered.join(offsets, [*keys, "_slice"])
+    return joined.withColumn("before", F.col("before") + F.col("_offset")).drop("_slice", "_offset")
 
 
 def average_rank() -> Column:
@@ -95,9 +59,8 @@ def average_rank() -> Column:
     return F.col("before") + (F.col("ties") + 1) / 2
 
 
-def exact_median(samples: DataFrame, keys: Sequence[str], out: str = "median") -> DataFrame:
+def median_of_placed(placed: DataFrame, keys: Sequence[str], out: str = "median") -> DataFrame:
     """Median per key; the mean of the two middle values when the count is even."""
-    placed = with_positions(value_counts(samples, keys), keys)
 
     def at(position: Column) -> Column:
         here = (F.col("before") < position) & (position <= F.col("before") + F.col("ties"))
@@ -105,3 +68,7 @@ def exact_median(samples: DataFrame, keys: Sequence[str], out: str = "median") -
 
     low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
     return placed.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias(out))
+
+
+def exact_median(samples: DataFrame, keys: Sequence[str], out: str = "median") -> DataFrame:
+    return median_of_placed(with_positions(value_counts(samples, keys), keys), keys, out)

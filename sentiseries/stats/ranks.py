@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sentiseries.functions.pvalues import chi2_p, exact_rank_sum_p, two_sided_normal_p
 from sentiseries.sources.storage import stored
@@ -12,8 +12,9 @@ from sentiseries.stats.moments import PERIODS
 from sentiseries.stats.order import average_rank, value_counts, with_positions
 from sentiseries.stats.results import DEFAULT_ALPHA, observed, results
 
-# The exact distribution is used when the smaller sample has at most this many values.
+# Fixed value: the published rule "auto" is exact up to this size of the smaller sample.
 EXACT_UP_TO = 8
+METHODS = ("auto", "exact", "asymptotic")
 
 
 def mann_whitney(
@@ -22,12 +23,16 @@ def mann_whitney(
     sample: str = "period",
     pair: tuple[str, str] = PERIODS,
     alpha: float = DEFAULT_ALPHA,
+    method: str = "auto",
 ) -> DataFrame:
     """Mann-Whitney U of the first sample, two-sided.
 
-    Exact when one sample is small and no values tie, else the tie-corrected
-    normal approximation with continuity correction.
+    ``asymptotic`` is the tie-corrected normal approximation with continuity
+    correction. ``exact`` counts arrangements, which holds without ties. ``auto`` is exact
+    when no values tie and the smaller sample has at most ``EXACT_UP_TO`` values.
     """
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     first, second = (F.col(sample) == name for name in pair)
     counts = value_counts(
         samples.filter(first | second), keys,
@@ -47,7 +52,8 @@ def mann_whitney(
     variance = n1 * n2 / 12 * (n + 1 - F.try_divide(F.col("tie_sum"), n * (n - 1)))
     z = F.try_divide(F.abs(u - n1 * n2 / 2) - 0.5, F.sqrt(variance))
     has_both = (F.col("n1") > 0) & (F.col("n2") > 0)
-    exact = (F.least("n1", "n2") <= EXACT_UP_TO) & (F.col("tie_sum") == 0)
+    auto = (F.least("n1", "n2") <= EXACT_UP_TO) & (F.col("tie_sum") == 0)
+    exact = auto if method == "auto" else F.lit(method == "exact")
     sums = sums.withColumns({
         "u": F.when(has_both, u),
         "z": F.when(has_both & ~exact, z),
@@ -83,14 +89,18 @@ def kruskal_wallis(
         # Summed over a value's groups this is ties^3 - ties.
         F.sum(F.col("in_group") * (t * t - 1)).alias("tie_sum"),
     )
-    sums = groups.groupBy(*keys).agg(
+    # squared distances of the groups' mean ranks from the middle rank, not a difference
+    # of two large sums
+    all_ranks = F.sum("size").over(Window.partitionBy(*keys))
+    gap = F.col("rank_sum") / F.col("size") - (all_ranks + 1) / 2
+    sums = groups.withColumn("_gap", gap).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("groups"),
         F.sum("size").alias("n"),
-        F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("size")).alias("squares"),
+        F.sum(F.col("size") * F.col("_gap") * F.col("_gap")).alias("squares"),
         F.sum("tie_sum").alias("tie_sum"),
     )
     n = F.col("n")
-    h = 12 / (n * (n + 1)) * F.col("squares") - 3 * (n + 1)
+    h = 12 / (n * (n + 1)) * F.col("squares")
     correction = 1 - F.try_divide(F.col("tie_sum"), n * n * n - n)
     dof = (F.col("groups") - 1).cast("double")
     sums = sums.withColumns({"dof": dof, "h": F.when(dof > 0, F.try_divide(h, correction))})

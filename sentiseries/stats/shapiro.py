@@ -29,11 +29,15 @@ CHUNK = 10_000
 
 
 def _expanded(placed: DataFrame) -> DataFrame:
-    """One row per observation with its 1-based position ``i``."""
+    """One row per observation with its 1-based position ``i``.
+
+    The chunks of a frequent value are dealt out before they expand, a few numbers each.
+    """
     first = F.col("before") + 1
     last = F.col("before") + F.col("ties")
     chunks = placed.withColumn("start", F.explode(F.sequence(first, last, F.lit(CHUNK).cast("long"))))
     end = F.least(F.col("start") + CHUNK - 1, last)
+    chunks = chunks.repartition(F.xxhash64("value", "start"))
     return chunks.withColumn("i", F.explode(F.sequence("start", end))).drop("start")
 
 

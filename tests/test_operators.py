@@ -147,3 +147,12 @@ def test_sorted_write_splits_a_hot_key_and_keeps_global_order(spark):
 def test_union_fills_missing_columns(spark):
     a, b = spark.range(1).withColumn("t", F.lit("x")), spark.range(1)
     assert submissions.union_by_name([a, b], missing=True).filter("t IS NULL").count() == 1
+
+
+def test_nan_is_in_no_bin_and_moves_none(spark):
+    values = [None, 1.0, 4.0, 5.0]
+    plain = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    odd = plain.union(spark.createDataFrame([(9, float("nan"))], "i int, v double"))
+    want = {r["i"]: r["bin"] for r in with_bins(plain, "v", width=1.0).collect()}
+    got = {r["i"]: r["bin"] for r in with_bins(odd, "v", width=1.0).collect()}
+    assert got == want | {9: None} and want[3] == 3

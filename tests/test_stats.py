@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sentiseries.functions import pvalues as P
 from sentiseries.functions.normal import with_normal_quantile
-from sentiseries.stats import order
+from sentiseries.stats import order, shapiro
 from sentiseries.stats.chi2 import chi2_independence
 from sentiseries.stats.levene import levene
 from sentiseries.stats.moments import (
@@ -87,14 +87,30 @@ def brute_positions(values):
     return {v: (sum(w < v for w in values), values.count(v), len(values)) for v in values}
 
 
-@pytest.mark.parametrize("slice_values, max_edges", [(100_000, 1000), (3, 1000), (2, 4)])
-def test_positions_with_any_slicing(spark, monkeypatch, slice_values, max_edges):
-    monkeypatch.setattr(order, "MAX_EDGES", max_edges)
-    rng = random.Random(slice_values)
+@pytest.fixture
+def settings(spark):
+    """Sets session settings for one test."""
+    before = {}
+
+    def put(**values):
+        for name, value in values.items():
+            key = "spark.sql." + name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key))
+            spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_positions_with_any_slicing(spark, settings, partitions):
+    settings(shuffle__partitions=str(partitions), adaptive__coalescePartitions__enabled="false")
+    rng = random.Random(partitions)
     groups = {"a": [float(rng.randrange(60)) for _ in range(400)], "b": [rng.random() for _ in range(90)], "c": [1.0]}
     rows = [(g, v) for g, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "g string, value double")
-    placed = order.with_positions(order.value_counts(df, ["g"]), ["g"], slice_values).collect()
+    placed = order.with_positions(order.value_counts(df, ["g"]), ["g"]).collect()
     got = {(r["g"], r["value"]): (r["before"], r["ties"], r["n"]) for r in placed}
     want = {(g, v): p for g, values in groups.items() for v, p in brute_positions(values).items()}
     assert got == want
@@ -251,3 +267,74 @@ def test_nulls_and_nan_are_left_out(spark):
     row = one(ttest_student(df))
     assert (row["n1"], row["n2"]) == (3, 2)
     assert one(levene(df))["n1"] == 5
+
+
+# Digits, bounds and hot values.
+
+def test_f_ratio_keeps_its_digits_beside_a_large_offset(spark):
+    """Groups around 1e6 with a spread of 1e-3, against the sums done in exact numbers."""
+    from fractions import Fraction
+
+    rng = random.Random(3)
+    rows = [(g, 1e6 + rng.gauss(0, 1e-3) + (1e-5 if g == "b" else 0)) for g in "abc" for _ in range(4000)]
+    groups = {g: [Fraction(v) for h, v in rows if h == g] for g in "abc"}
+    means = {g: sum(v) / len(v) for g, v in groups.items()}
+    middle = sum(sum(v) for v in groups.values()) / len(rows)
+    between = sum(len(v) * (means[g] - middle) ** 2 for g, v in groups.items()) / 2
+    within = sum((x - means[g]) ** 2 for g, v in groups.items() for x in v) / (len(rows) - 3)
+    df = spark.createDataFrame(rows, "subreddit string, value double").withColumn("variable", F.lit("v"))
+    assert one(anova_oneway(df))["statistic"] == pytest.approx(float(between / within), rel=1e-4)
+
+
+def test_levene_meets_a_brute_force(spark):
+    rng = random.Random(4)
+    groups = {g: [round(rng.gauss(0, s), 1) for _ in range(n)] for g, s, n in (("a", 1, 60), ("b", 3, 41), ("c", 1, 7))}
+    gaps = {g: [abs(x - statistics.median(v)) for x in v] for g, v in groups.items()}
+    every = [x for v in gaps.values() for x in v]
+    between = sum(len(v) * (statistics.fmean(v) - statistics.fmean(every)) ** 2 for v in gaps.values()) / 2
+    within = sum((x - statistics.fmean(v)) ** 2 for v in gaps.values() for x in v) / (len(every) - 3)
+    df = spark.createDataFrame([(g, x) for g, v in groups.items() for x in v], "subreddit string, value double")
+    got = one(levene(df.withColumn("variable", F.lit("v")), group="subreddit"))
+    assert got["statistic"] == pytest.approx(between / within) and (got["n1"], got["n2"]) == (len(every), 3)
+
+
+def test_tails_for_many_degrees_of_freedom():
+    assert P.f_upper(1, 4, 1e12) == pytest.approx(P.chi2_upper(4, 4), rel=1e-8)
+    for dof in (1e3, 1e6, 1e9, 1e12):
+        assert P.f_upper(1, dof, dof) == pytest.approx(0.5, rel=1e-8)
+        assert P.f_upper(1.0001, dof, dof / 3) + P.f_upper(1 / 1.0001, dof / 3, dof) == pytest.approx(1, rel=1e-8)
+    for t in (0.1, 1.96, 6.0):
+        assert P.t_two_sided(t, 1e12) == pytest.approx(P.normal_two_sided(t), rel=1e-8)
+    # both ways to a probability meet where one takes over from the other
+    for a in (0.999e8, 1.001e8):
+        z = 1.5 / math.sqrt(2 * a) / 2
+        assert P.beta_lower(0.5 - z / 2, a, a) == pytest.approx(P.normal_upper(z / 2 * math.sqrt(8 * a)), rel=1e-6)
+
+
+def test_a_fraction_that_does_not_settle_has_no_value(monkeypatch):
+    monkeypatch.setattr(P, "_MOST_TERMS", 3)
+    assert math.isnan(P.f_upper(1.3, 1e5, 1e5))
+
+
+def test_exact_rank_sum_is_bounded():
+    # one value against many: every place is as likely
+    assert P.rank_sum_exact(25, 1, 10**9) == pytest.approx(2 * 26 / (10**9 + 1))
+    assert P.rank_sum_exact(4e9, 8, 10**9) == pytest.approx(1.0, rel=1e-6)
+    assert 0.1 < P.rank_sum_exact(3e6, 8, 10**6) < 0.5
+    assert math.isnan(P.rank_sum_exact(9e7, 10**4, 10**4 * 2))
+
+
+def test_rank_sum_methods(two):
+    exact, plain = (one(mann_whitney(two, method=m)) for m in ("exact", "asymptotic"))
+    assert exact["statistic"] == plain["statistic"] and exact["p_value"] == pytest.approx(plain["p_value"], abs=0.05)
+    with pytest.raises(ValueError):
+        mann_whitney(two, method="other")
+
+
+def test_a_frequent_value_expands_in_many_tasks(spark, settings):
+    settings(adaptive__coalescePartitions__enabled="false")
+    rows = spark.range(1_000_000).select(F.lit("v").alias("variable"), F.lit(1.0).alias("value"))
+    rows = rows.union(spark.createDataFrame([("v", float(i)) for i in range(50)], "variable string, value double"))
+    placed = order.with_positions(order.value_counts(rows, ["variable"]), ["variable"])
+    spread = shapiro._expanded(placed).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in spread) == 1_000_050 and sum(r["count"] > 10_000 for r in spread) > 3
