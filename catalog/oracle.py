@@ -26,6 +26,8 @@ def add(name: str, parts: list[str], body: str) -> None:
 add("scan_submissions", WIDE, "SELECT * FROM wide")
 add("scan_multi_dir", WIDE, f"""
 SELECT {NARROW.replace('title', "CASE WHEN CAST(substr(name, 4) AS BIGINT) % 2 = 0 THEN title END AS title")} FROM wide""")
+add("scan_partitioned", WIDE, "SELECT * FROM wide")
+add("extract_partitioned", WIDE, f"SELECT * FROM wide WHERE {SUBSET}")
 add("json_roundtrip", WIDE, "SELECT * FROM wide")
 COMMUNITY_ROWS = """
 SELECT date, format_month, month, sentiment_most, subreddit, round(avg_sentiment_score, 10) + 0.0 AS avg_sentiment_score,
@@ -77,6 +79,9 @@ add("overall_month", EXACT_OVERALL, """
 SELECT date, year, month, format_month, round(overall_sentiment_score, 12) + 0.0 AS overall_sentiment_score,
   round(overall_top40_sentiment_score, 12) + 0.0 AS overall_top40_sentiment_score, overall_sentiment, top40_sentiment
 FROM overall""")
+add("overall_by_posts", SERIES, """
+SELECT year, month, count(*) AS posts, round(avg(sentiment_score), 10) + 0.0 AS mean_sentiment_score,
+  lpad(CAST(month AS VARCHAR), 2, '0') AS format_month, make_date(year, month, 1) AS date FROM titled GROUP BY year, month""")
 add("overall_modal_label", SERIES, """
 SELECT date, year, month, sentiment_most AS overall_sentiment, sentiment_sum FROM (
   SELECT date, year, month, sentiment_most, count(sentiment_most) AS sentiment_sum,
@@ -90,8 +95,8 @@ OVERALL_VALUES = ["overall_sentiment_score", "overall_top40_sentiment_score"]
 COMMUNITY_VALUES = ["avg_sentiment_score", "top40_avg_sentiment_score"]
 REPLACED = ", ".join(f"round({a}, 4) + 0.0 AS {a}" for a in AVERAGES)
 for names, part, source in (
-    (("significant_overall", "outer_join_chain"), P.SIGNIFICANT, "significant"),
-    (("significant_by_group", "outer_join_chain_by_group"), P.SIGNIFICANT_GROUP, "significant_group"),
+    (("significant_overall", "significant_overall_from_counts", "outer_join_chain"), P.SIGNIFICANT, "significant"),
+    (("significant_by_group", "significant_by_group_from_counts", "outer_join_chain_by_group"), P.SIGNIFICANT_GROUP, "significant_group"),
 ):
     for name in names:
         add(name, [P.POSTS, part], f"SELECT * REPLACE ({REPLACED}) FROM {source}")
@@ -283,6 +288,10 @@ add("histogram_by_group", [*SERIES, binned("community", "avg_sentiment_score")],
 SELECT subreddit, bin, count(*) AS months FROM (
   SELECT subreddit, CASE WHEN avg_sentiment_score = (SELECT low FROM ends) THEN 0 ELSE bin END AS bin FROM binned)
 WHERE bin IS NOT NULL GROUP BY subreddit, bin""")
+add("histogram_by_group_topk", [*SERIES, binned("community", "top40_avg_sentiment_score")], """
+SELECT subreddit, bin, count(*) AS months FROM (
+  SELECT subreddit, CASE WHEN top40_avg_sentiment_score = (SELECT low FROM ends) THEN 0 ELSE bin END AS bin FROM binned)
+WHERE bin IS NOT NULL GROUP BY subreddit, bin""")
 LINES = "SELECT date, period, variable, round(value, {digits}) + 0.0 AS value FROM ({rows})"
 DATED = ["date", f"{P.PERIOD} AS period"]
 add("series_overall", EXACT_OVERALL, LINES.format(digits=12, rows=P.melted("overall", DATED, OVERALL_VALUES)))

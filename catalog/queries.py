@@ -105,6 +105,22 @@ def scan_multi_dir(spark, sf_dir):
     return submissions.scan_multi_dir(spark, path)
 
 
+def _partitioned(spark, sf_dir):
+    path = fresh_path(spark, "partitioned")
+    write_json(wide_posts(spark, sf_dir).select(*schemas.SUBMISSIONS_WIDE.fieldNames()), path, ("year", "month"))
+    return submissions.scan_submissions(spark, path)
+
+
+@query
+def scan_partitioned(spark, sf_dir):
+    return _partitioned(spark, sf_dir)
+
+
+@query
+def extract_partitioned(spark, sf_dir):
+    return submissions.extract_subset(_partitioned(spark, sf_dir), SUBSET_COMMUNITIES, SUBSET_YEARS)
+
+
 @query
 def scan_gz_json(spark, sf_dir):
     path = fresh_path(spark, "series")
@@ -249,6 +265,11 @@ def overall_month(spark, sf_dir):
     return rounded(exact_overall(spark, sf_dir), SERIES_DIGITS, *batteries.OVERALL).orderBy("date")
 
 
+@query
+def overall_by_posts(spark, sf_dir):
+    return rounded(monthly.overall_by_posts(posts(spark, sf_dir)), SENTIMENT_DIGITS, "mean_sentiment_score")
+
+
 @query
 def overall_modal_label(spark, sf_dir):
     return monthly.overall_modal_label(community(spark, sf_dir)).drop("format_month")
@@ -270,6 +291,18 @@ def significant_by_group(spark, sf_dir):
     return _significant_rounded(significant.significant_by_group(dated_posts(spark, sf_dir)))
 
 
+@query
+def significant_overall_from_counts(spark, sf_dir):
+    counts = stored(significant.significant_counts(dated_posts(spark, sf_dir)), "significant_counts")
+    return _significant_rounded(significant.from_counts(counts))
+
+
+@query
+def significant_by_group_from_counts(spark, sf_dir):
+    counts = stored(significant.significant_counts(dated_posts(spark, sf_dir)), "significant_counts")
+    return _significant_rounded(significant.from_counts(counts, ("date", "subreddit"), significant.GROUP_TOTALS))
+
+
 @query
 def outer_join_chain(spark, sf_dir):
     return _significant_rounded(significant.significant_by_joins(dated_posts(spark, sf_dir)))
@@ -527,6 +560,11 @@ def histogram_by_group(spark, sf_dir):
     return series.histogram_by_group(stored_community(spark, sf_dir), width=BIN_WIDTH)
 
 
+@query
+def histogram_by_group_topk(spark, sf_dir):
+    return series.histogram_by_group(stored_community(spark, sf_dir), "top40_avg_sentiment_score", BIN_WIDTH)
+
+
 @query
 def series_overall(spark, sf_dir):
     return rounded(series.monthly_lines(exact_overall(spark, sf_dir), batteries.OVERALL, CUT), SERIES_DIGITS, "value")

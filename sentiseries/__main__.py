@@ -12,6 +12,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from sentiseries.functions.scalars import Labels
 from sentiseries.plans import jobs
 from sentiseries.plans.settings import Settings
 
@@ -20,19 +21,27 @@ def main(arguments: list[str] | None = None) -> None:
     defaults = Settings()
     parser = argparse.ArgumentParser(prog="sentiseries")
     parser.add_argument("job", choices=("extract", "process", "tests", "charts"))
-    parser.add_argument("--input", default=defaults.input_dir)
+    parser.add_argument("--input", help="the collection for extract, its subset for process")
     parser.add_argument("--output", default=defaults.output_dir)
     parser.add_argument("--target", default="data/input/submissions")
     parser.add_argument("--lexicon")
     parser.add_argument("--cut-date", default=defaults.cut_date)
     parser.add_argument("--top-k", type=int, default=defaults.top_k)
+    parser.add_argument("--top-k-salts", type=int, default=defaults.top_k_salts)
     parser.add_argument("--alpha", type=float, default=defaults.alpha)
+    parser.add_argument("--significant-cut", type=float, default=defaults.significant_cut)
+    parser.add_argument("--bin-width", type=float, default=defaults.bin_width)
+    names = defaults.labels
+    parser.add_argument("--labels", nargs=3, default=[names.positive, names.neutral, names.negative],
+                        metavar=("POSITIVE", "NEUTRAL", "NEGATIVE"))
     parser.add_argument("--communities", nargs="+", default=list(defaults.communities))
     parser.add_argument("--years", nargs="+", type=int, default=list(defaults.years))
     parser.add_argument("--format", choices=("parquet", "json"), default=defaults.table_format)
     options = parser.parse_args(arguments)
     settings = Settings(
-        input_dir=options.input, output_dir=options.output, lexicon_path=options.lexicon,
+        raw_dir=options.input or defaults.raw_dir, input_dir=options.input or defaults.input_dir,
+        output_dir=options.output, lexicon_path=options.lexicon, labels=Labels(*options.labels),
+        significant_cut=options.significant_cut, bin_width=options.bin_width, top_k_salts=options.top_k_salts,
         cut_date=options.cut_date, top_k=options.top_k, alpha=options.alpha,
         communities=tuple(options.communities), years=tuple(options.years),
         table_format=options.format,

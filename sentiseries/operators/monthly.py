@@ -94,6 +94,13 @@ def overall_month(community: DataFrame) -> DataFrame:
     )
 
 
+def overall_by_posts(scored: DataFrame) -> DataFrame:
+    """Mean sentiment of all posts of a month, each post counting once."""
+    return with_month_date(titled(scored).groupBy("year", "month").agg(
+        F.count("title").alias("posts"), F.avg("sentiment_score").alias("mean_sentiment_score")
+    ))
+
+
 def overall_modal_label(community: DataFrame) -> DataFrame:
     """Most common community label per month, joined back onto the month's row count."""
     votes = community.groupBy("date", "year", "month", "format_month", "sentiment_most").agg(

@@ -6,10 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Spark cuts each map task's rows of a group to k before the shuffle only up to
-# this k (its default for spark.sql.optimizer.windowGroupLimitThreshold).
-PRE_SHUFFLE_LIMIT = 1000
-WIDE_K_SALTS = 64
+# Spark cuts each map task's rows of a group to k before the shuffle only up to this k.
+PRE_SHUFFLE_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def by_score(tie_columns: Sequence[str] = ("id",), score: str = "score") -> list[Column]:
@@ -34,13 +32,16 @@ def top_k_per_group(
     """The first ``k`` rows of each group, with their rank.
 
     ``row_number() <= k`` plans as a group limit inside every map task, so a hot
-    group sends at most k rows per map task to the task that ranks it. Past
-    ``PRE_SHUFFLE_LIMIT`` that early cut no longer happens; then the group is
-    split over ``salts`` first, each part cut to its own first k, and only the
-    survivors are ranked together. The result is the same either way.
+    group sends at most k rows per map task to the task that ranks it. For a k beyond
+    the session's ``PRE_SHUFFLE_LIMIT`` Spark makes no such cut; then the group is
+    split over ``salts`` first (as many as the session has shuffle partitions), each
+    part cut to its own first k, and only the survivors are ranked together. The
+    result is the same either way.
     """
     if salts is None:
-        salts = 1 if k <= PRE_SHUFFLE_LIMIT else WIDE_K_SALTS
+        conf = df.sparkSession.conf
+        cut_early = k <= int(conf.get(PRE_SHUFFLE_LIMIT, "1000"))
+        salts = 1 if cut_early else int(conf.get("spark.sql.shuffle.partitions"))
     if salts > 1:
         spread = F.pmod(F.xxhash64(*(salt_on or df.columns)), F.lit(salts))
         parts = _ranked(df.withColumn("_salt", spread), [*keys, "_salt"], order, "_part_rank")

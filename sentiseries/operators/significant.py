@@ -50,6 +50,41 @@ def significant(
     )
 
 
+def significant_counts(scored: DataFrame, cut: float = 0.5) -> DataFrame:
+    """What both tables are made of, per date and community, from one scan.
+
+    Per side (``pos``, ``neg``, ``all``): rows, titles, scores that are not null, their sum.
+    """
+    sides = {"pos": F.col("sentiment_score") > cut, "neg": F.col("sentiment_score") < -cut, "all": F.lit(True)}
+    return scored.groupBy("date", "subreddit").agg(*(
+        measure.alias(f"{side}_{name}")
+        for side, where in sides.items()
+        for name, measure in (
+            ("rows", F.count_if(where)), ("titles", F.count(F.when(where, F.col("title")))),
+            ("scores", F.count(F.when(where, F.col("score")))), ("sum", F.sum(F.when(where, F.col("score")))),
+        )
+    ))
+
+
+def from_counts(
+    counts: DataFrame, keys: Sequence[str] = ("date",), totals: tuple[str, str, str] = OVERALL_TOTALS
+) -> DataFrame:
+    """The table of ``significant`` from finished ``significant_counts``."""
+
+    def of(side: str) -> tuple[Column, Column, Column]:
+        total = F.sum(f"{side}_sum")
+        return F.sum(f"{side}_titles"), total, F.try_divide(total, F.sum(f"{side}_scores"))
+
+    pos, neg, (number, total, mean) = of("pos"), of("neg"), of("all")
+    return counts.groupBy(*keys).agg(
+        F.when(F.sum("pos_rows") > 0, pos[0]).alias("num_pos_submissions"),
+        F.when(F.sum("neg_rows") > 0, neg[0]).alias("num_neg_submissions"),
+        pos[1].alias("pos_sum_score"), neg[1].alias("neg_sum_score"),
+        pos[2].alias("pos_avg_score"), neg[2].alias("neg_avg_score"),
+        number.alias(totals[0]), total.alias(totals[1]), mean.alias(totals[2]),
+    )
+
+
 def significant_overall(scored: DataFrame, cut: float = 0.5) -> DataFrame:
     return significant(scored, ("date",), OVERALL_TOTALS, cut)
 

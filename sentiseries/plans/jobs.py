@@ -14,19 +14,32 @@ from sentiseries.operators.sentiment import lexicon_frame, read_lexicon, score_s
 from sentiseries.plans import batteries
 from sentiseries.plans.settings import Settings
 from sentiseries.sources import submissions
-from sentiseries.sources.storage import write
+from sentiseries.sources.storage import stored, write
 
 CLEANED, SCORED = "cleaned", "scored"
 COMMUNITY, OVERALL = "community_month", "overall_month"
+OVERALL_BY_POSTS = "overall_month_by_posts"
 SIGNIFICANT, SIGNIFICANT_BY_GROUP = "significant_overall", "significant_by_group"
 # Cleaned posts carry no key. A hash of the title settles equal scores: rows equal in
 # both have the same title and so the same sentiment, and the sort stays narrow.
 TITLE_KEY = "title_key"
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    one = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = one.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(one).toString().rstrip("/") + "/"
+
+
 def extract(spark: SparkSession, settings: Settings, target: str) -> None:
-    """Copy the studied communities and years out of the full collection, as gzip JSON."""
-    posts = submissions.scan_submissions(spark, settings.input_dir)
+    """Copy the studied communities and years out of the full collection, as gzip JSON.
+
+    The target is replaced, so it may not lie in the collection, nor the other way round.
+    """
+    source, out = _qualified(spark, settings.raw_dir), _qualified(spark, target)
+    if source.startswith(out) or out.startswith(source):
+        raise ValueError(f"the target {target} and the collection {settings.raw_dir} lie in each other")
+    posts = submissions.scan_submissions(spark, settings.raw_dir)
     write(submissions.extract_subset(posts, settings.communities, settings.years), target, "json")
 
 
@@ -54,6 +67,12 @@ def quarantined(spark: SparkSession, settings: Settings) -> DataFrame:
     return _read(spark, settings, CLEANED, schemas.CLEANED_MARKED).filter("NOT has_keys")
 
 
+def quarantine_counts(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Rows kept and rows set apart."""
+    marked = _read(spark, settings, CLEANED, schemas.CLEANED_MARKED)
+    return marked.groupBy("has_keys").agg(F.count(F.lit(1)).alias("posts"))
+
+
 def score(spark: SparkSession, settings: Settings) -> None:
     """Score and label every cleaned post; the scored table is laid out by month."""
     marked = _read(spark, settings, CLEANED, schemas.CLEANED_MARKED)
@@ -65,21 +84,28 @@ def score(spark: SparkSession, settings: Settings) -> None:
 
 
 def build_series(spark: SparkSession, settings: Settings) -> None:
-    """The community and overall monthly series and both significance tables."""
+    """The community and overall monthly series and both significance tables.
+
+    The scored table is read four times: for all posts and the top k of each community,
+    for the mean over posts, and for the counts both significance tables are made of.
+    """
     scored = _read(spark, settings, SCORED, schemas.SCORED)
     ordered = scored.withColumn(TITLE_KEY, F.xxhash64("title"))
     community = monthly.community_month(ordered, settings.top_k, (TITLE_KEY,), settings.top_k_salts)
     _write(settings, community.orderBy("subreddit", "date"), COMMUNITY)
     community = _read(spark, settings, COMMUNITY, schemas.COMMUNITY_MONTH)
     _write(settings, monthly.overall_month(community).orderBy("date"), OVERALL)
+    _write(settings, monthly.overall_by_posts(scored).orderBy("date"), OVERALL_BY_POSTS)
     dated = monthly.with_month_date(scored)
-    cut = settings.significant_cut
-    _write(settings, significant.significant_overall(dated, cut), SIGNIFICANT)
-    _write(settings, significant.significant_by_group(dated, cut), SIGNIFICANT_BY_GROUP)
+    counts = stored(significant.significant_counts(dated, settings.significant_cut), "significant_counts")
+    _write(settings, significant.from_counts(counts), SIGNIFICANT)
+    by_group = significant.from_counts(counts, ("date", "subreddit"), significant.GROUP_TOTALS)
+    _write(settings, by_group, SIGNIFICANT_BY_GROUP)
 
 
 def process(spark: SparkSession, settings: Settings) -> None:
     clean(spark, settings)
+    _write(settings, quarantine_counts(spark, settings), "quarantine_counts")
     score(spark, settings)
     build_series(spark, settings)
 
@@ -101,8 +127,20 @@ def community_results(spark: SparkSession, settings: Settings) -> DataFrame:
     )
 
 
+def period_means(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Mean and standard deviation before and after, of every monthly series."""
+    overall = _read(spark, settings, OVERALL, schemas.OVERALL_MONTH)
+    counts = _read(spark, settings, SIGNIFICANT, schemas.SIGNIFICANT_OVERALL)
+    cut = settings.cut_date
+    return change.period_mean_std(submissions.union_by_name([
+        batteries.period_samples(overall, batteries.OVERALL, cut),
+        batteries.period_samples(counts, batteries.AVERAGES + batteries.COUNTS, cut),
+    ]))
+
+
 def run_tests(spark: SparkSession, settings: Settings) -> None:
-    """Write the three results tables."""
+    """Write the three results tables and the means they compare."""
+    _write(settings, period_means(spark, settings), "period_means")
     _write(settings, overall_results(spark, settings), "results_overall")
     _write(settings, significant_results(spark, settings), "results_significant")
     _write(settings, community_results(spark, settings), "results_communities")
@@ -119,6 +157,9 @@ def chart_tables(spark: SparkSession, settings: Settings) -> dict[str, DataFrame
     return {
         "distribution_by_group": series.distribution_by_group(community),
         "histogram_by_group": series.histogram_by_group(community, width=settings.bin_width),
+        "histogram_by_group_topk": series.histogram_by_group(
+            community, "top40_avg_sentiment_score", settings.bin_width
+        ),
         "group_rank_median": series.ranked_groups(ranked, "median_sentiment"),
         "group_rank_topk_mean": series.ranked_groups(ranked, "mean_top40_sentiment"),
         "change_median": change.melt_change(change.change_table(both, "median"), "median"),

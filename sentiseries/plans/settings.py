@@ -16,13 +16,14 @@ CUT_DATE = "2020-03-01"
 
 @dataclass(frozen=True)
 class Settings:
+    raw_dir: str = "data/raw"
     input_dir: str = "data/input"
     output_dir: str = "data/output"
     communities: tuple[str, ...] = COMMUNITIES
     years: tuple[int, ...] = YEARS
     cut_date: str = CUT_DATE
     top_k: int = 40
-    # Parts a community-month is ranked in first; None lets the size of top_k decide.
+    # Parts a community-month is ranked in first; None asks the session's settings.
     top_k_salts: int | None = None
     labels: Labels = field(default_factory=Labels)
     significant_cut: float = 0.5

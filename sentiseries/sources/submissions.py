@@ -13,7 +13,11 @@ from sentiseries.schemas import CLEANED, SUBMISSIONS, SUBMISSIONS_WIDE
 
 
 def _roots(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Folders under ``path`` that hold files, and those that hold ``column=value`` folders."""
+    """What to read plainly under ``path``, and the folders that hold ``column=value`` folders.
+
+    A folder with files only is read as a folder; files beside folders are named one by
+    one, as a reader of their folder would look into the others.
+    """
     top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(top) or not files.getFileStatus(top).isDirectory():
@@ -25,7 +29,9 @@ def _roots(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
         below = [s.getPath() for s in inside if s.isDirectory()]
         if any("=" in p.getName() for p in below):
             partitioned.append(folder.toString())
-        elif len(below) < len(inside):
+        elif below:
+            plain += [s.getPath().toString() for s in inside if s.isFile()]
+        elif inside:
             plain.append(folder.toString())
         folders += [p for p in below if "=" not in p.getName()]
     return (sorted(plain), sorted(partitioned)) if plain or partitioned else ([path], [])

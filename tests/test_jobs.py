@@ -4,10 +4,12 @@ import json
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from sentiseries.__main__ import main
 from sentiseries.plans import jobs
 from sentiseries.plans.settings import Settings
+from sentiseries.sources import submissions
 
 TITLES = ["great day", "bad news", "very good", "not good", "a crisis", "nothing", None]
 
@@ -70,6 +72,49 @@ def test_results_tables(spark, finished):
     assert groups.count() == 4 + 2 + 4 + 6 + 6 + 2 + 1 + 8 + 1 + 1
 
 
+def test_period_means_and_quarantine_counts(spark, finished):
+    means = read(spark, finished, "period_means").collect()
+    assert len(means) == 2 * (2 + 3 + 3) and sum(r["n"] for r in means) > 0
+    counted = {r["has_keys"]: r["posts"] for r in read(spark, finished, "quarantine_counts").collect()}
+    assert counted == {True: read(spark, finished, jobs.SCORED).count()}
+
+
+def test_scored_table_has_few_files(spark, finished):
+    months = {(p["year"], p["month"]) for p in raw_posts()}
+    files = read(spark, finished, jobs.SCORED).select(F.input_file_name()).distinct().count()
+    assert files <= 2 * len(months)
+
+
+def one_post(folder, name, **more):
+    folder.mkdir(parents=True, exist_ok=True)
+    with gzip.open(folder / name, "wt") as file:
+        file.write(json.dumps({"subreddit": "nyc", "title": "x", "score": 1, **more}) + "\n")
+
+
+def test_columns_come_from_folders_and_from_records(spark, tmp_path):
+    one_post(tmp_path / "monthly" / "year=2019" / "month=3", "a.json.gz")
+    one_post(tmp_path / "monthly" / "year=2020" / "month=11", "b.json.gz")
+    one_post(tmp_path / "plain" / "deep", "c.json.gz", year=2021, month=5)
+    one_post(tmp_path, "d.json.gz", year=2018, month=1)
+    scan = submissions.scan_submissions(spark, str(tmp_path))
+    assert {(r["year"], r["month"]) for r in scan.collect()} == {(2019, 3), (2020, 11), (2021, 5), (2018, 1)}
+    subset = submissions.extract_subset(submissions.scan_submissions(spark, str(tmp_path / "monthly")), ["nyc"], [2019])
+    assert subset.count() == 1
+    plan = subset._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_extract_runs_twice_and_refuses_its_own_input(spark, tmp_path):
+    one_post(tmp_path / "raw", "a.json.gz", year=2019, month=3)
+    for _ in range(2):
+        main(["extract", "--input", str(tmp_path / "raw"), "--target", str(tmp_path / "subset" / "submissions")])
+        assert submissions.scan_submissions(spark, str(tmp_path / "subset")).count() == 1
+    for target in (tmp_path / "raw" / "submissions", tmp_path / "raw", tmp_path):
+        with pytest.raises(ValueError):
+            main(["extract", "--input", str(tmp_path / "raw"), "--target", str(target)])
+    assert submissions.scan_submissions(spark, str(tmp_path / "raw")).count() == 1
+
+
 def test_chart_tables_exist(spark, finished):
     for name in jobs.chart_tables(spark, finished):
         assert read(spark, finished, f"charts/{name}").count() > 0
