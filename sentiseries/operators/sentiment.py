@@ -1,10 +1,10 @@
-"""Lexicon sentiment of whole texts, as one join and one aggregation.
+"""Lexicon sentiment of whole texts, each row scored by itself.
 
-Each text is split once; every token row already carries its three predecessors
-and two successors, so no window over token order is needed. Joining the token to
-the lexicon keeps only sentiment words, whose valence is adjusted in place. Texts
-are placed by their key before they are split; the sums per word and per text and
-the join back to the rows all reuse that placement.
+A text is split into tokens; a token that the lexicon knows is a sentiment word, whose
+valence the words around it adjust. That needs a few dictionary lookups per token and
+the neighbours of sentiment words only, so it is one Arrow-batched pass over the texts:
+no row of tokens, no join and no shuffle of texts. What follows from the summed valence
+and the text's marks is a column expression.
 
 A word that occurs more than once takes the valence of its first occurrence, as
 the published implementation looks tokens up by value.
@@ -12,18 +12,26 @@ the published implementation looks tokens up by value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import string
+import sys
+from collections.abc import Iterator
+from dataclasses import asdict
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sentiseries.functions.scalars import Labels, sentiment_label
 from sentiseries.operators import rules as R
 from sentiseries.operators.rules import Rules
 from sentiseries.schemas import LEXICON
 
-_KEY = "_text_key"
-# Rows that share a text are keyed into this many slots, so no text is one task's work.
-TEXT_SLOTS = 512
-# A lexicon of up to this many entries (a few megabytes) is broadcast.
-BROADCAST_ENTRIES = 100_000
+# Sent to the Python workers by value, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(R)
+
+# A lexicon is a list of words that every task holds; one with more entries is an error.
+MOST_ENTRIES = 1_000_000
 
 # A small original lexicon, enough to try the jobs; real use passes a full one.
 SAMPLE_LEXICON = {
@@ -46,205 +54,106 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("token", "valence").dropna()
 
 
-def tokens(text: Column) -> Column:
+def tokens(text: str) -> list[str]:
     """Words and emoticons of more than one character, one run of punctuation stripped.
 
     A run is stripped only when it stands on one side of a word of at least two
     characters that has no other punctuation.
     """
-    runs = "|".join(
-        "".join("\\" + mark for mark in run) for run in sorted(R.STRIPPED_RUNS, key=len, reverse=True)
-    )
-    word = rf"[^\p{{Punct}}{R.SPACE}]{{2,}}+"
-    bare = F.regexp_replace(
-        text,
-        rf"(?<![^{R.SPACE}])(?:(?:{runs})({word})|({word})(?:{runs}))(?![^{R.SPACE}])",
-        "$1$2",
-    )
-    return F.filter(F.split(bare, f"[{R.SPACE}]+"), lambda token: F.length(token) > 1)
-
-
-def is_upper(token: Column) -> Column:
-    """Some cased letter, and none in lower or title case."""
-    return (
-        (F.upper(token) == token)
-        & (F.lower(token) != token)
-        & ~F.rlike(token, F.lit(r"[\p{IsLowercase}\p{Lt}]"))
-    )
-
-
-def _positions(words: Column) -> Column:
-    """Array of structs: each token with its position and neighbours."""
-
-    def at(i: Column) -> Column:
-        return F.get(words, i)
-
-    return F.transform(
-        words,
-        lambda token, i: F.struct(
-            i.alias("pos"),
-            token.alias("token"),
-            at(i - 1).alias("back1"),
-            at(i - 2).alias("back2"),
-            at(i - 3).alias("back3"),
-            at(i + 1).alias("next1"),
-            at(i + 2).alias("next2"),
-        ),
-    )
-
-
-def _mixed_case(words: Column) -> Column:
-    """Some tokens all in capitals, but not all of them."""
-    return F.exists(words, is_upper) & F.exists(words, lambda token: ~is_upper(token))
-
-
-def _token_rows(texts: DataFrame, text: str, rules: Rules) -> DataFrame:
-    """One row per token with its context, its case-folded form and its contrast weight."""
-    split = texts.select(_KEY, tokens(F.col(text)).alias("words"))
-    placed = split.select(
-        _KEY,
-        _mixed_case(F.col("words")).alias("mixed_case"),
-        F.array_position(F.transform("words", F.lower), rules.contrast).alias("contrast_at"),
-        _positions(F.col("words")).alias("positions"),
-    )
-    # The outer form keeps Spark from adding a size check that would split the text
-    # again; the row it leaves for a text without tokens drops out in the join.
-    rows = placed.select(_KEY, "mixed_case", "contrast_at", F.inline_outer("positions"))
-    turn = F.col("contrast_at") - 1
-    weight = (
-        F.when(F.col("contrast_at") == 0, 1.0)
-        .when(F.col("pos") < turn, 0.5)
-        .when(F.col("pos") > turn, 1.5)
-        .otherwise(1.0)
-    )
-    return rows.withColumns({"weight": weight, "word": F.lower("token")}).drop("contrast_at")
-
-
-def _vocabulary(lexicon: DataFrame, rules: Rules) -> DataFrame:
-    """One row per known word: its valence, its boost and whether it negates."""
-    spark = lexicon.sparkSession
-    words = sorted(rules.boosters.keys() | set(rules.negations))
-    modifiers = spark.createDataFrame(
-        [(word, rules.boosters.get(word), word in rules.negations) for word in words],
-        "word string, boost double, denies boolean",
-    )
-    valences = lexicon.groupBy(F.col("token").alias("word")).agg(F.max("valence").alias("valence"))
-    vocabulary = valences.join(modifiers, "word", "outer")
-    # Marked for broadcast when the lexicon is counted to be small; without the mark
-    # Spark joins a larger vocabulary by shuffling on the word.
-    is_small = lexicon.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
-    return F.broadcast(vocabulary) if is_small else vocabulary
-
-
-def _with_predecessor(hits: DataFrame, vocabulary: DataFrame, k: int) -> DataFrame:
-    """What the k-th word back says: ``plain``, ``boost``, ``shout`` and ``deny``.
-
-    A predecessor counts only when it is there and is no sentiment word itself.
-    """
-    back = F.col(f"back{k}")
-    known = vocabulary.select(
-        F.col("word").alias("known"), F.col("valence").alias("own"),
-        F.col("boost").alias(f"boost{k}"), "denies",
-    )
-    return hits.join(known, F.lower(back) == F.col("known"), "left").withColumns({
-        f"plain{k}": back.isNotNull() & F.col("own").isNull(),
-        f"deny{k}": F.coalesce("denies", F.lit(False)) | F.lower(back).contains("n't"),
-        f"shout{k}": F.col(f"boost{k}").isNotNull() & F.col("mixed_case") & is_upper(back),
-    }).drop("known", "own", "denies")
-
-
-def _phrases(rules: Rules) -> dict[str, Column]:
-    """``idiom``: value of an idiom the token is part of, the spans ahead of it first.
-    ``soft``: a dampening pair comes before it.
-    """
-
-    def phrase(*names: str) -> Column:
-        # Null as soon as one of the words is missing.
-        return F.concat(*(part for name in names for part in (F.lit(" "), F.col(name))))
-
-    spans = F.array(
-        phrase("token", "next1", "next2"), phrase("token", "next1"), phrase("back1", "token"),
-        phrase("back2", "back1", "token"), phrase("back2", "back1"),
-        phrase("back3", "back2", "back1"), phrase("back3", "back2"),
-    )
-    table = F.create_map(*(F.lit(x) for name, v in rules.idioms.items() for x in (" " + name, v)))
-    found = F.filter(spans, lambda span: F.map_contains_key(table, F.coalesce(span, F.lit(""))))
-    # Every span holds one of these three words, and few words occur in idioms.
-    parts = sorted({word for idiom in rules.idioms for word in idiom.split()})
-    touched = F.coalesce(
-        F.col("token").isin(parts) | F.col("back1").isin(parts) | F.col("back2").isin(parts),
-        F.lit(False),
-    )
-    idiom = F.when(touched, F.try_element_at(table, F.get(found, F.lit(0))))
-    pairs = [" " + pair for pair in R.DAMPENER_PAIRS]
-    soft = phrase("back3", "back2").isin(pairs) | phrase("back2", "back1").isin(pairs)
-    return {"idiom": idiom, "soft": F.coalesce(soft, F.lit(False))}
-
-
-def _after_predecessor(k: int, valence: Column) -> Column:
-    """Valence after the k-th word back has had its say, if that is no sentiment word."""
-    size, shout = F.col(f"boost{k}"), F.col(f"shout{k}")
-    caps = F.when(shout, F.when(valence > 0, R.CAPS_BOOST).otherwise(-R.CAPS_BOOST)).otherwise(0.0)
-    step = (F.when(valence < 0, -size).otherwise(size) + caps) * R.DISTANCE_DAMPING[k - 1]
-    return F.when(F.col(f"plain{k}") & size.isNotNull(), valence + step).otherwise(valence)
-
-
-def _after_negation(k: int, valence: Column) -> Column:
-    """Valence after a negation k words back, or the emphasis of "never so"."""
-
-    def emphatic(back: str) -> Column:
-        return F.col(back).isin("so", "this")
-
-    changed = F.when(F.lit(False), valence)
-    if k == 2:
-        changed = changed.when((F.col("back2") == "never") & emphatic("back1"), valence * 1.5)
-    if k == 3:
-        never = (F.col("back3") == "never") & emphatic("back2")
-        changed = changed.when(never | emphatic("back1"), valence * 1.25)
-    changed = changed.when(F.col(f"deny{k}"), valence * R.NEGATION_FACTOR).otherwise(valence)
-    if k == 3:
-        changed = F.coalesce(F.col("idiom"), changed) - F.when(F.col("soft"), R.BOOST).otherwise(0.0)
-    return F.when(F.col(f"plain{k}"), changed).otherwise(valence)
-
-
-def _word_valences(rows: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
-    """Rows of sentiment words only, with ``valence`` adjusted by context."""
-    vocabulary = _vocabulary(lexicon, rules)
-    carriers = vocabulary.filter(F.col("valence").isNotNull() & F.col("boost").isNull())
-    hits = rows.join(carriers.select("word", "valence"), "word")
-    half_phrase = (F.col("word") == "kind") & (F.lower("next1") == "of")
-    hits = hits.filter(~F.coalesce(half_phrase, F.lit(False)))
-    for k in (1, 2, 3):
-        hits = _with_predecessor(hits, vocabulary, k)
-
-    valence = F.col("valence")
-    louder = F.when(valence > 0, valence + R.CAPS_BOOST).otherwise(valence - R.CAPS_BOOST)
-    shouted = F.col("mixed_case") & is_upper(F.col("token"))
-    hits = hits.withColumns(_phrases(rules) | {"valence": F.when(shouted, louder).otherwise(valence)})
-    for k in (1, 2, 3):
-        hits = hits.withColumn("valence", _after_predecessor(k, valence))
-        hits = hits.withColumn("valence", _after_negation(k, valence))
-    least = F.col("plain1") & (F.lower("back1") == "least")
-    excepted = F.coalesce(F.lower("back2").isin("at", "very"), F.lit(False))
-    flipped = F.when(least & ~excepted, valence * R.NEGATION_FACTOR).otherwise(valence)
-    return hits.select(_KEY, "pos", "token", "weight", flipped.alias("valence"))
-
-
-def _placed(keyed: DataFrame, text: str) -> DataFrame:
-    """Texts placed by key alone.
-
-    This one shuffle of key and text serves the removal of copies, both groupings
-    and the join back, and it spreads the splitting of long texts over all tasks.
-    """
-    return keyed.filter(F.col(text).isNotNull()).select(_KEY, text).repartition(_KEY)
-
-
-def _totals(hits: DataFrame) -> DataFrame:
-    """Weighted valence sum per text; rows already lie by text key, so nothing moves."""
-    per_word = hits.groupBy(_KEY, "token").agg(
-        F.min_by("valence", "pos").alias("valence"), F.sum("weight").alias("weight")
-    )
-    return per_word.groupBy(_KEY).agg(F.sum(F.col("valence") * F.col("weight")).alias("total"))
+    out = []
+    for token in text.split():
+        if token[0] in string.punctuation or token[-1] in string.punctuation:
+            tail = token.lstrip(string.punctuation)
+            word = tail.rstrip(string.punctuation)
+            lead, trail = token[: len(token) - len(tail)], tail[len(word) :]
+            if len(word) > 1 and (lead or trail) in R.STRIPPED_RUNS and not (lead and trail) and not any(c in string.punctuation for c in word):
+                token = word
+        if len(token) > 1:
+            out.append(token)
+    return out
+
+
+class Scorer:
+    """Sums the valences of texts under a lexicon and rules."""
+
+    def __init__(self, valences: dict[str, float], rules: Rules):
+        self.valences, self.rules = valences, rules
+        self.negations = frozenset(rules.negations)
+        self.carriers = {w: v for w, v in valences.items() if w not in rules.boosters}
+
+    def total(self, text: str) -> float:
+        words = tokens(text)
+        lower = [w.lower() for w in words]
+        hits = [i for i, w in enumerate(lower) if w in self.carriers and not (w == "kind" and lower[i + 1 : i + 2] == ["of"])]
+        if not hits:
+            return 0.0
+        upper = [w.isupper() for w in words]
+        mixed = any(upper) and not all(upper)
+        turn = lower.index(self.rules.contrast) if self.rules.contrast in lower else None
+        first: dict[str, float] = {}
+        weights: dict[str, float] = {}
+        for i in hits:
+            word = words[i]
+            if word not in first:
+                first[word] = self.valence(words, lower, upper if mixed else None, i)
+            weight = 1.0 if turn is None or i == turn else 0.5 if i < turn else 1.5
+            weights[word] = weights.get(word, 0.0) + weight
+        return sum(first[w] * weights[w] for w in first)
+
+    def valence(self, words: list[str], lower: list[str], upper: list[bool] | None, i: int) -> float:
+        """The valence of the sentiment word at ``i`` in its context.
+
+        ``upper`` tells words in capitals where a text has some and others.
+        """
+        value = self.carriers[lower[i]]
+        if upper and upper[i]:
+            value += R.CAPS_BOOST if value > 0 else -R.CAPS_BOOST
+        for k in (1, 2, 3):
+            # a predecessor counts only when it is there and is no sentiment word itself
+            if i >= k and lower[i - k] not in self.valences:
+                value = self.after_booster(value, lower[i - k], upper and upper[i - k], k)
+                value = self.after_negation(value, words, lower, i, k)
+        least = i >= 1 and lower[i - 1] == "least" and "least" not in self.valences
+        if least and not (i >= 2 and lower[i - 2] in ("at", "very")):
+            value *= R.NEGATION_FACTOR
+        return value
+
+    def after_booster(self, value: float, back: str, shouted: bool | None, k: int) -> float:
+        size = self.rules.boosters.get(back)
+        if size is None:
+            return value
+        step = -size if value < 0 else size
+        if shouted:
+            step += R.CAPS_BOOST if value > 0 else -R.CAPS_BOOST
+        return value + step * R.DISTANCE_DAMPING[k - 1]
+
+    def after_negation(self, value: float, words: list[str], lower: list[str], i: int, k: int) -> float:
+        """Valence after a negation k words back, or the emphasis of "never so"."""
+        emphatic = ("so", "this")
+        back = lower[i - k]
+        if k == 2 and words[i - 2] == "never" and words[i - 1] in emphatic:
+            changed = value * 1.5
+        elif k == 3 and (words[i - 3] == "never" and words[i - 2] in emphatic or words[i - 1] in emphatic):
+            changed = value * 1.25
+        elif back in self.negations or "n't" in back:
+            changed = value * R.NEGATION_FACTOR
+        else:
+            changed = value
+        if k < 3:
+            return changed
+        # the spans of an idiom, those that reach ahead first; here three words are behind
+        spans = ((i, i + 3), (i, i + 2), (i - 1, i + 1), (i - 2, i + 1), (i - 2, i), (i - 3, i), (i - 3, i - 1))
+        found = (self.rules.idioms.get(" ".join(words[a:b])) for a, b in spans if b <= len(words))
+        changed = next((v for v in found if v is not None), changed)
+        soft = " ".join(words[i - 3 : i - 1]) in R.DAMPENER_PAIRS or " ".join(words[i - 2 : i]) in R.DAMPENER_PAIRS
+        return changed - R.BOOST if soft else changed
+
+
+def _valences(lexicon: DataFrame) -> dict[str, float]:
+    rows = lexicon.dropna().groupBy("token").agg(F.max("valence").alias("valence")).limit(MOST_ENTRIES + 1).collect()
+    if len(rows) > MOST_ENTRIES:
+        raise ValueError(f"a lexicon has at most {MOST_ENTRIES} entries")
+    return {r["token"]: r["valence"] for r in rows}
 
 
 def _compound(total: Column, text: Column) -> Column:
@@ -273,23 +182,20 @@ def score_sentiment(
 ) -> DataFrame:
     """Add ``sentiment`` and ``sentiment_score``; a null text gets nulls.
 
-    ``id_column`` names a unique key when there is one. Without it a row is keyed by
-    the SHA-256 of its text and a slot drawn from its other columns: copies of a
-    text within a slot are scored once, and a text that fills much of the table is
-    spread over the slots.
+    Every row is scored by itself, whether its id is null, repeated or missing;
+    ``id_column`` is accepted for callers that have one.
     """
-    if id_column is None:
-        slot = F.pmod(F.xxhash64(*df.columns), F.lit(TEXT_SLOTS)).cast("string")
-        content = F.concat(F.coalesce(F.col(text), F.lit("")), F.lit("\0"), slot)
-        keyed = df.withColumn(_KEY, F.unhex(F.sha2(content, 256)))
-        texts = _placed(keyed, text).distinct()
-    else:
-        keyed = df.withColumn(_KEY, F.col(id_column))
-        texts = _placed(keyed, text)
-    totals = _totals(_word_valences(_token_rows(texts, text, rules), lexicon, rules))
-    compound = _compound(F.coalesce(F.col("total"), F.lit(0.0)), F.col(text))
-    score = F.when(F.col(text).isNotNull(), compound)
-    scored = keyed.join(totals, _KEY, "left").withColumn("sentiment_score", score)
+    known = df.sparkSession.sparkContext.broadcast((_valences(lexicon), asdict(rules)))
+
+    @F.pandas_udf(T.DoubleType())
+    def total(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        valences, fixed = known.value
+        scorer = Scorer(valences, Rules(**fixed))
+        for batch in texts:
+            yield pd.Series([None if t is None else scorer.total(t) for t in batch], dtype="float64")
+
+    compound = _compound(total(text), F.col(text))
+    scored = df.withColumn("sentiment_score", F.when(F.col(text).isNotNull(), compound))
     return scored.withColumn("sentiment", sentiment_label(F.col("sentiment_score"), labels)).select(
         *df.columns, "sentiment", "sentiment_score"
     )

@@ -61,12 +61,24 @@ def test_scores(spark, texts, id_column):
     assert not wrong
 
 
-def test_large_lexicon_without_broadcast_gives_the_same(spark, texts, monkeypatch):
-    small = S.score_sentiment(texts, S.lexicon_frame(spark, LEXICON), id_column="id")
-    expected = sorted(small.collect())
-    monkeypatch.setattr(S, "BROADCAST_ENTRIES", 2)
-    large = S.score_sentiment(texts, S.lexicon_frame(spark, LEXICON), id_column="id")
-    assert sorted(large.collect()) == expected
+def test_lexicon_is_bounded(spark, texts, monkeypatch):
+    monkeypatch.setattr(S, "MOST_ENTRIES", 2)
+    with pytest.raises(ValueError):
+        S.score_sentiment(texts, S.lexicon_frame(spark, LEXICON))
+
+
+def test_null_and_repeated_ids_are_scored_apart(spark):
+    rows = [(None, "a good day"), (2, "a good day"), (2, "a bad day"), (None, "a bad day"), (None, "a bad day")]
+    df = spark.createDataFrame(rows, "id int, title string")
+    scored = S.score_sentiment(df, S.lexicon_frame(spark, LEXICON), id_column="id").collect()
+    assert sorted((r["title"], r["sentiment_score"]) for r in scored) == sorted(
+        (t, compound(1.9 if "good" in t else -2.5)) for _, t in rows
+    )
+
+
+def test_scoring_moves_no_texts(spark, texts):
+    plan = S.score_sentiment(texts, S.lexicon_frame(spark, LEXICON))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_null_text_has_neither_score_nor_label(spark):
