@@ -6,6 +6,7 @@ numerical integration), so that it shares no method with the Spark side.
 
 from __future__ import annotations
 
+from catalog import fixed_values as fixed
 from catalog.inputs import CUT, EVENT_CUT, TOP_K
 
 POSTS = """
@@ -328,9 +329,6 @@ def _polynomial(x: str, coefficients: tuple[float, ...]) -> str:
 
 
 def shapiro(samples: str) -> str:
-    from sentiseries.functions import normal as q
-    from sentiseries.stats import shapiro as s
-
     def ratio(x: str, num: tuple[float, ...], den: tuple[float, ...]) -> str:
         return f"({_polynomial(x, num)}) / ({_polynomial(x, den)})"
 
@@ -342,14 +340,14 @@ def shapiro(samples: str) -> str:
     FROM {samples} WHERE value IS NOT NULL),
   p AS (SELECT *, (i - 0.375) / (n + 0.25) AS p FROM placed),
   parts AS (SELECT *, 0.180625 - pow(p - 0.5, 2) AS mid, sqrt(-ln(least(p, 1 - p))) AS tail FROM p),
-  scored AS (SELECT *, CASE WHEN abs(p - 0.5) <= 0.425 THEN (p - 0.5) * {ratio('mid', q.CENTRE_NUM, q.CENTRE_DEN)}
-      WHEN tail <= 5 THEN sign(p - 0.5) * {ratio('(tail - 1.6)', q.MIDDLE_NUM, q.MIDDLE_DEN)}
-      ELSE sign(p - 0.5) * {ratio('(tail - 5)', q.TAIL_NUM, q.TAIL_DEN)} END AS m FROM parts),
+  scored AS (SELECT *, CASE WHEN abs(p - 0.5) <= 0.425 THEN (p - 0.5) * {ratio('mid', fixed.CENTRE_NUM, fixed.CENTRE_DEN)}
+      WHEN tail <= 5 THEN sign(p - 0.5) * {ratio('(tail - 1.6)', fixed.MIDDLE_NUM, fixed.MIDDLE_DEN)}
+      ELSE sign(p - 0.5) * {ratio('(tail - 5)', fixed.TAIL_NUM, fixed.TAIL_DEN)} END AS m FROM parts),
   grouped AS (SELECT *, sum(m * m) OVER w AS ssm, max(m) OVER w AS ml,
       max(CASE WHEN i = n - 1 THEN m END) OVER w AS mk, 1 / sqrt(n) AS u, avg(x) OVER w AS mean
     FROM scored WINDOW w AS (PARTITION BY variable, slice)),
-  ends AS (SELECT *, {_polynomial('u', s.LAST_WEIGHT)} + ml / sqrt(ssm) AS al,
-      {_polynomial('u', s.NEXT_WEIGHT)} + mk / sqrt(ssm) AS ak FROM grouped),
+  ends AS (SELECT *, {_polynomial('u', fixed.LAST_WEIGHT)} + ml / sqrt(ssm) AS al,
+      {_polynomial('u', fixed.NEXT_WEIGHT)} + mk / sqrt(ssm) AS ak FROM grouped),
   weighted AS (SELECT *, CASE
       WHEN n = 3 THEN sign(m) * sqrt(0.5)
       WHEN i = n THEN al WHEN i = 1 THEN -al
@@ -360,9 +358,9 @@ def shapiro(samples: str) -> str:
   final AS (SELECT variable, slice, any_value(n) AS n, ln(any_value(n)) AS ln_n,
       pow(sum(weight * x), 2) / sum(pow(x - mean, 2)) AS w FROM weighted GROUP BY ALL),
   standard AS (SELECT *, CASE WHEN n <= 11
-      THEN (-ln({_polynomial('n', s.SMALL_BOUND)} - ln(1 - w)) - ({_polynomial('n', s.SMALL_MEAN)}))
-           / exp({_polynomial('n', s.SMALL_LOG_SD)})
-      ELSE (ln(1 - w) - ({_polynomial('ln_n', s.LARGE_MEAN)})) / exp({_polynomial('ln_n', s.LARGE_LOG_SD)}) END AS z
+      THEN (-ln({_polynomial('n', fixed.SMALL_BOUND)} - ln(1 - w)) - ({_polynomial('n', fixed.SMALL_MEAN)}))
+           / exp({_polynomial('n', fixed.SMALL_LOG_SD)})
+      ELSE (ln(1 - w) - ({_polynomial('ln_n', fixed.LARGE_MEAN)})) / exp({_polynomial('ln_n', fixed.LARGE_LOG_SD)}) END AS z
     FROM final)
   SELECT * FROM standard"""
     return result_rows(rows, "shapiro_wilk", "w", "n", p=normal_upper("z"))

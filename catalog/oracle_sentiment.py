@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from catalog import fixed_values as R
 from catalog.inputs import LEXICON, RULES
-from sentiseries.operators import rules as R
 
 
 def _text(value: str) -> str:
