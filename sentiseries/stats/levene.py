@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sentiseries.stats.moments import anova_of_groups
-from sentiseries.stats.order import median_of_placed, value_counts, with_positions
+from sentiseries.stats.order import median, middles, value_counts, with_positions
 from sentiseries.stats.results import DEFAULT_ALPHA, observed
 
 
@@ -20,33 +20,33 @@ def levene(
     """Median-centred Levene test: an analysis of variance of the distances to the
     group medians. ``n1`` is the row count and ``n2`` the group count.
 
-    Everything comes from the placed value counts; the samples are read once. Medians,
-    and then mean distances, are one row per group and slice, so that a large group's
-    counts meet them in as many tasks as they were placed in.
+    Everything comes from the placed value counts; the samples are read once. Medians are
+    one row per group and slice, so that a large group's counts meet them in as many
+    tasks as the session has shuffle partitions. Distances are summed from near their
+    mean, so that their squares lose no digits.
     """
     by = [*keys, group]
     rows = observed(samples).filter(F.col(group).isNotNull())
     placed = with_positions(value_counts(rows, by), by)
-    spread = placed.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(_parts(samples))))
-    parts = F.explode(F.sequence(*(F.lit(i).cast("long") for i in (0, _parts(samples) - 1)))).alias("_part")
-    medians = median_of_placed(placed, by).select(*by, "median", parts)
-    distances = spread.join(medians, [*by, "_part"]).select(
-        *by, "ties", F.abs(F.col("value") - F.col("median")).alias("distance")
-    )
-    # the distances of a group: size, mean and squares about the mean, merged from values
-    # of equal distance, each as one row with its ties
-    merged = distances.groupBy(*by, "distance").agg(F.sum("ties").alias("ties"))
-    sums = merged.groupBy(*by).agg(F.sum("ties").alias("n"), F.sum(F.col("ties") * F.col("distance")).alias("total"))
-    means = sums.select(*by, "n", (F.col("total") / F.col("n")).alias("mean"))
-    around = merged.withColumn("_part", F.pmod(F.xxhash64("distance"), F.lit(_parts(samples)))).join(
-        means.select(*by, "n", "mean", parts), [*by, "_part"]
+    slices = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low, high = middles()
+    above, below = F.col("before") >= high, F.col("before") + F.col("ties") < low
+
+    def mean(side: Column) -> Column:
+        return F.try_divide(F.sum(F.when(side, F.col("ties") * F.col("value"))), F.sum(F.when(side, F.col("ties"))))
+
+    centres = placed.groupBy(*by).agg(
+        median().alias("median"), mean(above).alias("upper"), mean(below).alias("lower")
     )
-    gap = F.col("distance") - F.col("mean")
-    groups = around.groupBy(*by).agg(
-        F.max("n").alias("n"), F.max("mean").alias("mean"), F.sum(F.col("ties") * gap * gap).alias("squares")
+    # about half the way between the means of either side: near the mean distance
+    near = F.coalesce((F.col("upper") - F.col("lower")) / 2, F.lit(0.0))
+    each = F.explode(F.sequence(*(F.lit(i).cast("long") for i in (0, slices - 1)))).alias("_part")
+    centres = centres.select(*by, "median", near.alias("near"), each)
+    parted = placed.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(slices)))
+    gap = F.abs(F.col("value") - F.col("median")) - F.col("near")
+    n = F.sum("ties")
+    total, squares = F.sum(F.col("ties") * gap), F.sum(F.col("ties") * gap * gap)
+    groups = parted.join(centres, [*by, "_part"]).groupBy(*by).agg(
+        n.alias("n"), (F.max("near") + total / n).alias("mean"), F.greatest(squares - total * total / n, F.lit(0.0)).alias("squares")
     )
     return anova_of_groups(groups, "levene", keys, alpha)
-
-
-def _parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

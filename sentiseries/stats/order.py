@@ -59,16 +59,22 @@ def average_rank() -> Column:
     return F.col("before") + (F.col("ties") + 1) / 2
 
 
-def median_of_placed(placed: DataFrame, keys: Sequence[str], out: str = "median") -> DataFrame:
-    """Median per key; the mean of the two middle values when the count is even."""
+def middles() -> tuple[Column, Column]:
+    """Positions of the two middle values of ``n``, the same one if n is odd."""
+    return F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+
+
+def median() -> Column:
+    """Aggregate over placed values: the middle value, or the mean of the two of them."""
 
     def at(position: Column) -> Column:
         here = (F.col("before") < position) & (position <= F.col("before") + F.col("ties"))
         return F.max(F.when(here, F.col("value")))
 
-    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    return placed.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias(out))
+    low, high = middles()
+    return (at(low) + at(high)) / 2
 
 
 def exact_median(samples: DataFrame, keys: Sequence[str], out: str = "median") -> DataFrame:
-    return median_of_placed(with_positions(value_counts(samples, keys), keys), keys, out)
+    """Median per key."""
+    return with_positions(value_counts(samples, keys), keys).groupBy(*keys).agg(median().alias(out))
