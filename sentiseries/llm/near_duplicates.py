@@ -7,13 +7,16 @@ with a Jaccard similarity of ``SIMILAR`` or more.
 1. One pass over the texts gives each a digest of its words, the size of its set,
    ``BANDS`` x ``ROWS`` minima, kept as one key per band and one byte per minimum.
 2. Equal digests are one class; only classes go on, so copies cost one row each.
-3. Per band key, every class is compared with the key's smallest class. Pairs whose
-   sizes exclude a link or whose bytes agree too rarely (``LIKELY``) are dropped; the
-   rest is confirmed on the full sets.
-4. Components by large-star and small-star. Where a key still holds classes of
-   different components, the pairs across components are compared as well, and the
-   components are made anew. Inside a component nothing needs comparing, so a large
-   group of near copies costs its size, not its square.
+3. Per band key, every class is compared with the key's centre, the class that shares
+   keys with the most others. Pairs whose sizes exclude a link or whose bytes agree too
+   rarely (``LIKELY``) are dropped; the rest is confirmed on the full sets.
+4. Components by large-star and small-star. Inside a component nothing needs comparing.
+5. Where a key still holds classes of different components, pairs across components are
+   compared too. Shingles that at most ``RARE`` of these classes have tell most such pairs
+   apart without comparing them: two classes either share a rare shingle, and are found
+   by it, or their shared shingles are among the others, which bounds their similarity
+   exactly. What the bound allows is confirmed on the full sets, and the components are
+   made anew. A large group of near copies so costs about its size, not its square.
 
 A pair at the least similarity shares no band key with probability (1-0.75^4)^32, about
 5 in a million; the byte filter adds less than 1 in a million.
@@ -38,6 +41,7 @@ from sentiseries.sources.storage import stored
 SIMILAR = 75
 BANDS, ROWS = 32, 4
 LIKELY = 0.55
+RARE = 4
 _PIECE = 2048
 _MULTIPLIERS = seeds(BANDS * ROWS, 10)
 _SIGNATURE = T.StructType([
@@ -107,14 +111,48 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.filter(_sizes_allow(F.col("n_a"), F.col("n_b")) & _likely(F.col("bytes_a"), F.col("bytes_b"))).select("a", "b")
 
 
-def _sets(documents: DataFrame, profiles: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
-    """(digest, shingles) of the classes in ``pairs``, read from one document of each."""
-    wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
+def _sets(documents: DataFrame, profiles: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """(digest, shingles) of the ``wanted`` classes, read from one document of each."""
     holders = profiles.join(wanted, "digest").groupBy("digest").agg(F.min("row").alias("row")).select("row", "digest")
     texts = documents.select(_row(documents, key, text), F.col(text).alias("t")).join(holders, "row").dropDuplicates(["digest"])
     return stored(texts.select("digest", shingle_sets("t").alias("shingles")), "shingle_sets")
 
 
+def _several_roots(rows: DataFrame) -> DataFrame:
+    """Rows (k, root, ...) of the keys with classes of different components."""
+    split = rows.groupBy("k").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first <> last").select("k")
+    return rows.join(split, "k")
+
+
+def _across(shared: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) off the stars that may be linked, of different components."""
+    rooted = shared.filter("n > 2").select("k", "digest").join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left")
+    open_rows = stored(_several_roots(rooted.withColumn("root", F.coalesce("root", "digest"))), "open_rows")
+    open_classes = open_rows.select("digest", "root").distinct()
+    shingles = sets.join(open_classes, "digest").select("digest", "root", F.explode("shingles").alias("shingle"))
+    scarce = stored(shingles.groupBy("shingle").agg(F.count("*").alias("holders")).filter(F.col("holders") <= RARE), "scarce_shingles")
+    rare = stored(shingles.join(scarce, "shingle"), "rare_shingles")
+    x, y = rare.filter("holders > 1").alias("x"), rare.filter("holders > 1").alias("y")
+    by_rare = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.digest") < F.col("y.digest")) & (F.col("x.root") != F.col("y.root")))
+    by_rare = by_rare.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct()
+
+    # Without a common rare shingle two classes share at most what they have of the others.
+    held = rare.groupBy("digest").agg(F.count("*").alias("r"))
+    sized = open_rows.join(classes.select("digest", F.col("n_shingles").alias("m"), "bytes"), "digest").join(held, "digest", "left")
+    sized = sized.withColumn("rest", F.col("m") - F.coalesce("r", F.lit(0)))
+    least = sized.groupBy("k").agg(F.min("m").alias("least"))
+    able = 100 * F.col("rest") >= SIMILAR * F.greatest("m", F.col("least") + F.col("m") - F.col("rest"))
+    left = stored(_several_roots(sized.join(least, "k").filter(able).select("k", "digest", "root", "m", "rest", "bytes")), "open_keys")
+    x, y = left.alias("x"), left.alias("y")
+    most = F.least("x.rest", "y.rest")
+    bounded = x.join(
+        y,
+        (F.col("x.k") == F.col("y.k")) & (F.col("x.digest") < F.col("y.digest")) & (F.col("x.root") != F.col("y.root"))
+        & (100 * most >= SIMILAR * (F.col("x.m") + F.col("y.m") - most)) & _likely(F.col("x.bytes"), F.col("y.bytes")),
+    )
+    return by_rare.union(bounded.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))).distinct()
+
+
 def _row(documents: DataFrame, key: str, text: str) -> Column:
     """Tells rows apart: the same for rows with equal id and text only."""
     return F.xxhash64(F.col(key), F.col(text)).alias("row")
@@ -132,27 +170,17 @@ def group(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         ), "classes",
     )
     keyed = classes.select("digest", F.explode("keys").alias("k"))
-    centres = keyed.groupBy("k").agg(F.min("digest").alias("centre"), F.count("*").alias("n")).filter("n > 1")
-    star = keyed.join(centres, "k").filter("digest <> centre").select(F.col("centre").alias("a"), F.col("digest").alias("b")).distinct()
-    tried = stored(_with_sketches(star, classes), "star_pairs")
-    sets = _sets(documents, worded, tried, key, text)
-    links = stored(_confirmed(tried, sets), "star_links")
+    several = stored(keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1"), "shared_keys")
+    shared = stored(keyed.join(several, "k"), "shared")
+    sets = _sets(documents, worded, shared.select("digest").distinct(), key, text)
+    known = shared.groupBy("digest").agg(F.sum("n").alias("known"))
+    centres = shared.join(known, "digest").groupBy("k").agg(F.max_by("digest", F.struct("known", "digest")).alias("centre"))
+    star = shared.join(centres, "k").filter("digest <> centre")
+    star = star.select(F.least("centre", "digest").alias("a"), F.greatest("centre", "digest").alias("b")).distinct()
+    links = stored(_confirmed(_with_sketches(star, classes), sets), "star_links")
     roots = stored(components(links), "star_roots")
-
-    # Keys that hold three classes or more, of more than one component: pairs off the star.
-    rooted = classes.select("digest", "n_shingles", "bytes", F.explode("keys").alias("k")).join(centres.filter("n > 2").select("k", "centre"), "k")
-    rooted = rooted.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    split = rooted.groupBy("k").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first <> last").select("k")
-    open_keys = stored(rooted.join(split, "k"), "open_keys")
-    x, y = open_keys.alias("x"), open_keys.alias("y")
-    across = x.join(
-        y,
-        (F.col("x.k") == F.col("y.k")) & (F.col("x.digest") < F.col("y.digest")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.digest") != F.col("x.centre"))
-        & _sizes_allow(F.col("x.n_shingles"), F.col("y.n_shingles")) & _likely(F.col("x.bytes"), F.col("y.bytes")),
-    )
-    more = stored(across.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct(), "open_pairs")
-    late = _confirmed(more, _sets(documents, worded, more, key, text))
-    final = components(links.union(late))
+    more = stored(_with_sketches(_across(shared, classes, sets, roots), classes), "open_pairs")
+    final = roots if more.isEmpty() else components(links.union(_confirmed(more, sets)))
     members = classes.select("digest", "least").join(final, classes["digest"] == final["node"])
     ids = members.groupBy("root").agg(F.min("least").alias("component_id"))
     named = members.join(ids, "root").select("digest", "component_id")
