@@ -12,8 +12,9 @@ document is. An item and a window that share any of ``HASHES`` minima are a cand
 missing all of them has a probability of about 1 in 10^5. Candidates are checked by
 exact containment in the document.
 
-The documents are read once for every ``ITEMS`` benchmark items, whose index is
-broadcast; a larger benchmark is taken in more such blocks. Texts are never shuffled.
+The documents are read once for every block of up to ``ITEMS`` benchmark items or
+``CHARACTERS`` characters, whose index is broadcast; a larger benchmark is taken in more
+such blocks. Texts are never shuffled.
 
 Null and empty texts and items have no shingles and are in no pair; a text or an item of
 fewer than five words is one shingle. Rows are pairs of a document row and an item row:
@@ -23,7 +24,6 @@ repeated rows repeat them, null ids are returned as null.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ from sentiseries.sources.storage import stored
 
 CONTAINED = 75
 HASHES = 64
-ITEMS = 20_000
+ITEMS, CHARACTERS = 50_000, 1 << 26
 LEAST = 8
 _PIECE = 1 << 15
 _SIEVE = 1 << 22
@@ -53,18 +53,23 @@ class Index:
     def __init__(self, texts: list[str | None]):
         self.items: list[np.ndarray] = [np.unique(shingle_hashes(t)) for t in texts]
         self.lengths: list[int] = []
-        self.by_tag: dict[int, list[int]] = {}
         self.sieve = np.zeros(_SIEVE, bool)
+        tags: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
         for i, item in enumerate(self.items):
             if len(item):
                 length = max(LEAST, 1 << (len(item) - 1).bit_length())
                 if length not in self.lengths:
                     self.lengths.append(length)
                 low = (_MULTIPLIERS[:, None] * item[None, :]).min(axis=1, keepdims=True)
-                for tag in _tags(low, length)[:, 0].tolist():
-                    self.by_tag.setdefault(tag, []).append(i)
-                    self.sieve[tag % _SIEVE] = True
+                tags.append(_tags(low, length)[:, 0])
+                owners.append(np.full(HASHES, i, np.int32))
         self.lengths.sort()
+        every = np.concatenate(tags) if tags else np.zeros(0, np.uint64)
+        order = np.argsort(every, kind="stable")
+        self.tags = every[order]
+        self.owners = np.concatenate(owners)[order] if owners else np.zeros(0, np.int32)
+        self.sieve[(every % np.uint64(_SIEVE)).astype(np.int64)] = True
 
     def windows(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, start, end) of windows of ``hashes`` that share a minimum with an item."""
@@ -79,9 +84,12 @@ class Index:
                 if length in self.lengths:
                     pairs = np.minimum(low[:, :-1], low[:, 1:]) if low.shape[1] > 1 else low
                     tags = _tags(pairs, length)
-                    for h, w in zip(*np.nonzero(self.sieve[(tags % np.uint64(_SIEVE)).astype(np.int64)])):
-                        for i in self.by_tag.get(int(tags[h, w]), ()):
-                            yield i, start + int(w) * length, start + int(w + 2) * length
+                    h, w = np.nonzero(self.sieve[(tags % np.uint64(_SIEVE)).astype(np.int64)])
+                    first = np.searchsorted(self.tags, tags[h, w], side="left")
+                    after = np.searchsorted(self.tags, tags[h, w], side="right")
+                    for j in np.flatnonzero(first < after):
+                        for i in self.owners[first[j] : after[j]].tolist():
+                            yield i, start + int(w[j]) * length, start + int(w[j] + 2) * length
                 if length >= longest:
                     break
                 length *= 2
@@ -108,7 +116,15 @@ class Index:
 
 def _blocks(items: DataFrame, key: str, text: str) -> Iterator[list]:
     rows = items.select(F.col(key).alias("k"), F.col(text).alias("t")).toLocalIterator()
-    while block := list(islice(rows, ITEMS)):
+    block: list = []
+    size = 0
+    for row in rows:
+        if len(block) == ITEMS or size + len(row["t"] or "") > CHARACTERS and block:
+            yield block
+            block, size = [], 0
+        block.append(row)
+        size += len(row["t"] or "")
+    if block:
         yield block
 
 
