@@ -54,23 +54,30 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("token", "valence").dropna()
 
 
-def tokens(text: str) -> list[str]:
-    """Words and emoticons of more than one character, one run of punctuation stripped.
+class Tokens(dict):
+    """What a run of characters between spaces is worth: the token, its lower case and
+    whether it is in capitals, or None. Found once for each of the runs last met.
 
-    A run is stripped only when it stands on one side of a word of at least two
-    characters that has no other punctuation.
+    A token is a word or emoticon of more than one character, one run of punctuation
+    stripped. A run is stripped only when it stands on one side of a word of at least
+    two characters that has no other punctuation.
     """
-    out = []
-    for token in text.split():
-        if token[0] in string.punctuation or token[-1] in string.punctuation:
-            tail = token.lstrip(string.punctuation)
+
+    most = 1 << 18
+
+    def __missing__(self, raw: str) -> tuple[str, str, bool] | None:
+        token = raw
+        if raw[0] in string.punctuation or raw[-1] in string.punctuation:
+            tail = raw.lstrip(string.punctuation)
             word = tail.rstrip(string.punctuation)
-            lead, trail = token[: len(token) - len(tail)], tail[len(word) :]
+            lead, trail = raw[: len(raw) - len(tail)], tail[len(word) :]
             if len(word) > 1 and (lead or trail) in R.STRIPPED_RUNS and not (lead and trail) and not any(c in string.punctuation for c in word):
                 token = word
-        if len(token) > 1:
-            out.append(token)
-    return out
+        found = (token, token.lower(), token.isupper()) if len(token) > 1 else None
+        if len(self) >= self.most:
+            self.clear()
+        self[raw] = found
+        return found
 
 
 class Scorer:
@@ -80,14 +87,16 @@ class Scorer:
         self.valences, self.rules = valences, rules
         self.negations = frozenset(rules.negations)
         self.carriers = {w: v for w, v in valences.items() if w not in rules.boosters}
+        self.tokens = Tokens()
 
     def total(self, text: str) -> float:
-        words = tokens(text)
-        lower = [w.lower() for w in words]
-        hits = [i for i, w in enumerate(lower) if w in self.carriers and not (w == "kind" and lower[i + 1 : i + 2] == ["of"])]
+        known = [t for t in map(self.tokens.__getitem__, text.split()) if t]
+        if not known:
+            return 0.0
+        words, lower, upper = zip(*known)
+        hits = [i for i, w in enumerate(lower) if w in self.carriers and not (w == "kind" and lower[i + 1 : i + 2] == ("of",))]
         if not hits:
             return 0.0
-        upper = [w.isupper() for w in words]
         mixed = any(upper) and not all(upper)
         turn = lower.index(self.rules.contrast) if self.rules.contrast in lower else None
         first: dict[str, float] = {}
@@ -100,7 +109,7 @@ class Scorer:
             weights[word] = weights.get(word, 0.0) + weight
         return sum(first[w] * weights[w] for w in first)
 
-    def valence(self, words: list[str], lower: list[str], upper: list[bool] | None, i: int) -> float:
+    def valence(self, words: tuple[str, ...], lower: tuple[str, ...], upper: tuple[bool, ...] | None, i: int) -> float:
         """The valence of the sentiment word at ``i`` in its context.
 
         ``upper`` tells words in capitals where a text has some and others.
@@ -127,7 +136,7 @@ class Scorer:
             step += R.CAPS_BOOST if value > 0 else -R.CAPS_BOOST
         return value + step * R.DISTANCE_DAMPING[k - 1]
 
-    def after_negation(self, value: float, words: list[str], lower: list[str], i: int, k: int) -> float:
+    def after_negation(self, value: float, words: tuple[str, ...], lower: tuple[str, ...], i: int, k: int) -> float:
         """Valence after a negation k words back, or the emphasis of "never so"."""
         emphatic = ("so", "this")
         back = lower[i - k]
