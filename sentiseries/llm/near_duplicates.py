@@ -134,7 +134,7 @@ def _across(shared: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataF
     rare = stored(shingles.join(scarce, "shingle"), "rare_shingles")
     x, y = rare.filter("holders > 1").alias("x"), rare.filter("holders > 1").alias("y")
     by_rare = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.digest") < F.col("y.digest")) & (F.col("x.root") != F.col("y.root")))
-    by_rare = by_rare.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct()
+    by_rare = _with_sketches(by_rare.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct(), classes)
 
     # Without a common rare shingle two classes share at most what they have of the others.
     held = rare.groupBy("digest").agg(F.count("*").alias("r"))
@@ -179,7 +179,7 @@ def group(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     star = star.select(F.least("centre", "digest").alias("a"), F.greatest("centre", "digest").alias("b")).distinct()
     links = stored(_confirmed(_with_sketches(star, classes), sets), "star_links")
     roots = stored(components(links), "star_roots")
-    more = stored(_with_sketches(_across(shared, classes, sets, roots), classes), "open_pairs")
+    more = stored(_across(shared, classes, sets, roots), "open_pairs")
     final = roots if more.isEmpty() else components(links.union(_confirmed(more, sets)))
     members = classes.select("digest", "least").join(final, classes["digest"] == final["node"])
     ids = members.groupBy("root").agg(F.min("least").alias("component_id"))
