@@ -138,17 +138,19 @@ def _across(shared: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataF
 
     # Without a common rare shingle two classes share at most what they have of the others.
     held = rare.groupBy("digest").agg(F.count("*").alias("r"))
-    sized = open_rows.join(classes.select("digest", F.col("n_shingles").alias("m"), "bytes"), "digest").join(held, "digest", "left")
+    sized = open_rows.join(classes.select("digest", F.col("n_shingles").alias("m"), "bytes", "keys"), "digest").join(held, "digest", "left")
     sized = sized.withColumn("rest", F.col("m") - F.coalesce("r", F.lit(0)))
     least = sized.groupBy("k").agg(F.min("m").alias("least"))
     able = 100 * F.col("rest") >= SIMILAR * F.greatest("m", F.col("least") + F.col("m") - F.col("rest"))
-    left = stored(_several_roots(sized.join(least, "k").filter(able).select("k", "digest", "root", "m", "rest", "bytes")), "open_keys")
+    left = stored(_several_roots(sized.join(least, "k").filter(able).select("k", "digest", "root", "m", "rest", "bytes", "keys")), "open_keys")
     x, y = left.alias("x"), left.alias("y")
     most = F.least("x.rest", "y.rest")
+    # a pair is made under the least key it shares only; both sides are under all keys they may meet at
+    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.k")
     bounded = x.join(
         y,
         (F.col("x.k") == F.col("y.k")) & (F.col("x.digest") < F.col("y.digest")) & (F.col("x.root") != F.col("y.root"))
-        & (100 * most >= SIMILAR * (F.col("x.m") + F.col("y.m") - most)) & _likely(F.col("x.bytes"), F.col("y.bytes")),
+        & (100 * most >= SIMILAR * (F.col("x.m") + F.col("y.m") - most)) & _likely(F.col("x.bytes"), F.col("y.bytes")) & once,
     )
     return by_rare.union(bounded.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))).distinct()
 
