@@ -76,14 +76,12 @@ def tallies(sample: DataFrame) -> DataFrame:
     )
 
 
-def ratios(counts: pd.DataFrame, n_clean: int, n_toxic: int) -> np.ndarray:
-    """Log-count ratio by bucket; 0 where the shares differ by chance."""
-    p, q = (counts["toxic"] + 1) / (n_toxic + 2), (counts["clean"] + 1) / (n_clean + 2)
-    pooled = (counts["toxic"] + counts["clean"] + 1) / (n_toxic + n_clean + 2)
-    z = (p - q) / np.sqrt(pooled * (1 - pooled) * (1 / n_toxic + 1 / n_clean))
-    out = np.zeros(BUCKETS)
-    out[counts["bucket"]] = np.where(np.abs(z) > LEAST_Z, np.log(p / q), 0.0)
-    return out
+def ratios(counts: DataFrame, n_clean: int, n_toxic: int) -> DataFrame:
+    """bucket and log-count ratio, without buckets whose shares differ by chance."""
+    p, q = (F.col("toxic") + 1) / (n_toxic + 2), (F.col("clean") + 1) / (n_clean + 2)
+    pooled = (F.col("toxic") + F.col("clean") + 1) / (n_toxic + n_clean + 2)
+    z = (p - q) / F.sqrt(pooled * (1 - pooled) * (1 / n_toxic + 1 / n_clean))
+    return counts.filter(F.abs(z) > LEAST_Z).select("bucket", F.log(p / q).alias("ratio"))
 
 
 def fit_linear(rows: list[np.ndarray], values: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
@@ -123,19 +121,19 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, label: str =
     if len(totals) < 2:
         share = float(next(iter(totals), 0.5))
         return Model(none, np.zeros(0), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
-    ratio = ratios(tallies(sample).toPandas(), totals[0], totals[1])
-    buckets = np.flatnonzero(ratio)
-    mask, place = ratio != 0, np.full(BUCKETS, -1)
-    place[buckets] = np.arange(len(buckets))
+    kept_ratios = sorted(map(tuple, ratios(tallies(sample), totals[0], totals[1]).collect()))
+    buckets, ratio = np.array([b for b, _ in kept_ratios], np.int64), np.array([r for _, r in kept_ratios])
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def kept(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: place[present(t, mask)])
+        mask = np.zeros(BUCKETS, bool)
+        mask[buckets] = True
+        return texts.map(lambda t: np.searchsorted(buckets, present(t, mask)))
 
     rows = sample.select(kept("text").alias("f"), "label", "weight").collect()
     rows.sort(key=lambda r: (r["label"], r["f"]))
     weights, constant = fit_linear(
-        [np.array(r["f"], np.int64) for r in rows], ratio[buckets],
+        [np.array(r["f"], np.int64) for r in rows], ratio,
         np.array([r["label"] for r in rows], float), np.array([r["weight"] for r in rows]),
     )
     return Model(buckets, weights, constant)
