@@ -6,25 +6,33 @@ slot ceil((k + 1) / w); in every slot the released block with the earliest deadl
 taken. With weights that add up to 1 this meets all deadlines, so that after any number
 of slots every source is less than one block away from its share.
 
-Weights are counted in ``QUANTA``, so the schedule repeats after that many slots: it is
-made once for one period, on the driver, and block k of a source with c quanta is in
-period k // c. The work on documents is one window per (source, slice), where slices of
-the hash are many enough that each holds about ``SLICE`` documents; the slices' sizes
-give each the number of documents before it.
-
-When a source has no documents left its slots stay empty; ``balanced`` is true for the
-slots before the first source ran out. All documents are returned. A null source is a
-source of its own, null ids and repeated rows are placed like any other. At most
-``QUANTA`` sources can be weighed; more raise ValueError.
+Weights are taken exactly, as ratios of whole numbers, so the distance does not grow with
+the number of slots. The schedule is made on the driver, one step for each block and
+source (not for each slot: where nothing is released it goes on to the next release), in
+eight bytes a block. The work on documents is one window per (source, slice), where
+slices of the hash are many enough that each holds about ``SLICE`` documents; a table
+gives each slice the number of documents before it and the slots of its blocks.
+
+When a source has no documents left its share of the slots stays free, and blocks of the
+others, once released, may take it; ``balanced`` is true for the slots before the first
+source ran out. All documents are returned. A null source is a source of its own, null
+ids and repeated rows are placed like any other. There is no limit on sources; a weight
+so small that a slot's number passes 63 bits raises OverflowError.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
+from collections import Counter
+from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sentiseries.llm.common import free_name
+from sentiseries.sources.storage import stored
 
 QUANTA = 1000
 BLOCK = 16
@@ -32,7 +40,7 @@ SLICE = 50_000
 
 
 def quanta(weights: dict[str | None, float], total: int = QUANTA) -> dict[str | None, int]:
-    """Whole shares of ``total``, at least 1 each, by largest remainder."""
+    """Whole shares of ``total``, at least 1 each, by largest remainder: rounded, not what ``mix`` schedules."""
     if not 0 < len(weights) <= total:
         raise ValueError(f"{len(weights)} sources cannot share {total} quanta")
     if any(not w > 0 for w in weights.values()):
@@ -46,24 +54,36 @@ def quanta(weights: dict[str | None, float], total: int = QUANTA) -> dict[str |
     return {s: n + 1 for s, n in shares.items()}
 
 
-def schedule(shares: dict[str | None, int]) -> dict[str | None, list[int]]:
-    """The slots of each source's blocks in one period."""
+def exact(weights: dict[str | None, float]) -> dict[str | None, int]:
+    """Whole numbers in the very ratio of the weights."""
+    if any(not 0 < w < math.inf for w in weights.values()):
+        raise ValueError("weights must be positive")
+    ratios = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(r.denominator for r in ratios.values()))
+    return {s: int(r * scale) for s, r in ratios.items()}
+
+
+def schedule(shares: dict[str | None, int], blocks: dict[str | None, int] | None = None) -> dict[str | None, array]:
+    """The slots of each source's first ``blocks``, by default of those of one period."""
     names = sorted(shares, key=lambda s: (s is not None, s or ""))
     total = sum(shares.values())
-    slots: dict[str | None, list[int]] = {s: [] for s in names}
-    waiting, ready = [(0, j) for j in range(len(names))], []
-    heapq.heapify(waiting)
-    for slot in range(total):
+    wanted = [(shares if blocks is None else blocks).get(s, 0) for s in names]
+    slots = [array("q") for _ in names]
+    waiting, ready = [(0, j) for j, n in enumerate(wanted) if n], []
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, j = heapq.heappop(waiting)
-            k, c = len(slots[names[j]]), shares[names[j]]
-            heapq.heappush(ready, (-(-(k + 1) * total // c), j))
-        _, j = heapq.heappop(ready)
-        slots[names[j]].append(slot)
-        k, c = len(slots[names[j]]), shares[names[j]]
-        if k < c:
-            heapq.heappush(waiting, (k * total // c, j))
-    return slots
+            release, rest = divmod((len(slots[j]) + 1) * total, shares[names[j]])
+            heapq.heappush(ready, (release + (rest > 0), j, release))
+        _, j, release = heapq.heappop(ready)
+        slots[j].append(slot)
+        slot += 1
+        if len(slots[j]) < wanted[j]:
+            heapq.heappush(waiting, (release, j))
+    return dict(zip(names, slots))
 
 
 def tempered(counts: dict[str | None, int], power: float = 0.5) -> dict[str | None, float]:
@@ -71,6 +91,19 @@ def tempered(counts: dict[str | None, int], power: float = 0.5) -> dict[str | No
     return {s: n**power for s, n in counts.items()}
 
 
+def _ahead(spark: SparkSession, sizes: list[tuple[str, int, int]], slots: dict[str, array], block: int, names: tuple[str, ...]) -> DataFrame:
+    """(source, slice, documents of the source before it, slots of the blocks it has a part of)."""
+    before, firsts, offsets, values = Counter(), [], [0], array("q")
+    for s, _, n in sizes:
+        values += slots[s][before[s] // block : (before[s] + n - 1) // block + 1]
+        offsets.append(len(values))
+        firsts.append(before[s])
+        before[s] += n
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(memoryview(values), pa.int64()))
+    sources, parts = pa.array([r[0] for r in sizes], pa.string()), pa.array([r[1] for r in sizes], pa.int64())
+    return spark.createDataFrame(pa.table([sources, parts, pa.array(firsts, pa.int64()), lists], names=list(names)))
+
+
 def mix(documents: DataFrame, weights: dict[str | None, float] | None = None, key: str = "doc_id", source: str = "source", block: int = BLOCK) -> DataFrame:
     """All rows and columns, and block (of the source), slot, place (in the block), balanced.
 
@@ -87,33 +120,24 @@ def mix(documents: DataFrame, weights: dict[str | None, float] | None = None, ke
     weights = tempered(counts) if weights is None else weights
     if missing := set(counts) - set(weights):
         raise ValueError(f"no weight for {sorted(map(str, missing))}")
-    shares = quanta(weights)
-    slots = schedule(shares)
-    period = sum(shares.values())
-    # the slot in which a source would have its first missing block
-    ends = [(n // block // shares[s]) * period + slots[s][n // block % shares[s]] for s, n in counts.items()]
-    table = spark.createDataFrame(
-        [(s, shares[s], k, slot) for s in slots for k, slot in enumerate(slots[s])], "s string, c long, turn long, at long"
-    )
+    # one block more than are full: the first that a source cannot fill ends the balance
+    slots = schedule(exact(weights), {s: n // block + 1 for s, n in counts.items()})
+    end = min(slots[s][n // block] for s, n in counts.items())
     slices = max(1, sum(counts.values()) // SLICE)
-    names = {n: free_name(documents, f"mix_{n}") for n in ("s", "h", "slice", "rank", "before")}
-    s, h, part, rank, before = (names[n] for n in ("s", "h", "slice", "rank", "before"))
-    keyed = documents.withColumns({s: F.col(source).cast("string"), h: F.xxhash64(F.lit("mix"), F.col(key))})
+    names = {n: free_name(documents, f"mix_{n}") for n in ("s", "h", "slice", "rank", "before", "slots")}
+    s, h, part, rank, before, at = (names[n] for n in ("s", "h", "slice", "rank", "before", "slots"))
+    # a key that is never null, so that the join finds the rows where the window left them
+    marked = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
+    keyed = documents.withColumns({s: marked, h: F.xxhash64(F.lit("mix"), F.col(key))})
     keyed = keyed.withColumn(part, F.floor((F.shiftrightunsigned(h, 33)) * slices / F.lit(2**31)).cast("long"))
-    sizes = keyed.groupBy(s, part).agg(F.count("*").alias("n"))
-    ahead = sizes.select(s, part, (F.sum("n").over(Window.partitionBy(s).orderBy(part)) - F.col("n")).alias(before))
+    sizes = sorted(tuple(r) for r in keyed.groupBy(s, part).agg(F.count("*").alias("n")).collect())
+    ahead = stored(_ahead(spark, sizes, {"" if k is None else f"={k}": v for k, v in slots.items()}, block, (s, part, before, at)), "mixing_slots")
     # the slice is cut from the top of the unsigned hash, so slices follow in hash order
     ranked = keyed.withColumn(rank, F.row_number().over(Window.partitionBy(s, part).orderBy(F.shiftrightunsigned(h, 1), h, key)) - 1)
-    ahead = ahead.select(F.col(s).alias("s_"), F.col(part).alias("p_"), before)
-    placed = ranked.join(ahead, F.col(s).eqNullSafe(F.col("s_")) & (F.col(part) == F.col("p_"))).drop("s_", "p_")
+    nth = free_name(documents, "mix_nth")
     number = F.col(rank) + F.col(before)
-    caps = F.create_map(*(x for name, c in shares.items() if name is not None for x in (F.lit(name), F.lit(c)))) if any(n is not None for n in shares) else None
-    share = F.lit(shares.get(None, 1)) if caps is None else F.coalesce(F.element_at(caps, F.col(s)), F.lit(shares.get(None, 1)))
-    nth, cap = free_name(documents, "mix_nth"), free_name(documents, "mix_cap")
-    blocks = placed.withColumns({nth: F.floor(number / block), cap: share.cast("long"), "place": (number % block).cast("long")})
-    turns = table.select(F.col("s").alias("t_s"), F.col("turn").alias("t_turn"), F.col("at").alias("t_at"))
-    timed = blocks.join(F.broadcast(turns), F.col(s).eqNullSafe(F.col("t_s")) & (F.col(nth) % F.col(cap) == F.col("t_turn")))
-    slot = F.floor(F.col(nth) / F.col(cap)) * period + F.col("t_at")
+    timed = ranked.join(ahead, [s, part]).withColumns({nth: F.floor(number / block), "place": (number % block).cast("long")})
+    slot = F.get(at, (F.col(nth) - F.floor(F.col(before) / block)).cast("int"))
     return timed.select(
-        *(c for c in documents.columns if c not in added), F.col(nth).cast("long").alias("block"), slot.cast("long").alias("slot"), F.col("place"), (slot < min(ends)).alias("balanced")
+        *(c for c in documents.columns if c not in added), F.col(nth).cast("long").alias("block"), slot.cast("long").alias("slot"), F.col("place"), (slot < end).alias("balanced")
     )

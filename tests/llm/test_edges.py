@@ -4,6 +4,7 @@ import base64
 import json
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -260,6 +261,38 @@ def test_schedule_meets_all_deadlines(weights):
             assert k * total // shares[name] <= slot < -(-(k + 1) * total // shares[name])
 
 
+@pytest.mark.parametrize("sources, rows", [(20, 60_000), (1200, 24_000)])
+def test_mixing_keeps_target_weights_with_a_hot_source(spark, sources, rows):
+    """Less than one block from the weights asked for, not from rounded ones, in every slot."""
+    frame = spark.range(rows).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, (F.col("id") % (sources - 1)).cast("string")).otherwise("hot").alias("source")
+    )
+    weights = mixing.tempered(Counter(r["source"] for r in frame.collect()))
+    got = sorted((r["slot"], r["source"], r["block"]) for r in mixing.mix(frame, block=1).collect() if r["balanced"])
+    assert [s for s, *_ in got] == list(range(len(got))) and len(got) > sources
+    shares = mixing.exact(weights)
+    total, done = sum(shares.values()), Counter()
+    assert all(shares[s] * sum(map(Fraction, weights.values())) == total * Fraction(w) for s, w in weights.items())
+    for slot, source, block in got:
+        assert block == done[source]
+        done[source] += 1
+        for name in (source, "hot"):
+            assert abs(done[name] * total - shares[name] * (slot + 1)) < total
+    # a source that was not served for long is late by its next block's deadline at most
+    for name, share in shares.items():
+        assert abs(done[name] * total - share * len(got)) < total
+
+
+def test_schedule_of_exact_weights_meets_all_deadlines():
+    counts = {"hot": 100_000} | {str(i): 400 + i for i in range(499)}
+    shares = mixing.exact(mixing.tempered(counts))
+    total, blocks = sum(shares.values()), {s: n // 16 + 1 for s, n in counts.items()}
+    slots = mixing.schedule(shares, blocks)
+    assert {s: len(x) for s, x in slots.items()} == blocks and len({t for x in slots.values() for t in x}) == sum(blocks.values())
+    for name, at in slots.items():
+        assert all(k * total // shares[name] <= slot < -(-(k + 1) * total // shares[name]) for k, slot in enumerate(at))
+
+
 def test_quality_rules(docs, none):
     rows = quality_rules.weigh(docs).collect()
     got = sorted(((r["doc_id"], *tuple(r)[1:6]) for r in rows), key=repr)
