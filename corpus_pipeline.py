@@ -1,9 +1,9 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again.
 
 Quality, near duplicates and contamination remove documents; secrets are masked in the
-texts that stay; mixing orders what is left. Rows without a doc_id are judged like any
-other where the text decides, and no stage drops them for lack of an id. An empty table
-gives an empty table.
+texts that stay; mixing orders what is left. Every row is judged by its own text: rows
+without a doc_id, repeated rows and rows that share a doc_id are kept or removed like any
+other. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,17 +28,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group; rows without an id stay."""
+    """One row of every group: the smallest id's; rows without an id come last. Rows without words stay."""
     small_batches(spark)
-    removed = near_duplicates.group(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
+    mark = free_name(docs, "mark")
+    # rows that share a mark are equal in all columns
+    content = F.xxhash64(*(c for name in docs.columns for c in (F.col(name).isNull(), F.col(name))))
+    marked = docs.withColumn(mark, F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), content.alias("content")))
+    worded = near_duplicates.group(marked.select(mark, "text"), mark).filter("n_shingles > 0")
+    # all copies of a mark have the same verdict
+    marks = stored(worded.groupBy(mark).agg(F.min("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1"), "marks")
+    left = marked.join(marks.filter("not kept").select(mark), mark, "left_anti")
+    repeated = marks.filter("kept").select(mark)
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    once = left.join(repeated, mark, "left_semi").dropDuplicates([mark])
+    return left.join(repeated, mark, "left_anti").select(*docs.columns).union(once.select(*docs.columns))
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     small_batches(spark)
-    removed = decontaminate.contained(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
+    # the text alone decides, so its digest is the key
+    mark = free_name(docs, "mark")
+    marked = docs.withColumn(mark, F.sha2("text", 256))
+    removed = decontaminate.contained(marked.select(mark, "text"), table(spark, sf_dir, "benchmark"), mark).select(mark).distinct()
+    return marked.join(removed, mark, "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
