@@ -34,7 +34,11 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = re.compile(r"(script|style|textarea|title|noscript|template|iframe)\b", re.I)
 _TAG = re.compile(r"""<(?:!--(?:.*?--!?>|.*\Z)|(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|[!?/][^>]*(?:>|\Z))""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-label)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_LAYOUT = re.compile(r"(?:has|with|without|no)[-_]?\w+", re.I)
+# whole words of an attribute, borders of camel case included: "has-sidebar", "pageNoNav", but not "notice"
+_LAYOUT = re.compile(
+    r"(?<![A-Za-z])(?:has|with|without|no)[-_]\w+"
+    r"|(?-i:(?:(?<![A-Za-z])(?:has|with|without|no)|(?<![A-Z])(?:Has|With|Without|No))[A-Z]\w*)", re.I,
+)
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 #: Marks of an enclosing element, by its name and by words of its attributes.

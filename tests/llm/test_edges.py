@@ -170,6 +170,19 @@ def test_pages(page, text):
     assert html_text.main_text(page, html_text.tree()) == text
 
 
+@pytest.mark.parametrize("name", ["notice", "notices", "site-notice", "siteNotice", "noticeBox", "no-print notice"])
+def test_notices_are_not_main_text(name):
+    story = "This is the story of the page and it has more than ten words."
+    notice = f'<div class="{name}">Please note that this site will be closed for repairs on the whole of next Sunday.</div>'
+    for page in (f"{notice}<article><p>{story}</p></article>", f"<article><p>{story}</p>{notice}</article>", f"<div class=post><p>{story}</p></div>{notice}"):
+        assert html_text.main_text(page, html_text.tree()) == story
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no_nav", "with-ads", "without-comments", "hasSidebar", "pageNoNav", "no-sidebar with-header"])
+def test_layout_words_give_no_mark(name):
+    assert html_text.marks_of("div", f' class="{name}"') == frozenset()
+
+
 def test_long_and_many_pages(spark):
     body = "<article>" + "".join(f"<p>{prose(i, 30)}</p>" for i in range(2000)) + "</article>"
     frame = spark.createDataFrame([(1, body), (1, body), (None, None)], "page_id long, html string")
