@@ -68,15 +68,19 @@ PATTERNS = (
 )
 
 
+def _rest(url: Column) -> Column:
+    """What follows the first ``://``, empty without one."""
+    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://(.*)", 1), F.lit(""))
+
+
 def host(url: Column) -> Column:
     """After the first ``://`` up to a slash, question mark, number sign or the end; A-Z lower-cased."""
-    rest = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
-    return F.coalesce(F.translate(rest, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
+    return F.translate(F.regexp_extract(_rest(url), r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def path(url: Column) -> Column:
     """What follows the host, up to a question mark, number sign or the end."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    return F.regexp_extract(_rest(url), r"^[^/?#]*(/[^?#]*)", 1)
 
 
 def tokens(site: Column) -> Column:

@@ -147,6 +147,21 @@ def test_urls(spark):
         url_filter.judge(frame, rules=())
 
 
+def test_urls_with_a_second_address(spark):
+    """Host and path are those of the first ``://``, also where no path follows the host."""
+    urls = [
+        ("http://a.example.net?u=http://b.org/fr/x", "a.example.net", "", None, "allow"),
+        ("http://a.example.net#http://b.net/es/x", "a.example.net", "", None, "allow"),
+        ("http://A.example.net/es/?u=http://b.org/fr/x", "a.example.net", "/es/", "net/es/", "block"),
+        ("http://www.example.com/en/://b.net/fr/", "www.example.com", "/en/://b.net/fr/", "www.example.com/en/", "allow"),
+        ("http://a.com?u=x://y\n/z", "a.com", "", None, "allow"), ("http://?://b.net/fr/", "", "", None, "allow"),
+        ("a/b://c.net/fr/", "c.net", "/fr/", "net/fr/", "block"), (":// ://b/fr/", " :", "//b/fr/", None, "allow"),
+    ]
+    frame = spark.createDataFrame([(i, u[0]) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge(frame).collect()}
+    assert [got[i] for i in range(len(urls))] == [u[1:] for u in urls]
+
+
 PAGE = """<!doctype html><html><head><title>No</title><style>p{}</style></head><body class="has-sidebar">
 <header class="top"><h1>Site name</h1></header><div id="cookie-notice">We use cookies to make this site nice for you.</div>
 <nav><ul><li><a href="/">Home</a><li><a href='/b'>B</a></ul></nav>
