@@ -3,7 +3,8 @@
 Three kinds are patterns alone: ``assign`` (a name, a sign and a value of 12 characters
 or more), ``access`` and ``hex``. Four are reported only if their structure holds:
 ``jwt`` (a signed token whose first part decodes to a JSON header with an algorithm),
-``pem`` (a block between key markers), ``der`` (base64 or hex of a private key: nested
+``pem`` (a block between key markers, up to 16 header lines before it; what a passphrase
+locks by its headers has no structure to see and needs 16 bytes), ``der`` (base64 or hex of a private key: nested
 lengths that fill each other exactly) and ``ssh`` (base64 of the private key container).
 
 Offsets are code points, ends exclusive. Null and empty texts have no spans. Each row
@@ -31,7 +32,12 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]+)\.(ey[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]*)-----END \1-----")
+_EOL = r"(?:\r?\n|(?:\\r)?\\n)"
+_PEM = re.compile(
+    r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----"
+    rf"((?:[ \t]*{_EOL}(?:[ \t]*[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*{_EOL}){{1,16}})?)([A-Za-z0-9+/=\s\\]*)-----END \1-----"
+)
+_LOCKED = re.compile(r"Proc-Type:[ \t]*4,[ \t]*ENCRYPTED.*DEK-Info:[ \t]*[A-Za-z0-9-]+,[0-9A-Fa-f]+", re.S)
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _SSH = b"openssh-key-v1\0"
@@ -71,7 +77,7 @@ def elements(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
 
 
 def is_private_key(data: bytes) -> bool:
-    """A sequence over all of ``data`` laid out as an RSA, EC or PKCS #8 private key."""
+    """A sequence over all of ``data`` laid out as an RSA, DSA, EC or PKCS #8 private key."""
     outer = elements(data, 0, len(data)) if len(data) > 16 and data[0] == _SEQUENCE else None
     if not outer or len(outer) != 1:
         return False
@@ -79,7 +85,7 @@ def is_private_key(data: bytes) -> bool:
     if not parts or len(parts) < 2 or parts[0][0] != _INTEGER or parts[0][2] - parts[0][1] != 1:
         return False
     version, tags = data[parts[0][1]], [p[0] for p in parts]
-    if version == 0 and len(tags) >= 9 and set(tags[:9]) == {_INTEGER}:
+    if version == 0 and (len(tags) >= 9 and set(tags[:9]) == {_INTEGER} or tags == [_INTEGER] * 6):
         return True
     if version == 1 and tags[1] == _OCTETS and parts[1][2] - parts[1][1] >= 16 and len(tags) <= 4:
         return True
@@ -119,8 +125,9 @@ def confirmed(text: str) -> list[tuple[str, int, int]]:
         spans += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_header(m[1]) and is_object(m[2])]
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            data = unbase64(re.sub(r"\\[nr]|\s", "", m[2]))
-            if key_kind(data) or m[1].startswith("ENCRYPTED") and data and data[0] == _SEQUENCE and elements(data, 0, len(data)):
+            data = unbase64(re.sub(r"\\[nr]|\s", "", m[3]))
+            locked = data and len(data) >= 16 and _LOCKED.search(m[2])
+            if key_kind(data) or locked or m[1].startswith("ENCRYPTED") and data and data[0] == _SEQUENCE and elements(data, 0, len(data)):
                 spans.append(("pem", *m.span()))
     for m in _BASE64.finditer(text):
         kind = key_kind(unbase64(m[0]))

@@ -233,6 +233,28 @@ def test_secrets_are_confirmed_by_structure():
     assert any(k == "ssh" for k, *_ in secret_scan.scan(ssh))
 
 
+def test_rarer_private_keys():
+    dsa = tlv(0x30, tlv(2, b"\0") + b"".join(tlv(2, bytes([k + 1]) * n) for k, n in enumerate((128, 20, 128, 128, 20))))
+    five = tlv(0x30, tlv(2, b"\0") + b"".join(tlv(2, bytes([k + 1]) * 40) for k in range(4)))
+    for text in (base64.b64encode(dsa).decode(), dsa.hex()):
+        assert ("der", 2, len(text) + 2) in secret_scan.scan(f"x {text} y")
+    assert not any(k == "der" for k, *_ in secret_scan.scan(base64.b64encode(five).decode()))
+    pem = "-----BEGIN DSA PRIVATE KEY-----\n" + base64.encodebytes(dsa).decode() + "-----END DSA PRIVATE KEY-----"
+    assert ("pem", 0, len(pem)) in secret_scan.scan(pem)
+
+    cipher = base64.encodebytes(bytes(random.Random(6).randbytes(320))).decode()
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D4E5F60718293A4B5C6D7E8F9\n\n"
+    block = "-----BEGIN RSA PRIVATE KEY-----\n{}-----END RSA PRIVATE KEY-----"
+    locked = block.format(head + cipher)
+    for text in (locked, locked.replace("\n", "\r\n"), locked.replace("\n", "\\n"), locked.replace("\n", "\n    ")):
+        assert ("pem", 2, len(text) + 2) in secret_scan.scan(f"x {text} y")
+        assert secret_scan.masked(f"x {text} y", secret_scan.scan(f"x {text} y")) == "x [secret] y"
+    noted = block.format("Comment: made by hand\n\n" + base64.encodebytes(RSA).decode())
+    assert ("pem", 0, len(noted)) in secret_scan.scan(noted)
+    for text in (block.format(cipher), block.format("Comment: none\n\n" + cipher), block.format(head), block.format(head + "not base64!\n")):
+        assert not any(k == "pem" for k, *_ in secret_scan.scan(text))
+
+
 def test_secret_rows(docs, none):
     assert secret_scan.scan(None) == secret_scan.scan("") == []
     text = "ToKeN: short; secret=abcdefghijkl AKIA" + "A" * 14 + " 0123456789abcdef"
