@@ -9,8 +9,10 @@ two) that is no less than its number of shingles. A document's shingles are cut
 blocks of each length in use; any item inside the document lies in two neighbouring
 blocks, so its Jaccard similarity to that window stays above a sixth however long the
 document is. An item and a window that share any of ``HASHES`` minima are a candidate;
-missing all of them has a probability of about 1 in 10^5. Candidates are checked by
-exact containment in the document.
+missing all of them has a probability of about 1 in 10^5. Items so small that every
+shingle must be there (three or fewer) would be missed more often; they are looked up by
+their least shingle instead, which misses none. Candidates are checked by exact
+containment in the document.
 
 The documents are read once for every block of up to ``ITEMS`` benchmark items or
 ``CHARACTERS`` characters, whose index is broadcast; a larger benchmark is taken in more
@@ -56,8 +58,11 @@ class Index:
         self.sieve = np.zeros(_SIEVE, bool)
         tags: list[np.ndarray] = []
         owners: list[np.ndarray] = []
+        small: list[tuple[int, int]] = []
         for i, item in enumerate(self.items):
-            if len(item):
+            if len(item) and (100 - CONTAINED) * len(item) < 100:
+                small.append((int(item[0]), i))
+            elif len(item):
                 length = max(LEAST, 1 << (len(item) - 1).bit_length())
                 if length not in self.lengths:
                     self.lengths.append(length)
@@ -70,6 +75,9 @@ class Index:
         self.tags = every[order]
         self.owners = np.concatenate(owners)[order] if owners else np.zeros(0, np.int32)
         self.sieve[(every % np.uint64(_SIEVE)).astype(np.int64)] = True
+        small.sort()
+        self.least = np.array([s for s, _ in small], np.uint64)
+        self.small = np.array([i for _, i in small], np.int32)
 
     def windows(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, start, end) of windows of ``hashes`` that share a minimum with an item."""
@@ -95,6 +103,15 @@ class Index:
                 length *= 2
                 low = np.minimum.reduceat(low, np.arange(0, low.shape[1], 2), axis=1)
 
+    def places(self, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, place) of the least shingles of small items in ``hashes``."""
+        if len(self.least):
+            first = np.searchsorted(self.least, hashes, side="left")
+            after = np.searchsorted(self.least, hashes, side="right")
+            for j in np.flatnonzero(first < after).tolist():
+                for i in self.small[first[j] : after[j]].tolist():
+                    yield i, j
+
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, shared shingles, shingles of the item) of all containments."""
         hashes = [shingle_hashes(t) for t in texts]
@@ -104,6 +121,7 @@ class Index:
         for i, start, end in self.windows(joined):
             first, last = np.searchsorted(ends, [start, min(end, len(joined)) - 1], side="right")
             candidates.update((t, i) for t in range(first, last + 1))
+        candidates.update((int(np.searchsorted(ends, j, side="right")), i) for i, j in self.places(joined))
         known: tuple[int, np.ndarray] | None = None
         for t, i in sorted(candidates):
             if known is None or known[0] != t:

@@ -275,6 +275,16 @@ def test_containment(spark, docs, none):
     assert decontaminate.contained(none, frame).count() == decontaminate.contained(docs, frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [5, 6, 7])
+def test_no_small_item_is_missed(size):
+    """Items of one to three shingles, each in one long text."""
+    texts = [prose(1000 + i, 60) for i in range(3000)]
+    items = [" ".join(t.split()[20 : 20 + size]) for t in texts]
+    found = {(t, i) for t, i, shared, total in decontaminate.Index(items + [items[0], None]).search(texts)}
+    assert {(i, i) for i in range(3000)} | {(0, 3000)} <= found
+    assert all(" ".join(["", *(items + items[:1])[i].split(), ""]) in f" {texts[t]} " for t, i in found)
+
+
 def test_containment_in_blocks(spark, docs, monkeypatch):
     items = [(i, " ".join(PASSAGE.split()[i : i + 20])) for i in range(5)]
     frame = spark.createDataFrame(items, "item_id long, text string").repartition(1)
