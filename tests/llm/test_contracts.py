@@ -153,3 +153,17 @@ def test_pipeline_equals_its_stages_done_plainly(spark):
         assert spans or masked[r["doc_id"]] == r
     final = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"]: r["text"] for r in final} == {k: r["text"] for k, r in masked.items()}
+
+
+def test_pipeline_lets_few_bad_documents_pass(spark):
+    """The quality stage on held-out labels: at most one bad document in twenty passes, no good one in a hundred is lost."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.1"
+    held = spark.read.parquet(f"{sf}/labels.parquet").filter(remainder(F.col("doc_id"), 5) == 0)
+    labels = {r["doc_id"]: r["quality"] for r in held.collect() if r["quality"] is not None}
+    left = {r["doc_id"] for r in corpus_pipeline.quality(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).select("doc_id").collect()}
+    every = Counter(labels.values())
+    passed = Counter(y for k, y in labels.items() if k in left)
+    assert every[0] >= 100 and passed[0] <= 0.05 * every[0], (passed, every)
+    assert passed[1] >= 0.99 * every[1], (passed, every)
