@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sentiseries.llm import (
-    decontaminate, html_text, line_quality, mixing, near_duplicates, quality_rules, repeated_bytes, secret_scan, toxicity, url_filter,
+    decontaminate, html_text, line_quality, merkle, mixing, near_duplicates, oracle, quality_rules, repeated_bytes, secret_scan,
+    toxicity, url_filter,
 )
 from sentiseries.llm.common import remainder, small_batches, table
 
@@ -83,6 +84,19 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.group(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    documents = table(spark, sf_dir, "documents").select(*columns)
+    more = (F.col("n_chars").cast("decimal(20, 0)") + 1).cast("string")
+    forged = merkle.leaf_of(*(more if c == "n_chars" else F.col(c) for c in columns))
+    made = merkle.manifest(documents, "doc_id", "lang", columns, {"forged": F.when(remainder(F.col("doc_id"), 7) == 0, forged)})
+    found = merkle.proofs(made).withColumn("folded_root", merkle.fold(F.coalesce("kept.forged", "leaf"), F.col("proof")))
+    return found.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.hashed(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_toxicity": op2_toxicity,
@@ -94,6 +108,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 _HOST = "translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -114,4 +129,5 @@ SELECT page_id, host, path, rule, CASE
   WHEN regexp_matches(host, '(^|[^A-Za-z0-9])(spam[-_.]farm|cheap[-_.]pills|casino|free[-_.]bets|adult|ads[-_.]track|porn|xxx|viagra|payday[-_.]loans|link[-_.]farm)([^A-Za-z0-9]|$)')
   THEN 'block' ELSE 'allow' END AS verdict
 FROM listed""",
+    "op11_merkle_manifest": oracle.MERKLE,
 }
