@@ -44,3 +44,37 @@ high AS (
 SELECT l.doc_id, l.leaf, e.subroot, top.root, sha256(h.sib) AS proof_sha256, h.node AS folded_root, h.node = top.root AS verified
 FROM leaves l JOIN ends e ON e.lang IS NOT DISTINCT FROM l.lang CROSS JOIN top
 JOIN high h ON h.lang IS NOT DISTINCT FROM l.lang AND h.pos = l.pos AND h.lev = top.height"""
+
+
+#: Every distance priced term by term, in whole numbers of any size.
+DIVERGENCE = """
+WITH docs AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT id, lang, source,
+    translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+cells AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(c, 0) AS n FROM (SELECT DISTINCT lang, source FROM docs)
+  LEFT JOIN langs USING (lang) LEFT JOIN (SELECT lang, source, sum(c) AS c FROM cells GROUP BY lang, source) USING (lang, source)),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, k.total,
+    1 + 1000000000 * (coalesce(c, 0)::HUGEINT + 1) // (g.n + g.v)::HUGEINT AS p
+  FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN cells x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM (
+    SELECT s.lang, source, term, c, p, 1 + 1000000000 * (total::HUGEINT + 1) // (l.n + l.v)::HUGEINT AS q FROM shares s JOIN langs l ON l.lang = s.lang)
+  WHERE c > 0 AND p > q),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', item, value::BIGINT FROM found)
+SELECT * FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 200"""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sentiseries.llm import (
-    decontaminate, html_text, line_quality, merkle, mixing, near_duplicates, oracle, quality_rules, repeated_bytes, secret_scan,
-    toxicity, url_filter,
+    decontaminate, divergence, html_text, line_quality, merkle, mixing, near_duplicates, oracle, quality_rules, repeated_bytes, secret_scan,
+    token_counts, toxicity, url_filter,
 )
 from sentiseries.llm.common import remainder, small_batches, table
 
@@ -97,6 +97,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    counted = token_counts.count(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_toxicity": op2_toxicity,
@@ -109,6 +120,8 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_counts": op12_token_counts,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _HOST = "translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -130,4 +143,5 @@ SELECT page_id, host, path, rule, CASE
   THEN 'block' ELSE 'allow' END AS verdict
 FROM listed""",
     "op11_merkle_manifest": oracle.MERKLE,
+    "op13_source_divergence": oracle.DIVERGENCE,
 }

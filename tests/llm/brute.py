@@ -132,3 +132,30 @@ def merkle(rows, arity: int = 2) -> list[tuple]:
                 node = _sha(before + node + after)
             out.append((row[0], leaf, subroot, root, _sha("".join(b + a for b, a in proof)), node, node == root))
     return out
+
+
+def divergence(rows, least: int = 3, top: int = 200) -> list[tuple]:
+    """(lang, source, part, item, value, rank) of rows (lang, source, text)."""
+    counts, docs = {}, {}
+    for lang, source, text in rows:
+        lang, source = lang or "", source or ""
+        found = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        counts.setdefault(lang, {}).setdefault(source, Counter()).update(found)
+        docs.setdefault(lang, Counter()).update(set(found))
+    out = []
+    for lang, sources in counts.items():
+        kept = {t for t, n in docs[lang].items() if n >= least}
+        own = {s: {t: c[t] for t in kept} for s, c in sources.items()}
+        whole = {t: sum(c[t] for c in own.values()) for t in kept}
+
+        def share(c):
+            total = sum(c.values()) + len(kept)
+            return {t: 1 + 1_000_000_000 * (c[t] + 1) // total for t in kept}
+
+        shares, q = {s: share(c) for s, c in own.items()}, share(whole)
+        for s, p in shares.items():
+            pairs = [(-sum((p[t] - o[t]) ** 2 // o[t] for t in kept), b.encode(), b) for b, o in shares.items() if b != s]
+            single = [(-((p[t] - q[t]) ** 2 // q[t]), t.encode(), t) for t in kept if own[s][t] and p[t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", single, top)):
+                out += [(lang, s, part, item, -value, k) for k, (value, _, item) in enumerate(sorted(found)[:most], 1)]
+    return out
