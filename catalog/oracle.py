@@ -39,6 +39,28 @@ add("quarantine_rows", [P.POSTS], """
 SELECT id, year, CAST(CASE WHEN id % 53 <> 0 THEN month ELSE 13 END AS INT) AS month,
   CASE WHEN id % 59 <> 0 THEN subreddit END AS subreddit
 FROM posts WHERE id % 53 = 0 OR id % 59 = 0""")
+BROKEN = """lines AS (
+  SELECT id, CASE WHEN id % 53 = 0 THEN substr(line, 1, 40) ELSE line END AS line FROM (
+    SELECT id, '{' || CASE WHEN id % 67 <> 0 THEN '"subreddit":"' || subreddit || '",' ELSE '' END || '"year":' || year || ',"month":'
+      || CASE WHEN id % 61 <> 0 THEN month ELSE 13 END || ',"title":"post ' || id || '","score":'
+      || CASE WHEN id % 59 <> 0 THEN CAST(score AS VARCHAR) ELSE '"many"' END || '}' AS line FROM posts)),
+marked AS (
+  SELECT id, line, CASE WHEN id % 53 = 0 OR id % 59 = 0 THEN 'not readable' WHEN id % 67 = 0 THEN 'no community'
+    WHEN id % 61 = 0 THEN 'no month' END AS reason FROM lines)"""
+add("unread_records", [P.POSTS, BROKEN], """
+SELECT reason, CASE WHEN reason = 'not readable' THEN line END AS unread,
+  CASE WHEN reason <> 'not readable' THEN 'post ' || id END AS title
+FROM marked WHERE reason IS NOT NULL""")
+add("quarantine_counts", [P.POSTS, BROKEN], """
+SELECT reason IS NULL AS has_keys, reason, count(*) AS posts FROM marked GROUP BY ALL""")
+add("month_update", [P.POSTS], """
+SELECT subreddit, year, month, round(avg(s), 10) + 0.0 AS avg_sentiment_score, arg_min(label, (-n, label)) AS sentiment_most FROM (
+  SELECT *, count(*) OVER (PARTITION BY subreddit, year, month, label) AS n,
+    round(v / sqrt(v * v + 15), 4) AS s FROM (
+    SELECT subreddit, year, month, CASE WHEN good THEN 1.9 WHEN id % 3 = 1 THEN -2.5 ELSE 0.0 END::DOUBLE AS v,
+      CASE WHEN good THEN 'Positive' WHEN id % 3 = 1 THEN 'Negative' ELSE 'Neutral' END AS label
+    FROM (SELECT *, id % 3 = 0 OR (year = 1997 AND month = 5) AS good FROM posts WHERE NOT (year = 1995 AND month = 2))))
+GROUP BY subreddit, year, month""")
 add("union_by_name", [P.POSTS], "SELECT id, subreddit, year, month FROM posts")
 add("union_missing_cols", [P.POSTS], "SELECT id, year, CASE WHEN year < 1998 THEN title END AS title FROM posts")
 
@@ -278,6 +300,32 @@ add("results_groups", [
     P.rank_sum(only("pairs", ("relative_change",)), pair=RELATIVE),
 ))
 
+def curve(source: str, keys: str, value: str) -> list[str]:
+    """Kernel density on 128 points: linear binning, then the kernel between all pairs of points."""
+    return [f"""rows AS (SELECT {keys}, {value}::DOUBLE AS v FROM {source} WHERE {value} IS NOT NULL)""",
+    f"""limits AS (SELECT {keys}, n, w, low - 4.0 * w AS low, (high + 4.0 * w - (low - 4.0 * w)) / 127 AS step FROM (
+      SELECT {keys}, count(*)::DOUBLE AS n, min(v) AS low, max(v) AS high, stddev_samp(v) * pow(count(*)::DOUBLE, -0.2) AS w FROM rows GROUP BY {keys})
+      WHERE w > 0)""",
+    f"""places AS (SELECT {keys}, (v - low) / step AS place, least(floor((v - low) / step), 126)::INT AS pos FROM rows JOIN limits USING ({keys}))""",
+    f"""weights AS (SELECT {keys}, pos, sum(weight) AS weight FROM (
+      SELECT {keys}, pos, 1 - (place - pos) AS weight FROM places UNION ALL SELECT {keys}, pos + 1, place - pos FROM places) GROUP BY {keys}, pos)""",
+    f"""curve AS (SELECT {keys}, p AS point, low + p * step AS x,
+      sum(weight * exp(-pow((p - pos) * step / w, 2) / 2)) / (n * w * sqrt(2 * pi())) AS density
+      FROM limits CROSS JOIN (SELECT unnest(range(128))::INT AS p) JOIN weights USING ({keys}) GROUP BY {keys}, p, low, step, n, w)"""]
+
+
+add("density_by_group", [*SERIES, """long AS (
+  SELECT subreddit, 'avg_sentiment_score' AS variable, round(avg_sentiment_score, 10) + 0.0 AS value FROM community
+  UNION ALL SELECT subreddit, 'top40_avg_sentiment_score', round(top40_avg_sentiment_score, 10) + 0.0 FROM community)""", *curve("long", "variable, subreddit", "value")],
+    "SELECT variable, subreddit, point, round(x, 9) + 0.0 AS x, round(density, 9) + 0.0 AS density FROM curve")
+add("density_events", curve("events", "event_type", "value"), "SELECT event_type, point, round(x, 9) + 0.0 AS x, round(density, 9) + 0.0 AS density FROM curve")
+add("density_integral", curve("events", "event_type", "value"), """
+SELECT event_type, count(*) AS points, abs(sum(density) * any_value(step) - 1) < 1e-3 AS whole
+FROM curve JOIN limits USING (event_type) GROUP BY event_type""")
+ORACLE["sketch_quantiles"] = ("""
+SELECT event_type, share::DOUBLE AS share, n, true AS within
+FROM (SELECT event_type, count(value) AS n FROM events GROUP BY event_type), (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]) AS share)""")
+
 # Chart tables.
 add("distribution_by_group", EXACT, f"""
 SELECT subreddit, variable, count(value) AS n, round(min(value), 12) + 0.0 AS low,

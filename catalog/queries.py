@@ -13,11 +13,12 @@ from catalog.inputs import (
 from sentiseries import schemas
 from sentiseries.functions.bins import with_bins
 from sentiseries.functions.scalars import format_month, month_date
-from sentiseries.operators import change, monthly, ranking, series, significant
+from sentiseries.operators import change, density, monthly, ranking, series, significant, sketches
 from sentiseries.operators.sentiment import lexicon_frame, score_sentiment
-from sentiseries.plans import batteries
+from sentiseries.plans import batteries, jobs
+from sentiseries.plans.settings import Settings
 from sentiseries.sources import submissions
-from sentiseries.sources.storage import fresh_path, stored, write_json
+from sentiseries.sources.storage import delete_folder, fresh_path, stored, write_json, write_partitions
 from sentiseries.stats.chi2 import chi2_independence, crosstab, crosstab_wide
 from sentiseries.stats.levene import levene
 from sentiseries.stats.moments import (
@@ -156,6 +157,54 @@ def quarantine_rows(spark, sf_dir):
     return submissions.quarantine(broken).select("id", "year", "month", "subreddit")
 
 
+def _broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts as JSON lines; some cut off, with a word for the score, a 13th month or no community."""
+    community = F.when(F.col("id") % 67 != 0, F.concat(F.lit('"subreddit":"'), "subreddit", F.lit('",'))).otherwise("")
+    score = F.when(F.col("id") % 59 != 0, F.col("score").cast("string")).otherwise('"many"')
+    month = F.when(F.col("id") % 61 != 0, F.col("month")).otherwise(13).cast("string")
+    line = F.concat(
+        F.lit("{"), community, F.lit('"year":'), F.col("year").cast("string"), F.lit(',"month":'), month,
+        F.lit(',"title":"post '), F.col("id").cast("string"), F.lit('","score":'), score, F.lit("}"),
+    )
+    cut = F.when(F.col("id") % 53 == 0, F.substring(line, 1, 40)).otherwise(line)
+    return posts(spark, sf_dir).select("id", cut.alias("value"))
+
+
+def _marked_lines(spark, sf_dir):
+    path = fresh_path(spark, "broken")
+    lines = _broken_lines(spark, sf_dir)
+    lines.filter("id % 2 = 0").select("value").write.option("compression", "gzip").text(f"{path}/even")
+    lines.filter("id % 2 = 1").select("value").write.text(f"{path}/odd")
+    return submissions.clean_marked(submissions.scan_multi_dir(spark, path, unread=True))
+
+
+@query
+def unread_records(spark, sf_dir):
+    apart = _marked_lines(spark, sf_dir).filter("NOT has_keys")
+    return apart.select("reason", "unread", F.when(F.col("unread").isNull(), F.col("title")).alias("title"))
+
+
+@query
+def quarantine_counts(spark, sf_dir):
+    return submissions.quarantine_counts(_marked_lines(spark, sf_dir))
+
+
+@query
+def month_update(spark, sf_dir):
+    """Community series after a second run of the job, one month's files changed and one month's gone."""
+    root = fresh_path(spark, "monthly")
+    toned = wide_posts(spark, sf_dir).withColumn("title", F.element_at(F.array(F.lit("a good day"), F.lit("a bad day"), F.lit("a day")), (F.col("id") % 3 + 1).cast("int")))
+    rows = toned.select("id", *schemas.SUBMISSIONS.fieldNames())
+    write_json(rows.repartition("year", "month"), f"{root}/input", ("year", "month"))
+    settings = Settings(input_dir=f"{root}/input", output_dir=f"{root}/output", top_k=TOP_K)
+    jobs.process(spark, settings)
+    write_partitions(rows.filter("year = 1997 AND month = 5").withColumn("title", F.lit("a good day")).coalesce(1), f"{root}/input", "json", ("year", "month"))
+    delete_folder(spark, f"{root}/input/year=1995/month=2")
+    jobs.process(spark, settings)
+    series = submissions.read_table(spark, settings.table(jobs.COMMUNITY), schemas.COMMUNITY_MONTH)
+    return rounded(series.select("subreddit", "year", "month", "avg_sentiment_score", "sentiment_most"), SENTIMENT_DIGITS, "avg_sentiment_score")
+
+
 @query
 def union_by_name(spark, sf_dir):
     narrow = posts(spark, sf_dir).select("id", "subreddit", "year", "month")
@@ -555,6 +604,46 @@ def distribution_by_group(spark, sf_dir):
     return rounded(series.distribution_by_group(exact_community(spark, sf_dir)), SERIES_DIGITS, *numbers)
 
 
+@query
+def density_by_group(spark, sf_dir):
+    samples = change.long_samples(stored_community(spark, sf_dir), ["subreddit"], batteries.COMMUNITY)
+    curves = density.density(samples, ["variable", "subreddit"])
+    return rounded(curves, 9, "x", "density")
+
+
+@query
+def density_events(spark, sf_dir):
+    curves = density.density(table(spark, sf_dir, "events"), ["event_type"])
+    return rounded(curves, 9, "x", "density")
+
+
+@query
+def density_integral(spark, sf_dir):
+    """Whether the area under each curve is 1 within a thousandth."""
+    curves = density.density(table(spark, sf_dir, "events"), ["event_type"])
+    step = (F.max("x") - F.min("x")) / (F.count("x") - 1)
+    area = curves.groupBy("event_type").agg((F.sum("density") * step).alias("area"), F.count("x").alias("points"))
+    return area.select("event_type", "points", (F.abs(F.col("area") - 1) < 1e-3).alias("whole"))
+
+
+SKETCH_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+@query
+def sketch_quantiles(spark, sf_dir):
+    """Quantiles from daily sketches merged over all days: is each within the sketch's bound?"""
+    events = table(spark, sf_dir, "events")
+    daily = stored(sketches.sketches(events.withColumn("day", F.col("ts").cast("date")), ["event_type", "day"]), "sketches")
+    found = sketches.with_quantiles(sketches.merged(daily, ["event_type"]), {f"q{i}": q for i, q in enumerate(SKETCH_SHARES)})
+    each = F.explode(F.array(*(F.struct(F.lit(q).alias("share"), F.col(f"q{i}").alias("found")) for i, q in enumerate(SKETCH_SHARES))))
+    asked = stored(found.select("event_type", "n", each.alias("a")).select("event_type", "n", "a.share", "a.found"), "quantiles")
+    ranks = events.join(asked, "event_type").groupBy("event_type", "share", "n").agg(
+        F.avg((F.col("value") <= F.col("found")).cast("int")).alias("upto"), F.avg((F.col("value") < F.col("found")).cast("int")).alias("below")
+    )
+    bound = sketches.rank_error()
+    return ranks.select("event_type", "share", "n", ((F.col("below") - bound <= F.col("share")) & (F.col("share") <= F.col("upto") + bound)).alias("within"))
+
+
 @query
 def histogram_by_group(spark, sf_dir):
     return series.histogram_by_group(stored_community(spark, sf_dir), width=BIN_WIDTH)

@@ -25,6 +25,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--output", default=defaults.output_dir)
     parser.add_argument("--target", default="data/input/submissions")
     parser.add_argument("--lexicon")
+    parser.add_argument("--full", action="store_true", help="process: make all months again, not only those whose files changed")
     parser.add_argument("--cut-date", default=defaults.cut_date)
     parser.add_argument("--top-k", type=int, default=defaults.top_k)
     parser.add_argument("--top-k-salts", type=int, default=defaults.top_k_salts)
@@ -50,7 +51,7 @@ def main(arguments: list[str] | None = None) -> None:
     if options.job == "extract":
         jobs.extract(spark, settings, options.target)
     elif options.job == "process":
-        jobs.process(spark, settings)
+        jobs.process(spark, settings, options.full)
     elif options.job == "tests":
         jobs.run_tests(spark, settings)
     else:

@@ -1,10 +1,10 @@
-"""Lexicon sentiment of whole texts, each row scored by itself.
+"""Lexicon sentiment of whole texts in column expressions, each row scored by itself.
 
-A text is split into tokens; a token that the lexicon knows is a sentiment word, whose
-valence the words around it adjust. That needs a few dictionary lookups per token and
-the neighbours of sentiment words only, so it is one Arrow-batched pass over the texts:
-no row of tokens, no join and no shuffle of texts. What follows from the summed valence
-and the text's marks is a column expression.
+A text is split into an array of words; a word that the lexicon knows is a sentiment
+word, whose valence the words around it adjust. Looking up and adjusting are functions
+over the row's own array, so a text is neither exploded into rows, joined nor shuffled,
+and no Python runs. The lexicon is a literal of the plan: an array of small maps, one for
+each remainder of the word's hash, so that a lookup costs the same for any size.
 
 A word that occurs more than once takes the valence of its first occurrence, as
 the published implementation looks tokens up by value.
@@ -12,24 +12,15 @@ the published implementation looks tokens up by value.
 
 from __future__ import annotations
 
-import string
-import sys
-from collections.abc import Iterator
-from dataclasses import asdict
+import json
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sentiseries.functions.scalars import Labels, sentiment_label
 from sentiseries.operators import rules as R
 from sentiseries.operators.rules import Rules
 from sentiseries.schemas import LEXICON
 
-# Sent to the Python workers by value, so they need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-cloudpickle.register_pickle_by_value(R)
-
 # A lexicon is a list of words that every task holds; one with more entries is an error.
 MOST_ENTRIES = 1_000_000
 
@@ -54,115 +45,148 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("token", "valence").dropna()
 
 
-class Tokens(dict):
-    """What a run of characters between spaces is worth: the token, its lower case and
-    whether it is in capitals, or None. Found once for each of the runs last met.
+def _valences(lexicon: DataFrame) -> list[tuple[int, str, float]]:
+    """(hash, word, valence) of the lexicon's words."""
+    words = lexicon.dropna().groupBy("token").agg(F.max("valence").alias("valence"))
+    rows = words.select(F.hash("token").alias("hash"), "token", "valence").limit(MOST_ENTRIES + 1).collect()
+    if len(rows) > MOST_ENTRIES:
+        raise ValueError(f"a lexicon has at most {MOST_ENTRIES} entries")
+    return [tuple(r) for r in rows]
+
+
+class Table:
+    """A map from words to numbers as a literal, looked up by hash."""
+
+    def __init__(self, rows: list[tuple[int, str, float]]):
+        self.parts = 1 << len(rows).bit_length()
+        maps: list[dict[str, float]] = [{} for _ in range(self.parts)]
+        for code, word, value in rows:
+            maps[code % self.parts][word] = value
+        self.maps = F.from_json(F.lit(json.dumps(maps)), "array<map<string, double>>")
+
+    def of(self, word: Column) -> Column:
+        """The word's number, or null."""
+        return F.get(self.maps, F.pmod(F.hash(word), F.lit(self.parts)))[word]
 
-    A token is a word or emoticon of more than one character, one run of punctuation
-    stripped. A run is stripped only when it stands on one side of a word of at least
-    two characters that has no other punctuation.
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _small(values: dict[str, float]) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), "map<string, double>")
+
+
+def _split(text: Column) -> Column:
+    """The words and emoticons of more than one character.
+
+    One run of punctuation is stripped where it stands on one side only of a word of at
+    least two characters that has no other punctuation.
     """
+    word = rf"[^\p{{Punct}}{R.SPACE}]{{2,}}"
+    runs = "|".join("".join("\\" + mark for mark in run) for run in R.STRIPPED_RUNS)
+    alone = rf"(?<![^{R.SPACE}])(?:(?:{runs})({word})|({word})(?:{runs}))(?![^{R.SPACE}])"
+    stripped = F.regexp_replace(text, alone, "$1$2")
+    return F.filter(F.split(stripped, f"[{R.SPACE}]+"), lambda w: F.length(w) > 1)
 
-    most = 1 << 18
 
-    def __missing__(self, raw: str) -> tuple[str, str, bool] | None:
-        token = raw
-        if raw[0] in string.punctuation or raw[-1] in string.punctuation:
-            tail = raw.lstrip(string.punctuation)
-            word = tail.rstrip(string.punctuation)
-            lead, trail = raw[: len(raw) - len(tail)], tail[len(word) :]
-            if len(word) > 1 and (lead or trail) in R.STRIPPED_RUNS and not (lead and trail) and not any(c in string.punctuation for c in word):
-                token = word
-        found = (token, token.lower(), token.isupper()) if len(token) > 1 else None
-        if len(self) >= self.most:
-            self.clear()
-        self[raw] = found
-        return found
+def _in_capitals(word: Column) -> Column:
+    return (F.upper(word) == word) & (F.lower(word) != word) & ~word.rlike(r"[\p{Ll}\p{Lt}]")
 
 
 class Scorer:
-    """Sums the valences of texts under a lexicon and rules."""
-
-    def __init__(self, valences: dict[str, float], rules: Rules):
-        self.valences, self.rules = valences, rules
-        self.negations = frozenset(rules.negations)
-        self.carriers = {w: v for w, v in valences.items() if w not in rules.boosters}
-        self.tokens = Tokens()
-
-    def total(self, text: str) -> float:
-        known = [t for t in map(self.tokens.__getitem__, text.split()) if t]
-        if not known:
-            return 0.0
-        words, lower, upper = zip(*known)
-        hits = [i for i, w in enumerate(lower) if w in self.carriers and not (w == "kind" and lower[i + 1 : i + 2] == ("of",))]
-        if not hits:
-            return 0.0
-        mixed = any(upper) and not all(upper)
-        turn = lower.index(self.rules.contrast) if self.rules.contrast in lower else None
-        first: dict[str, float] = {}
-        weights: dict[str, float] = {}
-        for i in hits:
-            word = words[i]
-            if word not in first:
-                first[word] = self.valence(words, lower, upper if mixed else None, i)
-            weight = 1.0 if turn is None or i == turn else 0.5 if i < turn else 1.5
-            weights[word] = weights.get(word, 0.0) + weight
-        return sum(first[w] * weights[w] for w in first)
-
-    def valence(self, words: tuple[str, ...], lower: tuple[str, ...], upper: tuple[bool, ...] | None, i: int) -> float:
-        """The valence of the sentiment word at ``i`` in its context.
-
-        ``upper`` tells words in capitals where a text has some and others.
-        """
-        value = self.carriers[lower[i]]
-        if upper and upper[i]:
-            value += R.CAPS_BOOST if value > 0 else -R.CAPS_BOOST
-        for k in (1, 2, 3):
+    """The valences of the words of a text, under a lexicon and rules.
+
+    ``words``, ``lower`` and ``mixed`` name columns: a text's words, their lower case, and
+    whether some words are in capitals and others not.
+    """
+
+    def __init__(self, lexicon: list[tuple[int, str, float]], rules: Rules, words: str, lower: str, mixed: str):
+        self.known = Table(lexicon)
+        self.carriers = Table([row for row in lexicon if row[1] not in rules.boosters])
+        self.boosters, self.idioms = _small(rules.boosters), _small(rules.idioms)
+        self.negations, self.contrast = list(rules.negations), rules.contrast
+        self.words, self.low, self.mixed = F.col(words), F.col(lower), F.col(mixed)
+
+    def word(self, i: Column, step: int | Column = 0) -> Column:
+        return F.get(self.words, i + step)
+
+    def lower(self, i: Column, step: int | Column = 0) -> Column:
+        return F.get(self.low, i + step)
+
+    def hits(self) -> Column:
+        """The places of the sentiment words; "kind of" is none."""
+
+        def is_hit(i: Column) -> Column:
+            kind_of = (self.lower(i) == "kind") & F.coalesce(self.lower(i, 1) == "of", F.lit(False))
+            return self.carriers.of(self.lower(i)).isNotNull() & ~kind_of
+
+        places = F.when(F.size(self.low) > 0, F.sequence(F.lit(0), F.size(self.low) - 1))
+        return F.filter(places, is_hit)
+
+    def valence(self, i: Column) -> Column:
+        """The valence of the sentiment word at ``i`` in its context."""
+
+        def louder(value: Column, place: Column) -> Column:
+            return F.when(self.mixed & _in_capitals(self.word(place)), F.signum(value) * R.CAPS_BOOST).otherwise(0.0)
+
+        def plain(k: int | Column) -> Column:
             # a predecessor counts only when it is there and is no sentiment word itself
-            if i >= k and lower[i - k] not in self.valences:
-                value = self.after_booster(value, lower[i - k], upper and upper[i - k], k)
-                value = self.after_negation(value, words, lower, i, k)
-        least = i >= 1 and lower[i - 1] == "least" and "least" not in self.valences
-        if least and not (i >= 2 and lower[i - 2] in ("at", "very")):
-            value *= R.NEGATION_FACTOR
-        return value
-
-    def after_booster(self, value: float, back: str, shouted: bool | None, k: int) -> float:
-        size = self.rules.boosters.get(back)
-        if size is None:
-            return value
-        step = -size if value < 0 else size
-        if shouted:
-            step += R.CAPS_BOOST if value > 0 else -R.CAPS_BOOST
-        return value + step * R.DISTANCE_DAMPING[k - 1]
-
-    def after_negation(self, value: float, words: tuple[str, ...], lower: tuple[str, ...], i: int, k: int) -> float:
-        """Valence after a negation k words back, or the emphasis of "never so"."""
-        emphatic = ("so", "this")
-        back = lower[i - k]
-        if k == 2 and words[i - 2] == "never" and words[i - 1] in emphatic:
-            changed = value * 1.5
-        elif k == 3 and (words[i - 3] == "never" and words[i - 2] in emphatic or words[i - 1] in emphatic):
-            changed = value * 1.25
-        elif back in self.negations or "n't" in back:
-            changed = value * R.NEGATION_FACTOR
-        else:
-            changed = value
-        if k < 3:
-            return changed
-        # the spans of an idiom, those that reach ahead first; here three words are behind
-        spans = ((i, i + 3), (i, i + 2), (i - 1, i + 1), (i - 2, i + 1), (i - 2, i), (i - 3, i), (i - 3, i - 1))
-        found = (self.rules.idioms.get(" ".join(words[a:b])) for a, b in spans if b <= len(words))
-        changed = next((v for v in found if v is not None), changed)
-        soft = " ".join(words[i - 3 : i - 1]) in R.DAMPENER_PAIRS or " ".join(words[i - 2 : i]) in R.DAMPENER_PAIRS
-        return changed - R.BOOST if soft else changed
-
-
-def _valences(lexicon: DataFrame) -> dict[str, float]:
-    rows = lexicon.dropna().groupBy("token").agg(F.max("valence").alias("valence")).limit(MOST_ENTRIES + 1).collect()
-    if len(rows) > MOST_ENTRIES:
-        raise ValueError(f"a lexicon has at most {MOST_ENTRIES} entries")
-    return {r["token"]: r["valence"] for r in rows}
+            return self.lower(i, -k).isNotNull() & self.known.of(self.lower(i, -k)).isNull()
+
+        def boosted(value: Column, k: Column) -> Column:
+            size = self.boosters[self.lower(i, -k)]
+            shout = F.when(value > 0, R.CAPS_BOOST).otherwise(-R.CAPS_BOOST)
+            step = F.when(value < 0, -size).otherwise(size) + F.when(self.mixed & _in_capitals(self.word(i, -k)), shout).otherwise(0.0)
+            damped = step * F.get(F.array(*map(F.lit, R.DISTANCE_DAMPING)), k - 1)
+            return value + F.coalesce(damped, F.lit(0.0))
+
+        def emphatic(step: int) -> Column:
+            return F.coalesce(self.word(i, step).isin("so", "this"), F.lit(False))
+
+        def factor(k: Column) -> Column:
+            """What a negation k words back, or the emphasis of "never so", makes of a valence."""
+            back = self.lower(i, -k)
+            never_two = (k == 2) & (self.word(i, -2) == "never") & emphatic(-1)
+            never_three = (k == 3) & (((self.word(i, -3) == "never") & emphatic(-2)) | emphatic(-1))
+            return (
+                F.when(never_two, 1.5).when(never_three, 1.25)
+                .when(back.isin(self.negations) | F.contains(back, F.lit("n't")), R.NEGATION_FACTOR).otherwise(1.0)
+            )
+
+        def phrase(first: int, end: int) -> Column:
+            parts = [self.word(i, k) for k in range(first, end)]
+            return F.concat(parts[0], *(x for p in parts[1:] for x in (F.lit(" "), p)))
+
+        def around(value: Column) -> Column:
+            """An idiom's valence, those that reach ahead first, and a pair of words that softens."""
+            spans = ((0, 3), (0, 2), (-1, 1), (-2, 1), (-2, 0), (-3, 0), (-3, -1))
+            soft = phrase(-3, -1).isin(*R.DAMPENER_PAIRS) | phrase(-2, 0).isin(*R.DAMPENER_PAIRS)
+            found = F.coalesce(*(self.idioms[F.coalesce(phrase(a, b), F.lit(""))] for a, b in spans), value)
+            return found - F.when(soft, R.BOOST).otherwise(0.0)
+
+        def step(value: Column, k: Column) -> Column:
+            turned = boosted(value, k) * factor(k)
+            return F.when(~plain(k), value).when(k == 3, _let(turned, around)).otherwise(turned)
+
+        start = _let(self.carriers.of(self.lower(i)), lambda v: v + louder(v, i))
+        value = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), start, step)
+        least = plain(1) & (self.lower(i, -1) == "least") & ~F.coalesce(self.lower(i, -2).isin("at", "very"), F.lit(False))
+        return value * F.when(least, R.NEGATION_FACTOR).otherwise(1.0)
+
+    def total(self, hits: Column) -> Column:
+        """The weighted sum of the valences, equal words one after the other."""
+        turn = F.array_position(self.low, self.contrast) - 1
+        sorted_hits = F.array_sort(F.transform(hits, lambda i: F.struct(self.word(i).alias("word"), i.alias("at"))))
+        none = F.struct(F.lit(None).cast("string").alias("word"), F.lit(0.0).alias("value"), F.lit(0.0).alias("total"))
+
+        def add(done: Column, hit: Column) -> Column:
+            weight = F.when((turn < 0) | (turn == hit["at"]), 1.0).when(hit["at"] < turn, 0.5).otherwise(1.5)
+            value = F.when(done["word"].eqNullSafe(hit["word"]), done["value"]).otherwise(self.valence(hit["at"]))
+            return _let(value, lambda v: F.struct(hit["word"].alias("word"), v.alias("value"), (done["total"] + v * weight).alias("total")))
+
+        return F.aggregate(sorted_hits, none, add, lambda done: done["total"])
 
 
 def _compound(total: Column, text: Column) -> Column:
@@ -194,17 +218,13 @@ def score_sentiment(
     Every row is scored by itself, whether its id is null, repeated or missing;
     ``id_column`` is accepted for callers that have one.
     """
-    known = df.sparkSession.sparkContext.broadcast((_valences(lexicon), asdict(rules)))
-
-    @F.pandas_udf(T.DoubleType())
-    def total(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        valences, fixed = known.value
-        scorer = Scorer(valences, Rules(**fixed))
-        for batch in texts:
-            yield pd.Series([None if t is None else scorer.total(t) for t in batch], dtype="float64")
-
-    compound = _compound(total(text), F.col(text))
-    scored = df.withColumn("sentiment_score", F.when(F.col(text).isNotNull(), compound))
+    words, lower, mixed = "_words", "_lower_words", "_mixed_case"
+    scorer = Scorer(_valences(lexicon), rules, words, lower, mixed)
+    shouted = F.exists(words, _in_capitals) & ~F.forall(words, _in_capitals)
+    split = df.withColumn(words, _split(F.col(text))).withColumns({lower: F.transform(words, F.lower), mixed: shouted})
+    total = F.coalesce(scorer.total(scorer.hits()), F.lit(0.0))
+    compound = _compound(total, F.col(text))
+    scored = split.withColumn("sentiment_score", F.when(F.col(text).isNotNull(), compound))
     return scored.withColumn("sentiment", sentiment_label(F.col("sentiment_score"), labels)).select(
         *df.columns, "sentiment", "sentiment_score"
     )

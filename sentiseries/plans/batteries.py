@@ -18,13 +18,14 @@ from sentiseries.operators.change import (
 from sentiseries.sources.storage import stored
 from sentiseries.sources.submissions import union_by_name
 from sentiseries.stats.chi2 import chi2_independence
-from sentiseries.stats.levene import levene
+from sentiseries.stats.levene import levene_placed
 from sentiseries.stats.moments import (
     anova_oneway, cohens_d, dagostino_k2, ttest_student, ttest_welch,
 )
-from sentiseries.stats.ranks import kruskal_wallis, mann_whitney
+from sentiseries.stats.order import placed_samples
+from sentiseries.stats.ranks import kruskal_placed, mann_whitney_placed
 from sentiseries.stats.results import results
-from sentiseries.stats.shapiro import shapiro_wilk
+from sentiseries.stats.shapiro import shapiro_placed
 
 KEYS = ("variable", "slice")
 BOTH = "before vs after"
@@ -47,6 +48,24 @@ def _whole(samples: DataFrame, name: str = "all") -> DataFrame:
     return samples.withColumn("slice", F.lit(name))
 
 
+class RankTests:
+    """The samples of several rank tests, placed together once.
+
+    ``samples`` names the tests' samples with the column that tells them apart; each test's
+    variables and slices are keys of their own in one table of counts.
+    """
+
+    def __init__(self, samples: dict[str, tuple[DataFrame, str | None]]):
+        parts = [
+            frame.select(F.lit(test).alias("test"), *KEYS, (F.lit("") if group is None else F.col(group).cast("string")).alias("sample"), F.col("value").cast("double").alias("value"))
+            for test, (frame, group) in samples.items()
+        ]
+        self.placed = placed_samples(union_by_name(parts), ["test", *KEYS], "sample")
+
+    def of(self, test: str) -> DataFrame:
+        return self.placed.filter(F.col("test") == test).drop("test")
+
+
 def period_samples(table: DataFrame, values: Sequence[str], cut: str) -> DataFrame:
     """Long samples of a table with a ``date``, marked before or after the cut."""
     dated = split_before_after(table, cut).filter("period IS NOT NULL")
@@ -64,10 +83,11 @@ def overall_battery(overall: DataFrame, cut: str, alpha: float = 0.05) -> DataFr
     mean, top = OVERALL
     samples = period_samples(overall, OVERALL, cut)
     both = _whole(samples, BOTH)
+    ranks = RankTests({"shapiro": (_sliced(samples, "period"), None), "both": (both, "period")})
     return union_by_name([
-        shapiro_wilk(_sliced(samples, "period"), KEYS, alpha),
-        levene(both, KEYS, alpha=alpha),
-        mann_whitney(_only(both, mean), KEYS, alpha=alpha),
+        shapiro_placed(ranks.of("shapiro"), KEYS, alpha),
+        levene_placed(ranks.of("both"), KEYS, alpha),
+        mann_whitney_placed(_only(ranks.of("both"), mean), KEYS, alpha=alpha),
         ttest_student(_only(both, top), KEYS, alpha=alpha),
         mean_difference(both),
         cohens_d(both, KEYS),
@@ -83,9 +103,10 @@ def significant_battery(significant: DataFrame, cut: str, alpha: float = 0.05) -
     samples = period_samples(significant, AVERAGES + COUNTS, cut)
     averages = _only(samples, *AVERAGES)
     both = _whole(samples, BOTH)
+    ranks = RankTests({"shapiro": (_sliced(averages, "period"), None), "levene": (_only(both, *AVERAGES), "period")})
     return union_by_name([
-        shapiro_wilk(_sliced(averages, "period"), KEYS, alpha),
-        levene(_only(both, *AVERAGES), KEYS, alpha=alpha),
+        shapiro_placed(ranks.of("shapiro"), KEYS, alpha),
+        levene_placed(ranks.of("levene"), KEYS, alpha),
         ttest_student(_only(both, pos), KEYS, alpha=alpha),
         ttest_welch(_only(both, neg, total), KEYS, alpha=alpha),
         mean_difference(both),
@@ -120,7 +141,8 @@ def community_battery(
 ) -> DataFrame:
     """Community-month sentiment: independence, normality, variance, location, change.
 
-    Each kind of test runs once, over all its variables and slices together.
+    Each kind of test runs once, over all its variables and slices together, and the rank
+    tests share one placement of all their samples.
     """
     top = COMMUNITY[1]
     dated = split_before_after(community, cut).filter("period IS NOT NULL")
@@ -152,13 +174,18 @@ def community_battery(
         "median": ("before_median", "after_median"),
     }), ACROSS)
     relative_pair = _only(pairs, "relative_change")
+    ranks = RankTests({
+        "levene": (union_by_name([_whole(samples.drop("subreddit"), BOTH), pairs]), "period"),
+        "kruskal": (_only(across, top), "subreddit"),
+        "shapiro": (_whole(long_samples(change, [], change_values), ACROSS), None),
+    })
     return union_by_name([
         chi2_independence(tables, "subreddit", "category", KEYS, alpha),
         dagostino_k2(slices, KEYS, alpha),
-        levene(union_by_name([_whole(samples.drop("subreddit"), BOTH), pairs]), KEYS, alpha=alpha),
+        levene_placed(ranks.of("levene"), KEYS, alpha),
         anova_oneway(across, KEYS, alpha=alpha),
-        kruskal_wallis(_only(across, top), KEYS, alpha=alpha),
-        shapiro_wilk(_whole(long_samples(change, [], change_values), ACROSS), KEYS, alpha),
+        kruskal_placed(ranks.of("kruskal"), KEYS, alpha),
+        shapiro_placed(ranks.of("shapiro"), KEYS, alpha),
         ttest_student(relative_pair, KEYS, pair=relative, alpha=alpha),
-        mann_whitney(relative_pair, KEYS, pair=relative, alpha=alpha),
+        mann_whitney_placed(_only(ranks.of("levene"), "relative_change"), KEYS, pair=relative, alpha=alpha),
     ])

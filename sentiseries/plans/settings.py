@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass, field
 
 from sentiseries.functions.scalars import Labels
 
@@ -32,5 +32,12 @@ class Settings:
     table_format: str = "parquet"
     lexicon_path: str | None = None
 
+    def of_months(self) -> dict:
+        """The parameters that the monthly tables depend on; another value makes all months again."""
+        return {
+            "input": self.input_dir, "top_k": self.top_k, "labels": list(astuple(self.labels)), "significant_cut": self.significant_cut,
+            "format": self.table_format, "lexicon": self.lexicon_path,
+        }
+
     def table(self, name: str) -> str:
         return f"{self.output_dir.rstrip('/')}/{name}"

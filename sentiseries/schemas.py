@@ -27,8 +27,12 @@ SUBMISSIONS = _schema(
 
 CLEANED = _schema(subreddit=_STR, year=_INT, month=_INT, title=_STR, score=_LONG)
 
-# As written: ``has_keys`` tells the usable rows from the quarantined ones.
-CLEANED_MARKED = T.StructType([*CLEANED.fields, T.StructField("has_keys", _BOOL)])
+# As written: ``has_keys`` tells the usable rows from the quarantined ones, which have a
+# reason and, if they could not be read, their raw text. ``input_file`` is a row's source.
+CLEANED_MARKED = T.StructType([*CLEANED.fields, *_schema(reason=_STR, unread=_STR, input_file=_STR, has_keys=_BOOL).fields])
+
+# Of each input file, the months its rows went to.
+INPUT_MONTHS = _schema(file=_STR, path=_STR, size=_LONG, modified=T.TimestampType(), has_keys=_BOOL, year=_INT, month=_INT)
 
 SCORED = _schema(
     subreddit=_STR, year=_INT, month=_INT, title=_STR, score=_LONG,

@@ -54,6 +54,23 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[st
     {"parquet": write_parquet, "json": write_json}[fmt](df, path, partition_by)
 
 
+def write_partitions(df: DataFrame, path: str, fmt: str, partition_by: tuple[str, ...]) -> None:
+    """Replace the partitions that ``df`` has rows of, and leave the others alone."""
+    writer = df.write.mode("overwrite").partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    (writer.option("compression", "gzip") if fmt == "json" else writer).format(fmt).save(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete one folder of a table, if it is there."""
+    one = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    one.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(one, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    one = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return one.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(one)
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

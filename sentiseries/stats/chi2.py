@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sentiseries.functions.pvalues import chi2_p
 from sentiseries.stats.results import DEFAULT_ALPHA, results
@@ -36,29 +36,24 @@ def chi2_independence(
     two-by-two table gets the continuity correction: its four deviations are equal
     in size, so that size follows from the uncorrected sum and the expectations.
     """
+    of_key = list(keys)
+    of_row, of_column = Window.partitionBy(*keys, row), Window.partitionBy(*keys, column)
     cells = crosstab(df, row, column, keys)
-    rows = cells.groupBy(*keys, row).agg(F.sum("observed").alias("row_total"))
-    columns = cells.groupBy(*keys, column).agg(F.sum("observed").alias("column_total"))
+    cells = cells.join(crosstab(df, row, column, keys).groupBy(*of_key).agg(F.sum("observed").alias("n")), of_key)
+    # the margins of a cell, and the share of each margin that the cell stands for
+    cells = cells.withColumns({"row_total": F.sum("observed").over(of_row), "row_part": 1 / F.count(F.lit(1)).over(of_row)})
+    cells = cells.withColumns({"column_total": F.sum("observed").over(of_column), "column_part": 1 / F.count(F.lit(1)).over(of_column)})
+    cells = cells.withColumn("e", F.col("row_total") / F.col("n") * F.col("column_total"))
     o = F.col("observed").cast("double")
-    totals = rows.groupBy(*keys).agg(F.sum("row_total").alias("n"))
-    shares = cells.join(rows, [*keys, row]).join(columns, [*keys, column]).join(totals, list(keys))
-    shares = shares.withColumn("e", F.col("row_total") / F.col("n") * F.col("column_total"))
-    sums = shares.groupBy(*keys).agg(
-        F.sum("observed").alias("n"),
+    table = cells.groupBy(*of_key).agg(
+        F.max("n").alias("n"),
         F.count(F.lit(1)).alias("n_cells"),
         F.sum((o - F.col("e")) * (o - F.col("e")) / F.col("e")).alias("observed_part"),
         F.sum("e").alias("expected"),
-    )
-    margins = (
-        rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n_rows"), F.sum(1 / F.col("row_total")).alias("row_inverse")
-        ).join(
-            columns.groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("n_columns"),
-                F.sum(1 / F.col("column_total")).alias("column_inverse"),
-            ),
-            list(keys),
-        )
+        F.round(F.sum("row_part")).cast("long").alias("n_rows"),
+        F.round(F.sum("column_part")).cast("long").alias("n_columns"),
+        F.sum(F.col("row_part") / F.col("row_total")).alias("row_inverse"),
+        F.sum(F.col("column_part") / F.col("column_total")).alias("column_inverse"),
     )
     n = F.col("n").cast("double")
     full = F.col("n_cells") == F.col("n_rows") * F.col("n_columns")
@@ -68,7 +63,7 @@ def chi2_independence(
     inverse_expected = n * F.col("row_inverse") * F.col("column_inverse")
     deviation = F.sqrt(plain / inverse_expected)
     kept = F.greatest(deviation - 0.5, F.lit(0.0))
-    table = sums.join(margins, list(keys)).withColumns({
+    table = table.withColumns({
         "dof": dof,
         "chi2": F.when(dof == 1, kept * kept * inverse_expected).otherwise(plain),
     })

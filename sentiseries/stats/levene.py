@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sentiseries.stats.moments import anova_of_groups
-from sentiseries.stats.order import median, middles, value_counts, with_positions
-from sentiseries.stats.results import DEFAULT_ALPHA, observed
+from sentiseries.stats.order import median, middles, placed_samples
+from sentiseries.stats.results import DEFAULT_ALPHA
 
 
 def levene(
@@ -20,15 +20,21 @@ def levene(
     """Median-centred Levene test: an analysis of variance of the distances to the
     group medians. ``n1`` is the row count and ``n2`` the group count.
 
-    Everything comes from the placed value counts; the samples are read once. Medians are
-    one row per group and slice, so that a large group's counts meet them in as many
-    tasks as the session has shuffle partitions. Distances are summed from near their
+    Everything comes from the placed value counts; the samples are read once.
+    """
+    return levene_placed(placed_samples(samples, keys, group), keys, alpha)
+
+
+def levene_placed(placed: DataFrame, keys: Sequence[str], alpha: float = DEFAULT_ALPHA) -> DataFrame:
+    """``levene`` of samples already placed.
+
+    Medians are one row per group and slice, so that a large group's counts meet them in as
+    many tasks as the session has shuffle partitions. Distances are summed from near their
     mean, so that their squares lose no digits.
     """
-    by = [*keys, group]
-    rows = observed(samples).filter(F.col(group).isNotNull())
-    placed = with_positions(value_counts(rows, by), by)
-    slices = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*keys, "sample"]
+    placed = placed.select(*by, "value", "ties", F.col("before_in_sample").alias("before"), F.col("n_in_sample").alias("n"))
+    slices = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     low, high = middles()
     above, below = F.col("before") >= high, F.col("before") + F.col("ties") < low
 

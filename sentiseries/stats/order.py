@@ -54,9 +54,45 @@ def with_positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return joined.withColumn("before", F.col("before") + F.col("_offset")).drop("_slice", "_offset")
 
 
+def placed_samples(samples: DataFrame, keys: Sequence[str], group: str | None = None) -> DataFrame:
+    """Every value of every group with its position in the group and in the whole key, placed once.
+
+    Columns: the keys, ``sample`` (the group, or empty), ``value``, ``ties`` (in the group),
+    ``before_in_sample`` and ``n_in_sample``; ``same`` (the value's ties in all groups),
+    ``before`` and ``n``. One table of counts serves all rank tests, whatever number of
+    variables and slices it holds; rows without a group or a key are left out.
+    """
+    samples = samples.withColumn("sample", F.lit("") if group is None else F.col(group).cast("string"))
+    counts = value_counts(samples, [*keys, "sample"])
+    ranged = counts.repartitionByRange(*keys, "value").withColumn("_slice", F.spark_partition_id())
+    placed = stored(ranged, "placed_samples")
+    totals = placed.groupBy(*keys, "sample", "_slice").agg(F.sum("ties").alias("_total"))
+    of_sample = Window.partitionBy(*keys, "sample")
+    of_key = Window.partitionBy(*keys)
+    # over equal slices a running sum holds the whole slice, so what is before it is less by that
+    offsets = totals.select(
+        *keys, "sample", "_slice",
+        (F.sum("_total").over(of_sample.orderBy("_slice")) - F.col("_total")).alias("_before_in_sample"),
+        F.sum("_total").over(of_sample).alias("n_in_sample"),
+        (F.sum("_total").over(of_key.orderBy("_slice")) - F.sum("_total").over(Window.partitionBy(*keys, "_slice"))).alias("_before"),
+        F.sum("_total").over(of_key).alias("n"),
+    )
+    within = Window.partitionBy(*keys, "_slice")
+    ordered = placed.withColumns({
+        "same": F.sum("ties").over(Window.partitionBy(*keys, "_slice", "value")),
+        "before": F.sum("ties").over(within.orderBy("value")),
+        "before_in_sample": F.sum("ties").over(Window.partitionBy(*keys, "_slice", "sample").orderBy("value")) - F.col("ties"),
+    })
+    joined = ordered.join(offsets, [*keys, "sample", "_slice"])
+    return joined.withColumns({
+        "before": F.col("before") - F.col("same") + F.col("_before"),
+        "before_in_sample": F.col("before_in_sample") + F.col("_before_in_sample"),
+    }).drop("_slice", "_before", "_before_in_sample")
+
+
 def average_rank() -> Column:
-    """Mean rank of a value's ties, from the columns of ``with_positions``."""
-    return F.col("before") + (F.col("ties") + 1) / 2
+    """Mean rank of a value in its key, from the columns of ``placed_samples``."""
+    return F.col("before") + (F.col("same") + 1) / 2
 
 
 def middles() -> tuple[Column, Column]:

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sentiseries.functions.pvalues import chi2_p, exact_rank_sum_p, two_sided_normal_p
-from sentiseries.sources.storage import stored
 from sentiseries.stats.moments import PERIODS
-from sentiseries.stats.order import average_rank, value_counts, with_positions
-from sentiseries.stats.results import DEFAULT_ALPHA, observed, results
+from sentiseries.stats.order import average_rank, placed_samples
+from sentiseries.stats.results import DEFAULT_ALPHA, results
 
 # Fixed value: the published rule "auto" is exact up to this size of the smaller sample.
 EXACT_UP_TO = 8
@@ -31,20 +30,24 @@ def mann_whitney(
     correction. ``exact`` counts arrangements, which holds without ties. ``auto`` is exact
     when no values tie and the smaller sample has at most ``EXACT_UP_TO`` values.
     """
+    wanted = samples.filter(F.col(sample).isin(*pair))
+    return mann_whitney_placed(placed_samples(wanted, keys, sample), keys, pair, alpha, method)
+
+
+def mann_whitney_placed(
+    placed: DataFrame, keys: Sequence[str], pair: tuple[str, str] = PERIODS, alpha: float = DEFAULT_ALPHA, method: str = "auto"
+) -> DataFrame:
+    """``mann_whitney`` of samples already placed; keys with other samples than the pair are not for it."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    first, second = (F.col(sample) == name for name in pair)
-    counts = value_counts(
-        samples.filter(first | second), keys,
-        {"in1": F.count(F.when(first, 1)), "in2": F.count(F.when(second, 1))},
-    )
-    ranked = with_positions(counts, keys).withColumn("rank", average_rank())
-    t = F.col("ties").cast("double")
-    sums = ranked.groupBy(*keys).agg(
+    first, second = (F.when(F.col("sample") == name, F.col("ties")).otherwise(0) for name in pair)
+    t = F.col("same").cast("double")
+    sums = placed.withColumns({"in1": first, "in2": second, "rank": average_rank()}).groupBy(*keys).agg(
         F.sum("in1").alias("n1"),
         F.sum("in2").alias("n2"),
         F.sum(F.col("in1") * F.col("rank")).alias("rank_sum"),
-        F.sum(t * t * t - t).alias("tie_sum"),
+        # summed over a value's samples this is ties^3 - ties
+        F.sum(F.col("ties") * (t * t - 1)).alias("tie_sum"),
     )
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
@@ -74,20 +77,17 @@ def kruskal_wallis(
     alpha: float = DEFAULT_ALPHA,
 ) -> DataFrame:
     """Kruskal-Wallis H with tie correction; ``n1`` rows in ``n2`` groups."""
-    rows = observed(samples).filter(F.col(group).isNotNull())
-    per_group = stored(value_counts(rows, [*keys, group]), "group_counts")
-    per_group = per_group.withColumnRenamed("ties", "in_group")
-    counts = per_group.groupBy(*keys, "value").agg(F.sum("in_group").alias("ties"))
-    ranked = with_positions(counts, keys).select(
-        *keys, "value", "ties", average_rank().alias("rank")
-    )
-    t = F.col("ties").cast("double")
-    shares = per_group.join(ranked, [*keys, "value"])
-    groups = shares.groupBy(*keys, group).agg(
-        F.sum("in_group").cast("double").alias("size"),
-        F.sum(F.col("in_group") * F.col("rank")).alias("rank_sum"),
+    return kruskal_placed(placed_samples(samples, keys, group), keys, alpha)
+
+
+def kruskal_placed(placed: DataFrame, keys: Sequence[str], alpha: float = DEFAULT_ALPHA) -> DataFrame:
+    """``kruskal_wallis`` of samples already placed."""
+    t = F.col("same").cast("double")
+    groups = placed.withColumn("rank", average_rank()).groupBy(*keys, "sample").agg(
+        F.sum("ties").cast("double").alias("size"),
+        F.sum(F.col("ties") * F.col("rank")).alias("rank_sum"),
         # Summed over a value's groups this is ties^3 - ties.
-        F.sum(F.col("in_group") * (t * t - 1)).alias("tie_sum"),
+        F.sum(F.col("ties") * (t * t - 1)).alias("tie_sum"),
     )
     # squared distances of the groups' mean ranks from the middle rank, not a difference
     # of two large sums

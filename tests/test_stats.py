@@ -198,15 +198,25 @@ def test_shapiro_of_three_is_exact(spark):
     assert row["p_value"] == pytest.approx(6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
 
 
-def test_shapiro_expands_long_ties_in_chunks(spark, monkeypatch):
+@pytest.mark.parametrize("ties", [(25, 40), (300, 1), (5000, 3), (64, 700)])
+def test_shapiro_sums_runs_as_it_would_sum_positions(spark, monkeypatch, ties):
     from sentiseries.stats import shapiro
 
-    values = [1.0] * 25 + [2.0] * 40 + [float(v) for v in range(3, 20)]
-    whole = one(shapiro_wilk(frame(spark, before=values)))
-    monkeypatch.setattr(shapiro, "CHUNK", 7)
-    chunked = one(shapiro_wilk(frame(spark, before=values)))
-    assert chunked["statistic"] == pytest.approx(whole["statistic"], rel=1e-12)
-    assert chunked["n1"] == len(values)
+    values = [1.0] * ties[0] + [2.5] * ties[1] + [float(v) * v for v in range(3, 200)] + [-4.0] * 150
+    by_runs = one(shapiro_wilk(frame(spark, before=values)))
+    monkeypatch.setattr(shapiro, "EDGE", 10**9)
+    by_positions = one(shapiro_wilk(frame(spark, before=values)))
+    for name in ("statistic", "p_value"):
+        assert math.isclose(by_runs[name], by_positions[name], rel_tol=1e-9, abs_tol=1e-300)
+
+
+def test_shapiro_of_very_many_ties_needs_few_rows(spark):
+    from sentiseries.stats import shapiro
+
+    placed = spark.createDataFrame([("v", 1.0, 10_000_000, 0, 20_000_000), ("v", 2.0, 10_000_000, 10_000_000, 20_000_000)], "variable string, value double, ties long, before long, n long")
+    assert shapiro._runs(placed).count() < 10_000
+    sums = shapiro._with_run_sums(shapiro._runs(placed)).selectExpr("sum(scores)", "sum(score_squares) / 2e7", "sum(hi - lo + 1)").first()
+    assert abs(sums[0]) < 1e-3 and abs(sums[1] - 1) < 1e-5 and sums[2] == 20_000_000
 
 
 def test_k2_rejects_a_skewed_sample_and_is_closed_form(spark):
@@ -331,10 +341,8 @@ def test_rank_sum_methods(two):
         mann_whitney(two, method="other")
 
 
-def test_a_frequent_value_expands_in_many_tasks(spark, settings):
-    settings(adaptive__coalescePartitions__enabled="false")
+def test_a_frequent_value_takes_few_rows(spark):
     rows = spark.range(1_000_000).select(F.lit("v").alias("variable"), F.lit(1.0).alias("value"))
     rows = rows.union(spark.createDataFrame([("v", float(i)) for i in range(50)], "variable string, value double"))
-    placed = order.with_positions(order.value_counts(rows, ["variable"]), ["variable"])
-    spread = shapiro._expanded(placed).groupBy(F.spark_partition_id().alias("task")).count().collect()
-    assert sum(r["count"] for r in spread) == 1_000_050 and sum(r["count"] > 10_000 for r in spread) > 3
+    placed = order.placed_samples(rows, ["variable"])
+    assert shapiro._runs(placed).count() < 50 + 2 * shapiro.EDGE
