@@ -674,7 +674,7 @@ def series_scores(spark, sf_dir):
 # Sentiment of whole texts.
 
 def _scored_documents(spark, sf_dir, id_column):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    documents = submissions.dealt_out(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return score_sentiment(
         documents, lexicon_frame(spark, LEXICON), "text", id_column, rules=RULES
     )

@@ -12,8 +12,6 @@ the published implementation looks tokens up by value.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sentiseries.functions.scalars import Labels, sentiment_label
@@ -22,7 +20,7 @@ from sentiseries.operators.rules import Rules
 from sentiseries.schemas import LEXICON
 
 # A lexicon is a list of words that every task holds; one with more entries is an error.
-MOST_ENTRIES = 1_000_000
+MOST_ENTRIES = 100_000
 
 # A small original lexicon, enough to try the jobs; real use passes a full one.
 SAMPLE_LEXICON = {
@@ -54,15 +52,26 @@ def _valences(lexicon: DataFrame) -> list[tuple[int, str, float]]:
     return [tuple(r) for r in rows]
 
 
+def _map(values: dict[str, float]) -> str:
+    """SQL of a map from words to numbers; words as bytes, so that nothing needs escaping."""
+    return "map(" + ", ".join(f"cast(X'{word.encode().hex()}' AS STRING), {value!r}D" for word, value in values.items()) + ")"
+
+
+_NO_WORDS = "cast(map() AS map<string, double>)"
+
+
 class Table:
-    """A map from words to numbers as a literal, looked up by hash."""
+    """A map from words to numbers as a literal, looked up by hash.
+
+    Made of constants only, so that the optimizer leaves one value of it in the plan.
+    """
 
     def __init__(self, rows: list[tuple[int, str, float]]):
         self.parts = 1 << len(rows).bit_length()
         maps: list[dict[str, float]] = [{} for _ in range(self.parts)]
         for code, word, value in rows:
             maps[code % self.parts][word] = value
-        self.maps = F.from_json(F.lit(json.dumps(maps)), "array<map<string, double>>")
+        self.maps = F.expr("array(" + ", ".join(_map(m) if m else _NO_WORDS for m in maps) + ")")
 
     def of(self, word: Column) -> Column:
         """The word's number, or null."""
@@ -75,7 +84,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _small(values: dict[str, float]) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), "map<string, double>")
+    return F.expr(_map(values) if values else _NO_WORDS)
 
 
 def _split(text: Column) -> Column:
@@ -84,10 +93,10 @@ def _split(text: Column) -> Column:
     One run of punctuation is stripped where it stands on one side only of a word of at
     least two characters that has no other punctuation.
     """
-    word = rf"[^\p{{Punct}}{R.SPACE}]{{2,}}"
+    word = rf"[^\p{{Punct}}{R.SPACE}]{{2,}}+"
     runs = "|".join("".join("\\" + mark for mark in run) for run in R.STRIPPED_RUNS)
-    alone = rf"(?<![^{R.SPACE}])(?:(?:{runs})({word})|({word})(?:{runs}))(?![^{R.SPACE}])"
-    stripped = F.regexp_replace(text, alone, "$1$2")
+    alone = rf"(^|[{R.SPACE}])(?:(?:{runs})({word})|({word})(?:{runs}))(?![^{R.SPACE}])"
+    stripped = F.regexp_replace(text, alone, "$1$2$3")
     return F.filter(F.split(stripped, f"[{R.SPACE}]+"), lambda w: F.length(w) > 1)
 
 
@@ -189,8 +198,8 @@ class Scorer:
         return F.aggregate(sorted_hits, none, add, lambda done: done["total"])
 
 
-def _compound(total: Column, text: Column) -> Column:
-    """Total plus punctuation emphasis, squeezed into [-1, 1] and rounded to 4 places."""
+def _stressed(total: Column, text: Column) -> Column:
+    """Total plus punctuation emphasis."""
 
     def marks(mark: str) -> Column:
         return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
@@ -201,8 +210,7 @@ def _compound(total: Column, text: Column) -> Column:
         .when(questions <= R.QUESTION_STEPS, questions * R.QUESTION_STEP)
         .otherwise(R.QUESTION_MAX)
     )
-    stressed = total + F.signum(total) * emphasis
-    return F.round(stressed / F.sqrt(stressed * stressed + R.NORMALIZER), 4)
+    return total + F.signum(total) * emphasis
 
 
 def score_sentiment(
@@ -218,13 +226,15 @@ def score_sentiment(
     Every row is scored by itself, whether its id is null, repeated or missing;
     ``id_column`` is accepted for callers that have one.
     """
-    words, lower, mixed = "_words", "_lower_words", "_mixed_case"
+    # columns of their own, so that each is worked out once
+    words, lower, mixed, total, stressed = "_words", "_lower_words", "_mixed_case", "_total", "_stressed"
     scorer = Scorer(_valences(lexicon), rules, words, lower, mixed)
     shouted = F.exists(words, _in_capitals) & ~F.forall(words, _in_capitals)
     split = df.withColumn(words, _split(F.col(text))).withColumns({lower: F.transform(words, F.lower), mixed: shouted})
-    total = F.coalesce(scorer.total(scorer.hits()), F.lit(0.0))
-    compound = _compound(total, F.col(text))
-    scored = split.withColumn("sentiment_score", F.when(F.col(text).isNotNull(), compound))
+    summed = split.withColumn(total, F.coalesce(scorer.total(scorer.hits()), F.lit(0.0)))
+    summed = summed.withColumn(stressed, _stressed(F.col(total), F.col(text)))
+    compound = F.round(F.col(stressed) / F.sqrt(F.col(stressed) * F.col(stressed) + R.NORMALIZER), 4)
+    scored = summed.withColumn("sentiment_score", F.when(F.col(text).isNotNull(), compound))
     return scored.withColumn("sentiment", sentiment_label(F.col("sentiment_score"), labels)).select(
         *df.columns, "sentiment", "sentiment_score"
     )

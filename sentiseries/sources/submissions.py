@@ -171,6 +171,15 @@ def spread_for_write(df: DataFrame, by: Sequence[str] = ("year", "month"), order
     return df.hint("rebalance", *(F.col(c) for c in by)).sortWithinPartitions(*by, *order)
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """``df`` over as many tasks as the session has cores, if its input has fewer splits than that.
+
+    Such an input is small, at most a split for each core, so moving it is cheap; a larger one is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def has_keys() -> Column:
     """A community and a real month are given; only such rows can join on their keys."""
     return F.col("subreddit").isNotNull() & month_date().isNotNull()

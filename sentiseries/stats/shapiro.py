@@ -161,9 +161,12 @@ def shapiro_wilk(
 
 
 def shapiro_placed(placed: DataFrame, keys: Sequence[str], alpha: float = DEFAULT_ALPHA) -> DataFrame:
-    """``shapiro_wilk`` of samples already placed, all of a key's samples together."""
-    # one row a value: its ties in all samples
-    values = placed.groupBy(*keys, "value").agg(F.max("same").alias("ties"), F.max("before").alias("before"), F.max("n").alias("n"))
+    """``shapiro_wilk`` of samples already placed without a group, so that a value is one row."""
+    values = placed.select(*keys, "value", "ties", "before", "n")
+    middle = F.floor((F.col("n") + 1) / 2)
+    near = values.groupBy(*keys).agg(
+        F.max(F.when((F.col("before") < middle) & (middle <= F.col("before") + F.col("ties")), F.col("value"))).alias("near")
+    )
     ordered = _with_run_sums(_runs(values))
     lo, hi, n, x = F.col("lo"), F.col("hi"), F.col("n"), F.col("value")
     length = hi - lo + 1
@@ -172,8 +175,6 @@ def shapiro_placed(placed: DataFrame, keys: Sequence[str], alpha: float = DEFAUL
         return F.max(F.when((lo <= position) & (position <= hi), of))
 
     # squares about the mean, summed from near it so that they lose no digits
-    middle = F.max(F.when((lo <= F.floor((n + 1) / 2)) & (F.floor((n + 1) / 2) <= hi), x))
-    near = ordered.groupBy(*keys).agg(middle.alias("near"))
     gap = x - F.col("near")
     sums = ordered.join(near, list(keys)).groupBy(*keys).agg(
         F.max("n").alias("n"),

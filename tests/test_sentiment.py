@@ -117,3 +117,24 @@ def test_custom_rules(spark):
     rules = Rules(boosters={"muy": 0.5}, negations=("kein",))
     rows = {r["id"]: r["sentiment_score"] for r in S.score_sentiment(df, S.lexicon_frame(spark, LEXICON), rules=rules).collect()}
     assert rows == {1: compound(2.4), 2: compound(1.9 * -0.74)}
+
+
+def test_words_with_quotes_and_signs(spark):
+    lexicon = {"it's": 1.0, "\\o/": 2.0, "x\"y": -1.0, "für": 1.5, ":-)": 2.2}
+    texts = ["it's fine", "yes \\o/", "an x\"y", "das für uns", "ok :-)", "FÜR uns und MICH"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, title string")
+    rows = {r["id"]: r["sentiment_score"] for r in S.score_sentiment(df, S.lexicon_frame(spark, lexicon)).collect()}
+    assert rows == {0: compound(1.0), 1: compound(2.0), 2: compound(-1.0), 3: compound(1.5), 4: compound(2.2), 5: compound(1.5 + 0.733)}
+
+
+def test_a_large_lexicon_and_a_long_text(spark):
+    lexicon = {f"w{i}": (i % 9 - 4) / 2 for i in range(6000)}
+    text = " ".join(f"w{i * 7 % 9000}" for i in range(20_000))
+    total = sum(lexicon.get(f"w{i * 7 % 9000}", 0.0) for i in range(20_000))
+    df = spark.createDataFrame([(1, text)], "id int, title string")
+    assert abs(S.score_sentiment(df, S.lexicon_frame(spark, lexicon)).first()["sentiment_score"] - compound(total)) < 1e-4
+
+
+def test_no_python_runs(spark, texts):
+    plan = S.score_sentiment(texts, S.lexicon_frame(spark, LEXICON))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
