@@ -124,11 +124,13 @@ QUERIES = {
     "op13_source_divergence": op13_source_divergence,
 }
 
-_HOST = "translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_PATH = "regexp_extract(url, '^.*?://[^/?#]*(/[^?#]*)', 1, 's')"
+_REST = "CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+_HOST = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract(rest, '^[^/?#]*([^?#]*)', 1)"
 ORACLE: dict[str, str] = {
     "op3_url_filter": f"""
-WITH sites AS (SELECT page_id, coalesce({_HOST}, '') AS host, coalesce({_PATH}, '') AS path FROM pages),
+WITH rests AS (SELECT page_id, {_REST} AS rest FROM pages),
+sites AS (SELECT page_id, {_HOST} AS host, {_PATH} AS path FROM rests),
 listed AS (
   SELECT *, CASE
     WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'

@@ -6,12 +6,13 @@ import random
 from collections import Counter
 from fractions import Fraction
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sentiseries.llm import (
-    components, decontaminate, html_text, line_quality, mixing, near_duplicates, quality_rules, repeated_bytes, secret_scan, toxicity, url_filter,
+    components, decontaminate, html_text, line_quality, mixing, near_duplicates, quality_rules, queries, repeated_bytes, secret_scan, toxicity, url_filter,
 )
 from tests.llm import brute
 
@@ -160,6 +161,11 @@ def test_urls_with_a_second_address(spark):
     frame = spark.createDataFrame([(i, u[0]) for i, u in enumerate(urls)], "page_id long, url string")
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge(frame).collect()}
     assert [got[i] for i in range(len(urls))] == [u[1:] for u in urls]
+    sql = duckdb.connect()
+    sql.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    sql.executemany("INSERT INTO pages VALUES (?, ?)", [(i, u[0]) for i, u in enumerate(urls + URLS[:-1])])
+    told = {r[0]: r[1:] for r in sql.execute(queries.ORACLE["op3_url_filter"]).fetchall()}
+    assert [told[i] for i in range(len(told))] == [u[1:] for u in urls + URLS[:-1]]
 
 
 PAGE = """<!doctype html><html><head><title>No</title><style>p{}</style></head><body class="has-sidebar">
