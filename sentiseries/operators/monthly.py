@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sentiseries.functions.scalars import format_month, month_date
-from sentiseries.operators.ranking import by_score, most_frequent, top_k_per_group
+from sentiseries.operators.ranking import HEAP_MOST, by_score, first_k, most_frequent, top_k_per_group
 
 MONTH_KEYS = ("year", "month", "subreddit")
 
@@ -69,15 +69,36 @@ def community_month(
 ) -> DataFrame:
     """Mean and modal label of all posts and of the top k, per community and month.
 
-    Two scans of the scored table feed two map-side-reduced aggregates on the same
-    keys, so the join moves one row per community-month. Ties in the ranking go to
-    the smallest tie column and ties between labels to the first in the alphabet.
+    One scan: every group keeps its sums and a heap of its first k posts, filled in the
+    map tasks and merged after the one shuffle. Beyond ``HEAP_MOST``, or with ``salts``, the
+    top k are ranked in a scan of their own and joined, one row per community-month. Ties in
+    the ranking go to the smallest tie column and ties between labels to the first in the
+    alphabet.
     """
-    everyone = _mean_and_mode(titled(scored), "avg_sentiment_score", "sentiment_most")
-    top = _mean_and_mode(
-        top_posts(scored, k, tie_columns, salts), "top40_avg_sentiment_score", "top40_sentiment_most"
+    posts = titled(scored)
+    if k > HEAP_MOST or salts is not None:
+        everyone = _mean_and_mode(posts, "avg_sentiment_score", "sentiment_most")
+        top = _mean_and_mode(
+            top_posts(scored, k, tie_columns, salts), "top40_avg_sentiment_score", "top40_sentiment_most"
+        )
+        return with_month_date(everyone.join(top, list(MONTH_KEYS), "left"))
+
+    def mean(of: str) -> Column:
+        return F.try_divide(F.sum(of), F.count(of))
+
+    groups = posts.groupBy(*MONTH_KEYS).agg(
+        mean("sentiment_score").alias("avg_sentiment_score"),
+        F.mode("sentiment", True).alias("sentiment_most"),
+        first_k(posts, tie_columns, ("sentiment", "sentiment_score"), k).alias("top"),
     )
-    return with_month_date(everyone.join(top, list(MONTH_KEYS), "left"))
+    # the k rows of a group lie in one partition already: no second shuffle
+    top = groups.withColumn("top", F.explode("top")).groupBy(*MONTH_KEYS).agg(
+        F.first("avg_sentiment_score").alias("avg_sentiment_score"),
+        F.first("sentiment_most").alias("sentiment_most"),
+        mean("top.sentiment_score").alias("top40_avg_sentiment_score"),
+        F.mode("top.sentiment", True).alias("top40_sentiment_most"),
+    )
+    return with_month_date(top)
 
 
 def overall_month(community: DataFrame) -> DataFrame:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.internal import InternalFunction
 
 # Spark cuts each map task's rows of a group to k before the shuffle only up to this k.
 PRE_SHUFFLE_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+# The longest heap that an aggregate keeps for a group.
+HEAP_MOST = 1000
 
 
 def by_score(tie_columns: Sequence[str] = ("id",), score: str = "score") -> list[Column]:
@@ -49,6 +52,26 @@ def top_k_per_group(
     return _ranked(df, keys, order, rank).filter(F.col(rank) <= k)
 
 
+def first_k(
+    df: DataFrame, tie_columns: Sequence[str] = ("id",), keep: Sequence[str] = (), k: int = 40, score: str = "score"
+) -> Column:
+    """Aggregate: the first ``k`` rows in the order of ``by_score``, as structs that hold ``keep``.
+
+    A bounded heap in the aggregation buffer, so map tasks send at most k structs per
+    group and other aggregates can share the pass. Ties that the tie columns leave open go
+    by the kept columns.
+    """
+    number = F.col(score)
+    if isinstance(df.schema[score].dataType, T.FractionalType):
+        # NaN counts as the highest score, as in a sort
+        falling = [F.when(F.isnan(number.cast("double")), 0).otherwise(1), -number]
+    else:
+        falling = [F.bitwise_not(number)]
+    rising = [x for c in tie_columns for x in (F.col(c).isNull(), F.col(c))]
+    place = [x.alias(f"_{i}") for i, x in enumerate([number.isNull(), *falling, *rising])]
+    return InternalFunction.collect_top_k(F.struct(*place, *(F.col(c) for c in keep)), k, True)
+
+
 def label_frequency(
     df: DataFrame, keys: Sequence[str], label: str = "sentiment", out: str = "frequency"
 ) -> DataFrame:

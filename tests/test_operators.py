@@ -156,3 +156,25 @@ def test_nan_is_in_no_bin_and_moves_none(spark):
     want = {r["i"]: r["bin"] for r in with_bins(plain, "v", width=1.0).collect()}
     got = {r["i"]: r["bin"] for r in with_bins(odd, "v", width=1.0).collect()}
     assert got == want | {9: None} and want[3] == 3
+
+
+def test_heap_of_the_top_k_equals_the_ranked_one(spark):
+    """Null and tied scores and ids, null labels, in whole and in fractional scores; one shuffle, one scan."""
+    rows = spark.range(4000).selectExpr(
+        "cast(2020 + id % 2 as int) year", "cast(1 + id % 3 as int) month",
+        "if(id % 3 = 0, 'hot', concat('c', id % 17)) subreddit", "'t' title",
+        "if(id % 11 = 0, null, cast(id * 7919 % 23 as int)) score", "if(id % 13 = 0, null, concat('i', id)) id",
+        "if(id % 5 = 0, null, element_at(array('Negative', 'Neutral', 'Positive'), cast(1 + id % 3 as int))) sentiment",
+        "if(id % 7 = 0, null, cast(id % 19 as double) / 16) sentiment_score",
+    ).filter("id is not null or score > 20")
+
+    def as_rows(df):
+        return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+
+    for scores in (rows, rows.withColumn("score", F.col("score").cast("double"))):
+        heaped, ranked = monthly.community_month(scores, 6), monthly.community_month(scores, 6, salts=3)
+        assert heaped.schema.simpleString() == ranked.select(*heaped.columns).schema.simpleString()
+        assert as_rows(heaped) == as_rows(ranked)
+    plan = heaped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Range (") == 1
+    assert monthly.community_month(rows.limit(0)).count() == 0

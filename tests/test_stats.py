@@ -331,7 +331,8 @@ def test_exact_rank_sum_is_bounded():
     assert P.rank_sum_exact(25, 1, 10**9) == pytest.approx(2 * 26 / (10**9 + 1))
     assert P.rank_sum_exact(4e9, 8, 10**9) == pytest.approx(1.0, rel=1e-6)
     assert 0.1 < P.rank_sum_exact(3e6, 8, 10**6) < 0.5
-    assert math.isnan(P.rank_sum_exact(9e7, 10**4, 10**4 * 2))
+    assert 0 < P.rank_sum_exact(9e7, 10**4, 10**4 * 2) < 1e-30
+    assert math.isnan(P.rank_sum_exact(1e13, 2 * 10**6, 10**7))
 
 
 def test_rank_sum_methods(two):
@@ -346,3 +347,25 @@ def test_a_frequent_value_takes_few_rows(spark):
     rows = rows.union(spark.createDataFrame([("v", float(i)) for i in range(50)], "variable string, value double"))
     placed = order.placed_samples(rows, ["variable"])
     assert shapiro._runs(placed).count() < 50 + 2 * shapiro.EDGE
+
+
+def test_integrated_rank_sum_equals_the_listed_one():
+    """The circle against the counts themselves, in the middle and far out in the tail."""
+    for few, many, reaches in ((12, 2000, (60, 3000, 11900)), (30, 900, (400, 9000, 13400)), (200, 220, (5000, 21900))):
+        for reach in reaches:
+            listed = P.rank_sum_exact(reach, few, many)
+            assert min(1.0, 2 * P._rank_sum_tail(reach, few, many)) == pytest.approx(listed, rel=1e-9)
+
+
+def test_integrated_rank_sum_of_large_samples():
+    """Against the normal tail with the term of U's fourth cumulant."""
+    few, many = 5000, 40_000
+    middle, spread = few * many / 2, math.sqrt(few * many * (few + many + 1) / 12)
+    excess = -1.2 * (few**2 + many**2 + few * many + few + many) / (few * many * (few + many + 1))
+    for wanted in (0.5, 2.0, 4.0):
+        reach = math.ceil(middle - wanted * spread)
+        z = (middle - reach - 0.5) / spread
+        density = math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+        tail = P.normal_two_sided(z) + 2 * density * excess / 24 * (z**3 - 3 * z)
+        assert P.rank_sum_exact(reach, few, many) == pytest.approx(tail, rel=1e-5)
+    assert P.rank_sum_exact(middle, few, many) == pytest.approx(1.0, abs=1e-4)
