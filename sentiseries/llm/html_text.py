@@ -9,14 +9,18 @@ words of ``class``, ``id`` and ``role``. A decision tree grown from a small tabl
 labelled blocks (``labelled_blocks``) says which blocks are main text.
 The text is those blocks, in order, joined by one space.
 
-Null and empty pages have no text. Unclosed and misnested tags end with the element
-around them. Pages are taken whole, row by row, so repeated rows need no special care.
+Null and empty pages have no text, an empty table gives an empty one, and other columns,
+whatever their names, are not touched. Unclosed and misnested tags end with the element
+around them; a tag without an end is text. Every page is read once from start to end, in
+time in proportion to its length however malformed it is. Pages are taken whole, row by
+row, so repeated rows need no special care.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import product
 
@@ -32,7 +36,10 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = re.compile(r"(script|style|textarea|title|noscript|template|iframe)\b", re.I)
-_TAG = re.compile(r"""<(?:!--(?:.*?--!?>|.*\Z)|(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|[!?/][^>]*(?:>|\Z))""", re.S)
+_COMMENT_END = re.compile(r"--!?>")
+_NAME_END = re.compile(r"[\s/>]")
+_QUOTE_OR_END = re.compile(r"""["'>]""")
+_LONG_REFERENCE = re.compile(r"&#(?:([0-9]{20,})|([xX])([0-9a-fA-F]{20,}))")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-label)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 # whole words of an attribute, borders of camel case included: "has-sidebar", "pageNoNav", but not "notice"
 _LAYOUT = re.compile(
@@ -141,6 +148,69 @@ def marks_of(name: str, attributes: str) -> frozenset[int]:
     return frozenset(found - {own} if len(found) > 1 else found)
 
 
+def decoded(text: str) -> str:
+    """Character references decoded; long numbers are cut to digits that still name no character."""
+    short = _LONG_REFERENCE.sub(lambda m: f"&#{m[2] or ''}{(m[1] or m[3]).lstrip('0')[:12] or 0}", text)
+    return html.unescape(short)
+
+
+class Tags:
+    """The tags of a page, in order.
+
+    A tag ends at the first ``>`` outside quotes. Where that is depends only on the first
+    quote or ``>`` after its name, so it is kept by that place and nothing is searched twice.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: dict[int, int] = {}
+        self.name_end = self.first = -1
+
+    def _place(self, pattern: re.Pattern, at: int) -> int:
+        found = pattern.search(self.page, at)
+        return found.start() if found else len(self.page)
+
+    def _end(self, at: int) -> int:
+        """Where the first ``>`` outside quotes is, from the quote or ``>`` at ``at``; the page's length if nowhere."""
+        passed = []
+        while at < len(self.page) and self.page[at] != ">" and at not in self.ends:
+            passed.append(at)
+            closing = self.page.find(self.page[at], at + 1)
+            at = self._place(_QUOTE_OR_END, closing + 1) if closing >= 0 else len(self.page)
+        end = self.ends.get(at, at)
+        self.ends.update(dict.fromkeys(passed, end))
+        return end
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, closing, name, attributes) of the next tag; comments and the like have no name."""
+        page, start = self.page, at
+        while (start := page.find("<", start)) >= 0:
+            if page.startswith("<!--", start):
+                found = _COMMENT_END.search(page, start + 4)
+                return start, found.end() if found else len(page), False, "", ""
+            closing = page.startswith("/", start + 1)
+            name = start + 1 + closing
+            if page[name : name + 1].isascii() and page[name : name + 1].isalpha():
+                if self.name_end < name:
+                    self.name_end = self._place(_NAME_END, name)
+                if self.first < self.name_end:
+                    self.first = self._place(_QUOTE_OR_END, self.name_end)
+                end = self._end(self.first)
+                if end < len(page):
+                    return start, end + 1, closing, page[name : self.name_end].lower(), page[self.name_end : end]
+            if page[start + 1 : start + 2] in ("!", "?", "/"):
+                end = page.find(">", start + 1)
+                return start, end + 1 if end >= 0 else len(page), False, "", ""
+            start += 1
+        return None
+
+
+def raw_end(page: str, name: str, at: int) -> int:
+    """Where the end tag of a script or the like ends; the page's length if nowhere."""
+    found = re.compile(rf"</{name}\b", re.I).search(page, at)
+    return page.find(">", found.end()) + 1 or len(page) if found else len(page)
+
+
 def blocks(page: str | None) -> list[tuple[str, int, int, frozenset[int]]]:
     """(text, words, words in links, marks) of the page's non-empty blocks, in order."""
     page = page or ""
@@ -152,49 +222,49 @@ def blocks(page: str | None) -> list[tuple[str, int, int, frozenset[int]]]:
     links = silent = 0
 
     def flush() -> None:
-        text = " ".join(html.unescape("".join(pieces)).split())
+        text = " ".join(decoded("".join(pieces)).split())
         if text:
-            out.append((text, text.count(" ") + 1, min(len(html.unescape(" ".join(linked)).split()), text.count(" ") + 1), marks))
+            out.append((text, text.count(" ") + 1, min(len(decoded(" ".join(linked)).split()), text.count(" ") + 1), marks))
         pieces.clear()
         linked.clear()
 
-    at = 0
+    tags, opened, at = Tags(page), Counter(), 0
     while True:
-        m = _TAG.search(page, at)
-        chunk = page[at : m.start() if m else len(page)]
+        tag = tags.next(at)
+        chunk = page[at : tag[0] if tag else len(page)]
         if chunk and not silent:
             pieces.append(chunk)
             if links:
                 linked.append(chunk)
-        if not m:
+        if not tag:
             break
-        at = m.end()
-        name = (m[2] or "").lower()
+        _, at, closing, name, attributes = tag
         if not name:
             continue
         if name in _BLOCKS and pieces:
             flush()
-        if m[1]:
-            if any(name == n for n, _ in reversed(stack)):
-                while stack:
-                    n, _ = stack.pop()
-                    links -= n == "a"
-                    silent -= n in _SILENT
-                    if n == name:
-                        break
+        if closing:
+            while opened[name] > 0:
+                n, _ = stack.pop()
+                opened[n] -= 1
+                links -= n == "a"
+                silent -= n in _SILENT
                 marks = stack[-1][1] if stack else frozenset()
+                if n == name:
+                    break
             continue
-        if name in _VOID or m[3].endswith("/") and name not in _BLOCKS:
+        if name in _VOID or attributes.endswith("/") and name not in _BLOCKS:
             continue
         if _RAW.fullmatch(name):
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = raw_end(page, name, at)
             continue
         if name in ("p", "li") and stack and stack[-1][0] == name:
-            n, _ = stack.pop()
+            stack.pop()
+            opened[name] -= 1
             marks = stack[-1][1] if stack else frozenset()
-        marks = marks | marks_of(name, m[3])
+        marks = marks | marks_of(name, attributes)
         stack.append((name, marks))
+        opened[name] += 1
         links += name == "a"
         silent += name in _SILENT
     flush()

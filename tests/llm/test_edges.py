@@ -3,6 +3,8 @@
 import base64
 import json
 import random
+import re
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -204,6 +206,41 @@ def test_layout_words_give_no_mark(name):
     assert html_text.marks_of("div", f' class="{name}"') == frozenset()
 
 
+@pytest.mark.parametrize("page, parts", [
+    ('<a "' * 400_000, None), ("<a" * 400_000, None), ("<a '<b \"" * 200_000, None), ("<a x" * 400_000, None),
+    ("<div>" * 100_000 + "</span>" * 100_000, 0), ("</span>" * 100_000, 0), ("<script>" + "</script " * 100_000, 0),
+    ("<p>" + "&#" + "9" * 100_000 + ";", 1), ("<p>&#" + "0" * 100_000 + "65;", 1), ("<!-" * 300_000, 0), ("<p title='" * 200_000, None),
+], ids=range(11))
+def test_malformed_pages_take_linear_time(page, parts):
+    start = time.perf_counter()
+    found = html_text.blocks(page)
+    assert time.perf_counter() - start < 4
+    if parts is not None:
+        assert len(found) == parts
+
+
+def test_tags_are_those_of_one_expression():
+    """Against the grammar as a single pattern, on random strings of its signs."""
+    pattern = re.compile(
+        r"""<(?:!--(?:.*?--!?>|.*\Z)|(/?)([A-Za-z][^\s/>]*+)((?:"[^"]*"|'[^']*'|[^'">])*+)>|[!?/][^>]*(?:>|\Z))""", re.S
+    )
+    deal = random.Random(4)
+    for _ in range(20_000):
+        page = "".join(deal.choices(["<", ">", '"', "'", "/", "a", "B ", " ", "=", "!--", "-->", "?", "é"], k=deal.randint(1, 30)))
+        tags, at = html_text.Tags(page), 0
+        while True:
+            m, got = pattern.search(page, at), tags.next(at)
+            assert (m is None) == (got is None), page
+            if m is None:
+                break
+            assert got == (m.start(), m.end(), bool(m[1]), (m[2] or "").lower(), m[3] or ""), page
+            at = m.end()
+
+
+def test_references_of_any_length():
+    assert html_text.decoded("&#00000000000000000065;&#" + "9" * 9000 + ";&#x" + "f" * 30 + ";&#" + "0" * 40 + ";&amp;") == "A\ufffd\ufffd\ufffd&"
+
+
 def test_long_and_many_pages(spark):
     body = "<article>" + "".join(f"<p>{prose(i, 30)}</p>" for i in range(2000)) + "</article>"
     frame = spark.createDataFrame([(1, body), (1, body), (None, None)], "page_id long, html string")
