@@ -1,6 +1,6 @@
 """Interleaving sources to target weights by proportionate fair scheduling.
 
-Every source's documents are put in the order of a hash and cut into blocks. A source of
+Every source's documents are put in the order of a hash of id and row and cut into blocks. A source of
 weight w must have had its block k (from 0) no earlier than slot floor(k / w) and before
 slot ceil((k + 1) / w); in every slot the released block with the earliest deadline is
 taken. With weights that add up to 1 this meets all deadlines, so that after any number
@@ -10,8 +10,8 @@ Weights are taken exactly, as ratios of whole numbers, so the distance does not
 the number of slots. The schedule is made on the driver, one step for each block and
 source (not for each slot: where nothing is released it goes on to the next release), in
 eight bytes a block. The work on documents is one window per (source, slice), where
-slices of the hash are many enough that each holds about ``SLICE`` documents; a table
-gives each slice the number of documents before it and the slots of its blocks.
+a source is cut by the hash into so many slices that each holds about ``SLICE`` documents; a
+table gives each slice the number of documents before it and the slots of its blocks.
 
 When a source has no documents left its share of the slots stays free, and blocks of the
 others, once released, may take it; ``balanced`` is true for the slots before the first
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 from array import array
 from collections import Counter
 from fractions import Fraction
@@ -34,24 +35,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from sentiseries.llm.common import free_name
 from sentiseries.sources.storage import stored
 
-QUANTA = 1000
 BLOCK = 16
-SLICE = 50_000
-
-
-def quanta(weights: dict[str | None, float], total: int = QUANTA) -> dict[str | None, int]:
-    """Whole shares of ``total``, at least 1 each, by largest remainder: rounded, not what ``mix`` schedules."""
-    if not 0 < len(weights) <= total:
-        raise ValueError(f"{len(weights)} sources cannot share {total} quanta")
-    if any(not w > 0 for w in weights.values()):
-        raise ValueError("weights must be positive")
-    spare, whole = total - len(weights), sum(weights.values())
-    exact = {s: spare * w / whole for s, w in weights.items()}
-    shares = {s: int(x) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (shares[s] - exact[s], s is not None, s or ""))
-    for s in order[: spare - sum(shares.values())]:
-        shares[s] += 1
-    return {s: n + 1 for s, n in shares.items()}
+SLICE = 10_000
 
 
 def exact(weights: dict[str | None, float]) -> dict[str | None, int]:
@@ -91,6 +76,10 @@ def tempered(counts: dict[str | None, int], power: float = 0.5) -> dict[str | No
     return {s: n**power for s, n in counts.items()}
 
 
+def _marked(source: str | None) -> str:
+    return "" if source is None else f"={source}"
+
+
 def _ahead(spark: SparkSession, sizes: list[tuple[str, int, int]], slots: dict[str, array], block: int, names: tuple[str, ...]) -> DataFrame:
     """(source, slice, documents of the source before it, slots of the blocks it has a part of)."""
     before, firsts, offsets, values = Counter(), [], [0], array("q")
@@ -123,15 +112,19 @@ def mix(documents: DataFrame, weights: dict[str | None, float] | None = None, ke
     # one block more than are full: the first that a source cannot fill ends the balance
     slots = schedule(exact(weights), {s: n // block + 1 for s, n in counts.items()})
     end = min(slots[s][n // block] for s, n in counts.items())
-    slices = max(1, sum(counts.values()) // SLICE)
-    names = {n: free_name(documents, f"mix_{n}") for n in ("s", "h", "slice", "rank", "before", "slots")}
-    s, h, part, rank, before, at = (names[n] for n in ("s", "h", "slice", "rank", "before", "slots"))
+    names = {n: free_name(documents, f"mix_{n}") for n in ("s", "h", "slice", "rank", "before", "slots", "parts")}
+    s, h, part, rank, before, at, parts = (names[n] for n in ("s", "h", "slice", "rank", "before", "slots", "parts"))
     # a key that is never null, so that the join finds the rows where the window left them
     marked = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
-    keyed = documents.withColumns({s: marked, h: F.xxhash64(F.lit("mix"), F.col(key))})
-    keyed = keyed.withColumn(part, F.floor((F.shiftrightunsigned(h, 33)) * slices / F.lit(2**31)).cast("long"))
+    # maps and variants have no hash; what else a row holds tells equal ids apart
+    hashed = [c for c, kind in documents.dtypes if not re.search("map<|variant", kind)]
+    keyed = documents.withColumns({s: marked, h: F.xxhash64(F.lit("mix"), *(F.col(f"`{c}`") for c in hashed))})
+    # one row a source; Spark broadcasts it while it is small
+    cuts = spark.createDataFrame([(_marked(k), max(1, n // SLICE)) for k, n in counts.items()], f"{s} string, {parts} long")
+    keyed = keyed.join(cuts, s)
+    keyed = keyed.withColumn(part, F.floor(F.shiftrightunsigned(h, 33) * F.col(parts) / F.lit(2**31)).cast("long"))
     sizes = sorted(tuple(r) for r in keyed.groupBy(s, part).agg(F.count("*").alias("n")).collect())
-    ahead = stored(_ahead(spark, sizes, {"" if k is None else f"={k}": v for k, v in slots.items()}, block, (s, part, before, at)), "mixing_slots")
+    ahead = stored(_ahead(spark, sizes, {_marked(k): v for k, v in slots.items()}, block, (s, part, before, at)), "mixing_slots")
     # the slice is cut from the top of the unsigned hash, so slices follow in hash order
     ranked = keyed.withColumn(rank, F.row_number().over(Window.partitionBy(s, part).orderBy(F.shiftrightunsigned(h, 1), h, key)) - 1)
     nth = free_name(documents, "mix_nth")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -159,3 +161,26 @@ def divergence(rows, least: int = 3, top: int = 200) -> list[tuple]:
             for part, found, most in (("pair", pairs, None), ("term", single, top)):
                 out += [(lang, s, part, item, -value, k) for k, (value, _, item) in enumerate(sorted(found)[:most], 1)]
     return out
+
+
+def interleaved(counts: dict[str | None, int], block: int) -> tuple[Counter, int]:
+    """Documents by (slot, source, block), looking at every source in every slot, and the first unbalanced slot.
+
+    Weights are square roots of the counts, as exact fractions of floats.
+    """
+    whole = sum(Fraction(n**0.5) for n in counts.values())
+    share = {s: Fraction(n**0.5) / whole for s, n in counts.items()}
+    done, out, last = Counter(), Counter(), {}
+    slot = 0
+    # a block past each source's full ones, empty or not, is scheduled too
+    while len(last) < len(counts):
+        free = [s for s in counts if s not in last and math.floor(done[s] / share[s]) <= slot]
+        if free:
+            s = min(free, key=lambda s: (math.ceil((done[s] + 1) / share[s]), s is not None, s or ""))
+            if done[s] == counts[s] // block:
+                last[s] = slot
+            if size := min(block, counts[s] - done[s] * block):
+                out[slot, s, done[s]] = size
+            done[s] += 1
+        slot += 1
+    return out, min(last.values())

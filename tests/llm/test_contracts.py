@@ -88,7 +88,9 @@ def test_op8_stays_within_a_block_of_its_weights(spark):
     rows = run(spark, "op8_mixing", SF10)
     sources = {r["doc_id"]: r["source"] for r in table(spark, "documents", SF10)}
     assert Counter(r["doc_id"] for r in rows) == Counter(list(sources))
-    shares = mixing.quanta(mixing.tempered(Counter(sources.values())))
+    counts = Counter(sources.values())
+    shares = mixing.exact(mixing.tempered(counts))
+    total = sum(shares.values())
     done = Counter()
     blocks = sorted({(r["slot"], r["source"], r["block"]) for r in rows if r["balanced"]})
     assert len({s for s, *_ in blocks}) == len(blocks)
@@ -96,7 +98,18 @@ def test_op8_stays_within_a_block_of_its_weights(spark):
         assert block == done[source]
         done[source] += 1
         for name, share in shares.items():
-            assert abs(done[name] - Fraction(share * (slot + 1), mixing.QUANTA)) < 1
+            assert abs(done[name] - Fraction(share * (slot + 1), total)) < 1
+
+
+def test_op8_equals_a_schedule_made_slot_by_slot(spark):
+    rows = run(spark, "op8_mixing", SF10)
+    sources = {r["doc_id"]: r["source"] for r in table(spark, "documents", SF10)}
+    want, end = brute.interleaved(Counter(sources.values()), mixing.BLOCK)
+    got = Counter((r["slot"], sources[r["doc_id"]], r["block"]) for r in rows)
+    assert got == want
+    assert all(r["balanced"] == (r["slot"] < end) for r in rows)
+    assert len({(r["slot"], r["place"]) for r in rows}) == len(rows)
+    assert all(r["place"] < got[r["slot"], r["source"], r["block"]] for r in rows)
 
 
 def test_op9_equals_brute_force(spark, documents):
