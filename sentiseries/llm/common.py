@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 SPACES = " \t\n\x0b\x0c\r"
 SHINGLE = 5
@@ -83,9 +83,11 @@ def labelled_sample(
     """Texts of up to ``per_class`` labelled documents of either class, with weights.
 
     ``usable`` is a condition on ``key``; rows without key or label are left out, and so
-    are documents with both labels. The rows with the smallest hash are taken, and a
-    weight restores the classes' shares. The ids are few, so texts are not shuffled.
-    Columns: text, label (0 or 1), weight.
+    are documents with both labels. The ids with the smallest hash are taken, and a
+    weight restores the classes' shares. Of several documents with one id the one whose
+    text has the smallest hash is taken, so there is never more than one row an id; they
+    are reduced where they are read, and other texts are not moved. Ids may be of any
+    type that can be grouped and sorted. Columns: text, label (0 or 1), weight.
     """
     spark = documents.sparkSession
     votes = (
@@ -98,8 +100,10 @@ def labelled_sample(
     for y, total in sorted(totals.items()):
         taken = votes.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(per_class).collect()
         rows += [(r["k"], y, total / len(taken)) for r in taken]
-    picked = spark.createDataFrame(rows, "k long, label int, weight double")
-    return documents.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(picked), "k").drop("k")
+    shape = T.StructType([votes.schema["k"], T.StructField("label", T.IntegerType()), T.StructField("weight", T.DoubleType())])
+    found = documents.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(spark.createDataFrame(rows, shape)), "k")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text"), F.col("label"), F.col("weight"))).alias("one")
+    return found.groupBy("k").agg(one).select("one.text", "one.label", "one.weight")
 
 
 def free_name(df: DataFrame, name: str) -> str:

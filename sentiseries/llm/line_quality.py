@@ -4,7 +4,9 @@ Every line is good or bad. Its features are yes-or-no measures of the line itsel
 the lines before and after it; the chain adds weights for neighbouring labels. Lines of
 a labelled document take its label; the weights are fitted to a bounded sample
 (``PER_CLASS`` documents of either class) by gradient ascent on the penalised
-likelihood. A document's score is the mean of its lines' marginal probabilities of good
+likelihood. Texts of more than ``SPAN`` lines are learnt from in pieces of so many, all of
+them: only the label pairs across the cuts are not counted, so that one long text neither
+pads the others nor takes a step of Python for each of its lines. A document's score is the mean of its lines' marginal probabilities of good
 (forward-backward), weighted by length in characters.
 
 Null and empty texts and texts of white space have no line with a word: score 0. Texts
@@ -29,6 +31,7 @@ PENALTY, ROUNDS, STEP = 2.0, 250, 0.1
 #: Features of a line that its neighbours see too.
 SHARED = 12
 CELLS = 1 << 18
+SPAN = 256
 
 
 def counts(lines: list[str]) -> np.ndarray:
@@ -114,14 +117,17 @@ class Chain:
 
     @classmethod
     def fit(cls, lines: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Chain:
-        """Adam on the penalised log-likelihood, all sequences in every step."""
+        """Adam on the penalised log-likelihood, all sequences in every step, long ones in pieces."""
+        scale = weights.sum()
+        parts = [-(-len(x) // SPAN) for x in lines]
+        lines = [x[a : a + SPAN] for x in lines for a in range(0, len(x), SPAN)]
+        labels, weights = np.repeat(labels, parts), np.repeat(weights, parts)
         model = cls(np.zeros(width()), np.zeros((2, 2)))
         flat = np.concatenate(lines).astype(float)
         owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
         seen = flat.T @ (weights * labels)[owner]
         steps = np.maximum(np.array([len(x) for x in lines]) - 1, 0) * weights
         seen_pairs = np.diag([(steps * (1 - labels)).sum(), (steps * labels).sum()])
-        scale = weights.sum()
         theta, first, second = np.zeros(width() + 4), np.zeros(width() + 4), np.zeros(width() + 4)
         for i in range(1, ROUNDS + 1):
             good, _, pairs = model.marginals(lines)

@@ -5,6 +5,7 @@ import json
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 from fractions import Fraction
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from sentiseries.llm import (
     components, decontaminate, html_text, line_quality, mixing, near_duplicates, quality_rules, queries, repeated_bytes, secret_scan, toxicity, url_filter,
 )
+from sentiseries.llm.common import labelled_sample
 from tests.llm import brute
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, k long, n long, score double, slot long, digest string, spans string, host string, row long"
@@ -343,7 +345,49 @@ def test_mixing(docs, none):
     with pytest.raises(ValueError):
         mixing.mix(docs, {"a": 1.0})
     with pytest.raises(ValueError):
-        mixing.quanta({"a": 0.0})
+        mixing.exact({"a": 0.0})
+
+
+def test_mixing_splits_null_and_repeated_ids(spark, monkeypatch):
+    """Rows without an id, or all of one id, fill as many slices as others, in the same order every time."""
+    monkeypatch.setattr(mixing, "SLICE", 100)
+    frame = spark.range(4000).select(
+        F.when(F.col("id") % 2 > 0, F.lit(7)).alias("doc_id"), F.lit("a").alias("source"), F.concat(F.lit("text "), "id").alias("text"),
+        F.create_map(F.lit("k"), "id").alias("extra"),
+    )
+    seen = []
+    ahead = mixing._ahead
+    monkeypatch.setattr(mixing, "_ahead", lambda spark, sizes, *rest: seen.append(sizes) or ahead(spark, sizes, *rest))
+    placed = {r["text"]: (r["block"], r["place"]) for r in mixing.mix(frame).collect()}
+    assert sorted(placed.values()) == [divmod(i, mixing.BLOCK) for i in range(4000)]
+    assert len(seen[0]) == 40 and max(n for *_, n in seen[0]) < 160
+    assert placed == {r["text"]: (r["block"], r["place"]) for r in mixing.mix(frame.repartition(5)).collect()}
+
+
+def test_sample_takes_one_row_an_id_of_any_type(spark):
+    many = spark.range(20_000).select(F.lit("b").alias("doc_id"), F.concat(F.lit("words "), "id").alias("text"))
+    docs = many.union(spark.createDataFrame([("a", "good"), ("c", None), (None, "x")], "doc_id string, text string"))
+    labels = spark.createDataFrame([("a", 1), ("b", 0), ("b", 0), ("c", 1), ("d", 1)], "doc_id string, quality int")
+    pick = lambda frame: sorted(map(tuple, labelled_sample(frame, labels, "quality", F.lit(True), 5).collect()), key=repr)
+    rows = pick(docs)
+    assert [(t, y, w) for t, y, w in rows if y] == [("good", 1, 1.0), (None, 1, 1.0)] and len(rows) == 3
+    assert rows == pick(docs.repartition(3))
+
+
+def test_line_quality_fits_beside_one_long_text():
+    """Memory and steps follow the lines there are, not the longest text times the number of texts."""
+    rng = np.random.default_rng(3)
+    lines = [(rng.random((n, line_quality.width())) < 0.2).astype(np.uint8) for n in [5] * 2000 + [100_000]]
+    labels = np.array([i % 2 for i in range(2001)], float)
+    for x, y in zip(lines, labels):
+        x[:, 0] = y
+    tracemalloc.start()
+    begin = time.monotonic()
+    model = line_quality.Chain.fit(lines, labels, np.ones(2001))
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20 and time.monotonic() - begin < 300
+    tracemalloc.stop()
+    good = model.marginals(lines[:100])[0]
+    assert all((g > 0.5).all() == bool(y) for g, y in zip(good, labels))
 
 
 def test_slices_of_a_source_follow_each_other(spark, monkeypatch):
@@ -355,10 +399,12 @@ def test_slices_of_a_source_follow_each_other(spark, monkeypatch):
 
 @pytest.mark.parametrize("weights", [{"a": 1.0}, {"a": 5.0, "b": 1.0, None: 0.1}, dict.fromkeys(map(str, range(37)), 1.0), {str(i): 1.5**i for i in range(20)}])
 def test_schedule_meets_all_deadlines(weights):
-    shares = mixing.quanta(weights)
+    shares = mixing.exact(weights)
     total = sum(shares.values())
-    slots = mixing.schedule(shares)
-    assert total == mixing.QUANTA and sorted(s for x in slots.values() for s in x) == list(range(total))
+    blocks = {s: 1000 * n // total + 1 for s, n in shares.items()}
+    slots = mixing.schedule(shares, blocks)
+    assert {s: len(x) for s, x in slots.items()} == blocks
+    assert len({s for x in slots.values() for s in x}) == sum(blocks.values())
     for name, at in slots.items():
         for k, slot in enumerate(at):
             assert k * total // shares[name] <= slot < -(-(k + 1) * total // shares[name])
