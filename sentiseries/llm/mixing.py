@@ -37,6 +37,8 @@ from sentiseries.sources.storage import stored
 
 BLOCK = 16
 SLICE = 10_000
+#: Up to so many sources their table is broadcast.
+FEW_SOURCES = 100_000
 
 
 def exact(weights: dict[str | None, float]) -> dict[str | None, int]:
@@ -119,9 +121,9 @@ def mix(documents: DataFrame, weights: dict[str | None, float] | None = None, ke
     # maps and variants have no hash; what else a row holds tells equal ids apart
     hashed = [c for c, kind in documents.dtypes if not re.search("map<|variant", kind)]
     keyed = documents.withColumns({s: marked, h: F.xxhash64(F.lit("mix"), *(F.col(f"`{c}`") for c in hashed))})
-    # one row a source; Spark broadcasts it while it is small
+    # one row a source: sent to the tasks while it is small, for a join by source moves whole rows
     cuts = spark.createDataFrame([(_marked(k), max(1, n // SLICE)) for k, n in counts.items()], f"{s} string, {parts} long")
-    keyed = keyed.join(cuts, s)
+    keyed = keyed.join(F.broadcast(cuts) if len(counts) <= FEW_SOURCES else cuts, s)
     keyed = keyed.withColumn(part, F.floor(F.shiftrightunsigned(h, 33) * F.col(parts) / F.lit(2**31)).cast("long"))
     sizes = sorted(tuple(r) for r in keyed.groupBy(s, part).agg(F.count("*").alias("n")).collect())
     ahead = stored(_ahead(spark, sizes, {_marked(k): v for k, v in slots.items()}, block, (s, part, before, at)), "mixing_slots")
