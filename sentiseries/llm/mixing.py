@@ -36,7 +36,7 @@ from sentiseries.llm.common import free_name
 from sentiseries.sources.storage import stored
 
 BLOCK = 16
-SLICE = 10_000
+SLICE = 2_000
 #: Up to so many sources their table is broadcast.
 FEW_SOURCES = 100_000
 
