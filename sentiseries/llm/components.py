@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from sentiseries.sources.storage import stored
 
 
+_FILE = 200_000
+
+
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")).first()
     return row["n"], row["x"] or 0
@@ -31,13 +34,14 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): nodes with an edge, and the smallest node of their component.
 
     ``edges`` has columns a and b of one orderable type; loops and nulls are ignored.
-    Every round is written to the shared folder, so a lost executor costs a re-read.
+    Every round is written to the shared folder, so a lost executor costs a re-read; as
+    few edges are left, in a file for each ``_FILE`` of them and not one a partition.
     Rounds end when the edges no longer change: then each is (node, root).
     """
     edges = stored(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     state = _state(edges)
     while state[0]:
-        edges = stored(small_star(large_star(edges)), "edges")
+        edges = stored(small_star(large_star(edges)).coalesce(state[0] // _FILE + 1), "edges")
         state, before = _state(edges), state
         if state == before:
             break

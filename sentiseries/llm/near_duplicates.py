@@ -6,7 +6,9 @@ with a Jaccard similarity of ``SIMILAR`` or more.
 
 1. One pass over the texts gives each a digest of its words, the size of its set,
    ``BANDS`` x ``ROWS`` minima, kept as one key per band and one byte per minimum.
-2. Equal digests are one class; only classes go on, so copies cost one row each.
+2. Equal digests are one class; only classes go on, so copies cost one row each. Classes
+   are made in the pass itself; a second pass makes no more than the digests, to tell
+   every row its class, so that no table of all rows is written.
 3. Per band key, every class is compared with the key's centre, the class that shares
    keys with the most others. Pairs whose sizes exclude a link or whose bytes agree too
    rarely (``LIKELY``) are dropped; the rest is confirmed on the full sets.
@@ -58,19 +60,25 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return low
 
 
-def signature(text: str | None) -> tuple[bytes | None, int, np.ndarray, np.ndarray]:
-    """Digest of the words, set size, band keys, a byte of every minimum."""
+def digest(text: str | None) -> bytes | None:
+    """Digest of the words; none without words."""
     import xxhash
 
     tokens = folded_words(text)
-    if not tokens:
+    return xxhash.xxh3_128_digest(b" ".join(tokens)) if tokens else None
+
+
+def signature(text: str | None) -> tuple[bytes | None, int, np.ndarray, np.ndarray]:
+    """Digest of the words, set size, band keys, a byte of every minimum."""
+    words = digest(text)
+    if words is None:
         return None, 0, np.zeros(0, np.int64), np.zeros(0, np.int8)
     hashes = np.unique(shingle_hashes(text))
     low = minima(hashes)
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
     for row in low.reshape(BANDS, ROWS).T:
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + row)
-    return xxhash.xxh3_128_digest(b" ".join(tokens)), len(hashes), keys.view(np.int64), (mixed(low) & np.uint64(255)).astype(np.uint8).view(np.int8)
+    return words, len(hashes), keys.view(np.int64), (mixed(low) & np.uint64(255)).astype(np.uint8).view(np.int8)
 
 
 @F.pandas_udf(_SIGNATURE)
@@ -79,6 +87,12 @@ def signatures(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([signature(t) for t in batch], columns=_SIGNATURE.names)
 
 
+@F.pandas_udf(T.BinaryType())
+def digests(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series([digest(t) for t in batch], dtype=object)
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def shingle_sets(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
@@ -111,9 +125,9 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.filter(_sizes_allow(F.col("n_a"), F.col("n_b")) & _likely(F.col("bytes_a"), F.col("bytes_b"))).select("a", "b")
 
 
-def _sets(documents: DataFrame, profiles: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+def _sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """(digest, shingles) of the ``wanted`` classes, read from one document of each."""
-    holders = profiles.join(wanted, "digest").groupBy("digest").agg(F.min("row").alias("row")).select("row", "digest")
+    holders = classes.join(wanted, "digest").select("row", "digest")
     texts = documents.select(_row(documents, key, text), F.col(text).alias("t")).join(holders, "row").dropDuplicates(["digest"])
     return stored(texts.select("digest", shingle_sets("t").alias("shingles")), "shingle_sets")
 
@@ -130,7 +144,7 @@ def _across(shared: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataF
     open_rows = stored(_several_roots(rooted.withColumn("root", F.coalesce("root", "digest"))), "open_rows")
     open_classes = open_rows.select("digest", "root").distinct()
     shingles = sets.join(open_classes, "digest").select("digest", "root", F.explode("shingles").alias("shingle"))
-    scarce = stored(shingles.groupBy("shingle").agg(F.count("*").alias("holders")).filter(F.col("holders") <= RARE), "scarce_shingles")
+    scarce = shingles.groupBy("shingle").agg(F.count("*").alias("holders")).filter(F.col("holders") <= RARE)
     rare = stored(shingles.join(scarce, "shingle"), "rare_shingles")
     x, y = rare.filter("holders > 1").alias("x"), rare.filter("holders > 1").alias("y")
     by_rare = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.digest") < F.col("y.digest")) & (F.col("x.root") != F.col("y.root")))
@@ -162,33 +176,32 @@ def _row(documents: DataFrame, key: str, text: str) -> Column:
 
 def group(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component_id, kept."""
-    profiles = stored(
-        documents.select(F.col(key).alias("id"), _row(documents, key, text), signatures(text).alias("s")).select("id", "row", "s.*"), "profiles"
-    )
-    worded = profiles.filter("digest is not null")
+    signed = documents.select(F.col(key).alias("id"), _row(documents, key, text), signatures(text).alias("s")).select("id", "row", "s.*")
     classes = stored(
-        worded.groupBy("digest").agg(
-            F.min("id").alias("least"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("keys").alias("keys"), F.any_value("bytes").alias("bytes")
+        signed.filter("digest is not null").groupBy("digest").agg(
+            F.min("id").alias("least"), F.min("row").alias("row"), F.any_value("n_shingles").alias("n_shingles"),
+            F.any_value("keys").alias("keys"), F.any_value("bytes").alias("bytes"),
         ), "classes",
     )
     keyed = classes.select("digest", F.explode("keys").alias("k"))
-    several = stored(keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1"), "shared_keys")
+    several = keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1")
     shared = stored(keyed.join(several, "k"), "shared")
-    sets = _sets(documents, worded, shared.select("digest").distinct(), key, text)
+    sets = _sets(documents, classes, shared.select("digest").distinct(), key, text)
     known = shared.groupBy("digest").agg(F.sum("n").alias("known"))
     centres = shared.join(known, "digest").groupBy("k").agg(F.max_by("digest", F.struct("known", "digest")).alias("centre"))
     star = shared.join(centres, "k").filter("digest <> centre")
     star = star.select(F.least("centre", "digest").alias("a"), F.greatest("centre", "digest").alias("b")).distinct()
-    links = stored(_confirmed(_with_sketches(star, classes), sets), "star_links")
-    roots = stored(components(links), "star_roots")
+    roots = components(_confirmed(_with_sketches(star, classes), sets))
     more = stored(_across(shared, classes, sets, roots), "open_pairs")
-    final = roots if more.isEmpty() else components(links.union(_confirmed(more, sets)))
+    # nodes linked to their roots have the components of the links
+    joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    final = roots if more.isEmpty() else components(joined.union(_confirmed(more, sets)))
     members = classes.select("digest", "least").join(final, classes["digest"] == final["node"])
     ids = members.groupBy("root").agg(F.min("least").alias("component_id"))
     named = members.join(ids, "root").select("digest", "component_id")
-    named = classes.join(named, "digest", "left").select("digest", F.coalesce("component_id", "least").alias("component_id"))
-    out = profiles.select("id", "n_shingles", "digest").join(named, "digest", "left")
+    named = classes.join(named, "digest", "left").select("digest", "n_shingles", F.coalesce("component_id", "least").alias("component_id"))
+    out = documents.select(F.col(key).alias("id"), digests(text).alias("digest")).join(named, "digest", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
-        F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+        F.col("id").alias(key), F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )

@@ -482,6 +482,37 @@ def test_near_duplicates_off_the_star(spark):
     assert by_key(got) == by_key((i, *r) for (i, _), r in zip(rows, brute.near_groups(rows)))
 
 
+def test_near_duplicates_write_few_files(spark, monkeypatch):
+    """No table of all rows, and one file for a round over few edges, however many partitions there are."""
+    import glob
+
+    pick = random.Random(5)
+    rows = []
+    for g in range(12):
+        for i in range(8):
+            words = prose(20 + g, 150).split()
+            words[pick.randrange(150)] = f"w{i}"
+            rows += [(len(rows) + c, " ".join(words)) for c in range(4)]
+    tables = []
+
+    def spy(df, name="table", f=near_duplicates.stored):
+        out = f(df, name)
+        tables.append((name, out.count(), sum(len(glob.glob(p.removeprefix("file:") + "/part-*")) for p in {q.rpartition("/")[0] for q in out.inputFiles()})))
+        return out
+
+    monkeypatch.setattr(near_duplicates, "stored", spy)
+    monkeypatch.setattr(components, "stored", spy)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = near_duplicates.group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert by_key(got) == by_key((i, *r) for (i, _), r in zip(rows, brute.near_groups(rows)))
+    assert len(rows) not in [n for name, n, _ in tables if name != "shared"], tables
+    rounds = [files for name, _, files in tables if name == "edges"]
+    assert len(rounds) > 1 and all(files == 1 for files in rounds[1:]), tables
+
+
 def test_components(spark):
     pick = random.Random(4)
     pairs = [(i, i + 1) for i in range(0, 40)] + [(pick.randrange(100, 200), pick.randrange(100, 200)) for _ in range(60)] + [(7, 7), (None, 3), (500, 499)]
