@@ -177,11 +177,12 @@ def _row(documents: DataFrame, key: str, text: str) -> Column:
 def group(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component_id, kept."""
     signed = documents.select(F.col(key).alias("id"), _row(documents, key, text), signatures(text).alias("s")).select("id", "row", "s.*")
+    # texts without words are dropped by a total: a condition on the digest would be put before the pass, which then ran twice
     classes = stored(
-        signed.filter("digest is not null").groupBy("digest").agg(
+        signed.groupBy("digest").agg(
             F.min("id").alias("least"), F.min("row").alias("row"), F.any_value("n_shingles").alias("n_shingles"),
             F.any_value("keys").alias("keys"), F.any_value("bytes").alias("bytes"),
-        ), "classes",
+        ).filter("n_shingles > 0"), "classes",
     )
     keyed = classes.select("digest", F.explode("keys").alias("k"))
     several = keyed.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1")

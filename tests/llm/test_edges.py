@@ -496,6 +496,8 @@ def test_near_duplicates_write_few_files(spark, monkeypatch):
     tables = []
 
     def spy(df, name="table", f=near_duplicates.stored):
+        if name == "classes":  # the pass over the texts runs once
+            assert df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
         out = f(df, name)
         tables.append((name, out.count(), sum(len(glob.glob(p.removeprefix("file:") + "/part-*")) for p in {q.rpartition("/")[0] for q in out.inputFiles()})))
         return out
